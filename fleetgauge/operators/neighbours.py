@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import hand_off
 from .sampling import exact_cuts, hash_order
+from .skew import skew_join
 
 # Rows of one block: what one task holds of each side.
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 100_000
 # Reference points of a class that needs several blocks.
 PIVOTS = 64
 # Queries measured at once against a block.
@@ -46,13 +47,18 @@ def _kernel(k: int):
         found = []
         if len(queries) and len(block):
             q = np.stack(queries["__x"].to_numpy()).astype("float64")
-            b = np.stack(block["__x"].to_numpy()).astype("float64")
-            q_ids, b_ids = queries["__id"].to_numpy(), block["__id"].to_numpy()
-            for me, others, apart in _nearest(q, q_ids, b, b_ids, k):
-                found.append(pd.DataFrame({"__id": me, "__nn": others, "distance": apart}))
+            b = np.stack(block["__of__x"].to_numpy()).astype("float64")
+            q_ids, b_ids = queries["__id"].to_numpy(), block["__of__id"].to_numpy()
+            found = list(_nearest(q, q_ids, b, b_ids, k))
         if not found:
             return pd.DataFrame({"__id": [], "__nn": [], "distance": []})
-        return pd.concat(found, ignore_index=True)
+        return pd.DataFrame(
+            {
+                "__id": np.repeat([me for me, _, _ in found], [len(o) for _, o, _ in found]),
+                "__nn": np.concatenate([others for _, others, _ in found]),
+                "distance": np.concatenate([apart for _, _, apart in found]),
+            }
+        )
 
     return search
 
@@ -189,11 +195,11 @@ def nearest_neighbours(
         .where(F.col("__away") >= F.col("__from"))
         .withColumn("__c_block", F.pmod(part, F.col("__c_blocks")).cast("int"))
         .withColumn("__q_block", every("__q_blocks"))
-        .select(*unit, "__id", "__x")
+        .select(*[F.col(c).alias(f"__of{c}") for c in (*unit, "__id", "__x")])
     )
     found = (
         queries.groupBy(*unit)
-        .cogroup(blocks.groupBy(*unit))
+        .cogroup(blocks.groupBy(*[f"__of{c}" for c in unit]))
         .applyInPandas(_kernel(k), f"__id {id_kind}, __nn {id_kind}, distance double")
     )
     best = W.partitionBy("__id").orderBy("distance", "__nn")
@@ -229,7 +235,7 @@ def smote(
     """
     sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     top = max(sizes.values(), default=0)
-    small = {c: n for c, n in sizes.items() if n < top}
+    small = {c: n for c, n in sizes.items() if c is not None and n < top}
     if any(n < 2 for n in small.values()):
         raise ValueError("a class with a single row has no neighbours")
     original = df.select(
@@ -245,7 +251,11 @@ def smote(
     )
     rows = hand_off(rows, "minority")
     near = nearest_neighbours(rows, ident, features, label, k=k, block_rows=block_rows, seed=seed)
-    near = hand_off(near, "neighbours")
+    # Copies are even over (base, rank) whatever row is a neighbour of many, so
+    # the neighbour's values are fetched before copies are made.
+    other = rows.select(F.col(ident).alias("neighbour"), F.col(features).alias("__y"))
+    near = skew_join(hand_off(near, "neighbours"), other, ["neighbour"], "inner")
+    near = hand_off(near.select(ident, "rank", "__y"), "neighbour-values")
 
     facts = df.sparkSession.createDataFrame(
         [(c, (top - n) // n, min(k, n - 1)) for c, n in small.items()],
@@ -271,11 +281,9 @@ def smote(
         .withColumn("__u", _share(ident, "__copy", seed + 1))
         .select(ident, label, features, "__copy", "rank", "__u")
     )
-    other = rows.select(F.col(ident).alias("neighbour"), F.col(features).alias("__y"))
     between = F.zip_with(features, "__y", lambda x, y: x + F.col("__u") * (y - x))
     new = (
-        copies.join(near.select(ident, "rank", "neighbour"), [ident, "rank"])
-        .join(other, "neighbour")
+        copies.join(near, [ident, "rank"])
         .select(
             F.concat(F.col(ident).cast("string"), F.lit("#"), F.col("__copy").cast("string")).alias(ident),
             label,
