@@ -20,36 +20,36 @@ PIVOTS = 64
 TILE_ROWS = 512
 
 
-def _nearest(queries: np.ndarray, ids: np.ndarray, block: np.ndarray, block_ids: np.ndarray, k: int):
-    """The k nearest block rows of every query, itself left out; ties go to the smaller id.
-
-    A product of matrices finds who may be among the k nearest, with room for
-    its rounding; only those are measured exactly.
-    """
-    norms = np.einsum("ij,ij->i", block, block)
-    for start in range(0, len(queries), TILE_ROWS):
-        tile = queries[start : start + TILE_ROWS]
-        own = np.einsum("ij,ij->i", tile, tile)
-        rough = own[:, None] + norms[None, :] - 2.0 * (tile @ block.T)
-        room = 1e-9 * (1.0 + own[:, None] + norms.max())
-        rough[ids[start : start + TILE_ROWS, None] == block_ids[None, :]] = np.inf
-        kept = min(k, rough.shape[1])
-        limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1 : kept] + room
-        for i in range(len(tile)):
-            near = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
-            apart = np.sqrt(((block[near] - tile[i]) ** 2).sum(axis=1))
-            first = np.lexsort((block_ids[near], apart))[:k]
-            yield ids[start + i], block_ids[near[first]], apart[first]
+def _kernel(k: int):
+    # Everything a task needs is defined inside, so workers need no copy of this package.
+    def nearest(queries, ids, block, block_ids):
+        """The k nearest block rows of every query, itself left out; ties go to the smaller id.
 
+        A product of matrices finds who may be among the k nearest, with room for
+        its rounding; only those are measured exactly.
+        """
+        norms = np.einsum("ij,ij->i", block, block)
+        for start in range(0, len(queries), TILE_ROWS):
+            tile = queries[start : start + TILE_ROWS]
+            own = np.einsum("ij,ij->i", tile, tile)
+            rough = own[:, None] + norms[None, :] - 2.0 * (tile @ block.T)
+            room = 1e-9 * (1.0 + own[:, None] + norms.max())
+            rough[ids[start : start + TILE_ROWS, None] == block_ids[None, :]] = np.inf
+            kept = min(k, rough.shape[1])
+            limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1 : kept] + room
+            for i in range(len(tile)):
+                near = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
+                apart = np.sqrt(((block[near] - tile[i]) ** 2).sum(axis=1))
+                first = np.lexsort((block_ids[near], apart))[:k]
+                yield ids[start + i], block_ids[near[first]], apart[first]
 
-def _kernel(k: int):
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(block):
             q = np.stack(queries["__x"].to_numpy()).astype("float64")
             b = np.stack(block["__of__x"].to_numpy()).astype("float64")
             q_ids, b_ids = queries["__id"].to_numpy(), block["__of__id"].to_numpy()
-            found = list(_nearest(q, q_ids, b, b_ids, k))
+            found = list(nearest(q, q_ids, b, b_ids))
         if not found:
             return pd.DataFrame({"__id": [], "__nn": [], "distance": []})
         return pd.DataFrame(
