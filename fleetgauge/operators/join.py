@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from .skew import skew_join
+from .skew import key_counts, skew_join
 
 
 class FanOutError(ValueError):
@@ -67,7 +67,13 @@ def wide_join(
         on, table = dim.keyed()
         if gate and not dim.unique and fans_out(out, table, on):
             raise FanOutError(f"{dim.name}: repeated keys {on} would multiply rows")
-        out = skew_join(out, table, on) if dim.skewed else out.join(table, on, "left")
+        if dim.skewed:
+            # Joins behind the gate keep every spine row once, so the spine itself
+            # can be counted where it has the keys.
+            counts = key_counts(spine, on) if set(on) <= set(spine.columns) else None
+            out = skew_join(out, table, on, counts=counts)
+        else:
+            out = out.join(table, on, "left")
         if trace is not None:
             trace[dim.name] = Observation(f"rows after {dim.name}")
             out = out.observe(trace[dim.name], F.count(F.lit(1)).alias("rows"))
