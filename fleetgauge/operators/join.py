@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ..sources.scan import union_all
 from .skew import key_counts, skew_join
 
 
@@ -55,13 +56,8 @@ def wide_join(
     dims: Sequence[Dim],
     *,
     gate: bool = True,
-    trace: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """Left-join every dimension; refuse one that would multiply rows.
-
-    With ``trace`` a row counter per join is filled when the result is first
-    computed, at no extra pass.
-    """
+    """Left-join every dimension; refuse one that would multiply rows."""
     out = spine
     for dim in dims:
         on, table = dim.keyed()
@@ -74,12 +70,29 @@ def wide_join(
             out = skew_join(out, table, on, counts=counts)
         else:
             out = out.join(table, on, "left")
-        if trace is not None:
-            trace[dim.name] = Observation(f"rows after {dim.name}")
-            out = out.observe(trace[dim.name], F.count(F.lit(1)).alias("rows"))
     return out
 
 
+def row_trace(spine: DataFrame, dims: Sequence[Dim]) -> DataFrame:
+    """Row count of the spine and after each join: ``step, name, rows``.
+
+    Only keys are joined, and a join with a roll-up by its own keys is not even
+    run, since Spark knows that it keeps the count.
+    """
+
+    def line(df, step, name):
+        return df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(step).alias("step"), F.lit(name).alias("name"), "rows"
+        )
+
+    out, lines = spine, [line(spine, 0, "spine")]
+    for step, dim in enumerate(dims, 1):
+        on, table = dim.keyed()
+        out = out.join(table, on, "left")
+        lines.append(line(out, step, dim.name))
+    return union_all(lines)
+
+
 def row_count_gate(spine: DataFrame, result: DataFrame) -> DataFrame:
     """Return ``result`` unless it has more rows than ``spine``."""
     before, after = spine.count(), result.count()

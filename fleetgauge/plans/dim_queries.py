@@ -275,6 +275,36 @@ def accident_label(spark, sf_dir):
     return dims.label_from_events(spine, big_purchases(spark, sf_dir), ["user_id", "day"])
 
 
+def panel_dims(spark: SparkSession, sf_dir: str) -> list[join.Dim]:
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    counts = rollup.code_counts(
+        events.where("value > 20"),
+        ["user_id", "day"],
+        {"event_type": {"click": "clicks", "error": "errors"}},
+    )
+    return [
+        join.Dim(
+            "customer",
+            table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0"),
+            {"user_id": "c_custkey"},
+            drop=("c_acctbal", "c_mktsegment"),
+        ),
+        join.Dim(
+            "nation",
+            table(spark, sf_dir, "nation"),
+            {"c_nationkey": "n_nationkey"},
+            drop=("n_regionkey",),
+        ),
+        join.Dim("counts", counts, ["user_id", "day"], unique=True),
+        join.Dim(
+            "streak",
+            panel.streak_before(events, ["user_id"], "day"),
+            ["user_id", "day"],
+            unique=True,
+        ),
+    ]
+
+
 @query(
     f"""
     WITH {USER_DAYS}, {STREAKS},
@@ -295,34 +325,15 @@ def accident_label(spark, sf_dir):
     """
 )
 def wide_join(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    counts = rollup.code_counts(
-        events.where("value > 20"),
-        ["user_id", "day"],
-        {"event_type": {"click": "clicks", "error": "errors"}},
-    )
-    joined = join.wide_join(
-        user_days(spark, sf_dir),
-        [
-            join.Dim(
-                "customer",
-                table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0"),
-                {"user_id": "c_custkey"},
-                drop=("c_acctbal", "c_mktsegment"),
-            ),
-            join.Dim(
-                "nation",
-                table(spark, sf_dir, "nation"),
-                {"c_nationkey": "n_nationkey"},
-                drop=("n_regionkey",),
-            ),
-            join.Dim("counts", counts, ["user_id", "day"], unique=True),
-            join.Dim(
-                "streak",
-                panel.streak_before(events, ["user_id"], "day"),
-                ["user_id", "day"],
-                unique=True,
-            ),
-        ],
-    )
+    joined = join.wide_join(user_days(spark, sf_dir), panel_dims(spark, sf_dir))
     return dims.label_from_events(joined, big_purchases(spark, sf_dir), ["user_id", "day"])
+
+
+@query(
+    """
+    WITH n AS (SELECT count(DISTINCT (user_id, CAST(ts AS DATE)))::BIGINT AS rows FROM events)
+    SELECT step, name, rows FROM n, (VALUES (0, 'spine'), (1, 'customer'), (2, 'nation'), (3, 'counts'), (4, 'streak')) t(step, name)
+    """
+)
+def join_row_trace(spark, sf_dir):
+    return join.row_trace(user_days(spark, sf_dir), panel_dims(spark, sf_dir))

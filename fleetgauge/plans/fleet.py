@@ -224,7 +224,6 @@ def wide_panel(
     day_tz: str = "UTC",
     excluded: Mapping[str, Sequence[str]] | None = None,
     gate: bool = True,
-    trace: dict | None = None,
 ) -> DataFrame:
     """One row per driver, day and plate with everything known about it and the accident label.
 
@@ -257,7 +256,6 @@ def wide_panel(
             rolled_up("over_speed", over_speed_counts(feeds.over_speed, day_tz), day_keys),
         ],
         gate=gate,
-        trace=trace,
     )
     starts = {"age": "birthday", "driveAge": "DrivingLicenseStartDate", "EntryAge": "EntryDate"}
     joined = joined.withColumns(
