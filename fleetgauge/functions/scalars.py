@@ -33,6 +33,7 @@ __all__ = [
     "pick_class",
     "prefix_flag",
     "ratio",
+    "round_to",
     "scale_units",
     "valid_alarm",
     "warning_class",
@@ -179,6 +180,12 @@ def scale_units(df: DataFrame, divisors: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.col(c) / F.lit(float(d)) for c, d in divisors.items()})
 
 
+def round_to(col: Column | str, digits: int) -> Column:
+    """Rounded value by plain arithmetic; the built-in goes through decimals for every row."""
+    unit = F.lit(float(10**digits))
+    return F.floor(_col(col) * unit + 0.5) / unit
+
+
 def one_hot(df: DataFrame, col: str, categories: Sequence, keep: bool = False) -> DataFrame:
     """One 0/1 column per listed category, so the schema does not depend on the data."""
     out = df.withColumns({f"{col}_{v}": flag(F.col(col) == F.lit(v)) for v in categories})

@@ -233,7 +233,7 @@ def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .groupBy("user_id", F.to_date("ts").alias("day"))
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), fn.round_to(F.sum("value"), 4).alias("total"))
     )
 
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import functions as fn
 from ..operators import dims, learn, neighbours
 from ..session import hand_off
 from .dim_queries import big_purchases
@@ -27,7 +28,7 @@ def smote_neighbors(spark, sf_dir):
     near = neighbours.nearest_neighbours(
         table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", k=5
     )
-    return near.withColumn("distance", F.round("distance", 6))
+    return near.withColumn("distance", fn.round_to("distance", 6))
 
 
 def _share(seed: int) -> str:
@@ -50,9 +51,9 @@ def _share(seed: int) -> str:
                    list_sum(x) + u * (list_sum(CAST(y.embedding AS DOUBLE[])) - list_sum(x)) AS total
             FROM drawn d JOIN nearest n ON n.vec_id = d.vec_id AND n.rank = d.pick
             JOIN embeddings y ON y.vec_id = n.neighbour)
-    SELECT vec_id, label, synthetic, round(first, 6) AS first, round(total, 6) AS total FROM new
+    SELECT vec_id, label, synthetic, round(first, 6) + 0.0 AS first, round(total, 6) + 0.0 AS total FROM new
     UNION ALL
-    SELECT CAST(vec_id AS VARCHAR), label, 0, round(x[1], 6), round(list_sum(x), 6) FROM base
+    SELECT CAST(vec_id AS VARCHAR), label, 0, round(x[1], 6) + 0.0, round(list_sum(x), 6) + 0.0 FROM base
     """
 )
 def smote_samples(spark, sf_dir):
@@ -62,8 +63,8 @@ def smote_samples(spark, sf_dir):
         "vec_id",
         "label",
         "synthetic",
-        F.round(F.col("embedding")[0], 6).alias("first"),
-        F.round(total, 6).alias("total"),
+        fn.round_to(F.col("embedding")[0], 6).alias("first"),
+        fn.round_to(total, 6).alias("total"),
     )
 
 
@@ -120,4 +121,4 @@ def score_day(spark, sf_dir):
     scored = learn.score(
         panel, learn.choose(tuned), ["user_id", "day"], features=FEATURES, day="day", on=date(2024, 1, 30)
     )
-    return scored.withColumn("risk_probability", F.round("risk_probability", 4))
+    return scored.withColumn("risk_probability", fn.round_to("risk_probability", 4))

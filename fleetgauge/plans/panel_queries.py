@@ -21,8 +21,7 @@ def gappy_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    # adding zero turns a negative zero into zero
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
+    return df.withColumns({c: fn.round_to(c, digits) for c in cols})
 
 
 @query(
@@ -372,7 +371,7 @@ def daily_feature_panel(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     daily = events.groupBy("user_id", "day").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.sum("value"), 4).alias("total"),
+        fn.round_to(F.sum("value"), 4).alias("total"),
         F.count_if(F.col("event_type") == "purchase").alias("purchases"),
     )
     joined = daily.join(panel.streak_before(daily, ["user_id"], "day"), ["user_id", "day"], "left")

@@ -144,7 +144,7 @@ def daily_run_sums(spark, sf_dir):
         },
     )
     digits = {"free_mileage": 4, "mileage": 2, "wait_time": 4, "money": 4}
-    return daily.withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return daily.withColumns({c: fn.round_to(c, d) for c, d in digits.items()})
 
 
 @query(
@@ -186,9 +186,9 @@ def daily_speed_stats(spark, sf_dir):
     stats = rollup.speed_stats(moving, ["day", "driver"], "value")
     return stats.withColumns(
         {
-            "speed_sum": F.round("speed_sum", 4),
-            "speed_avg": F.round("speed_avg", 6),
-            "speed_std": F.round("speed_std", 6),
+            "speed_sum": fn.round_to("speed_sum", 4),
+            "speed_avg": fn.round_to("speed_avg", 6),
+            "speed_std": fn.round_to("speed_std", 6),
         }
     )
 
@@ -215,7 +215,7 @@ def dated_scan_union(spark, sf_dir):
         for piece in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut))
     ]
     summed = rollup.sum_numeric(union_all(parts), ["day", "user_id"])
-    return summed.withColumn("total", F.round("total", 4))
+    return summed.withColumn("total", fn.round_to("total", 4))
 
 
 @query(

@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     # A split skewed join is worth the extra exchange a parent may then need.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # Call sites of every column expression cost round trips while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
