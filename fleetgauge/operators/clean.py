@@ -6,7 +6,7 @@ as a one-row scalar subquery, never as a join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
@@ -108,6 +108,19 @@ def outlier_report(df: DataFrame, cols: Sequence[str], *, ignore_zero: bool = Fa
     )
 
 
+def coercion_report(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
+    """Per column: how many values a cast to the target type would turn into null."""
+
+    def line(c, kind):
+        lost = F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()
+        return F.struct(
+            F.lit(c).alias("field"), F.lit(kind).alias("type"), F.count_if(lost).alias("bad")
+        )
+
+    lines = F.array(*[line(c, kind) for c, kind in targets.items()])
+    return df.agg(lines.alias("lines")).select(F.inline("lines"))
+
+
 def group_mean_fill(
     df: DataFrame,
     keys: Sequence[str],

@@ -82,18 +82,14 @@ def _fill(df, keys, order, cols, backward, min_rows):
     if not keys:
         return _fill_by_chunks(df, [], order, cols, backward)
     # Rows without a key belong to no group and are not filled from each other.
-    kept = {c: F.col(c) for c in cols}
-    if keys:
-        nokey = any_null(keys)
-        kept = {c: F.when(~nokey, F.col(c)) for c in cols}
-    known = df.withColumns(kept)
+    known = df.withColumns({c: F.when(~any_null(keys), F.col(c)) for c in cols})
     hot = hot_keys(df, keys, min_rows=min_rows)
     if hot is None:
         return _fill_by_window(known, keys, order, cols, backward)
     marked = mark_hot(known, hot, keys)
-    cold = _fill_by_window(marked.where(~F.col("__hot")), keys, order, cols, backward)
-    large = _fill_by_chunks(marked.where(F.col("__hot")), keys, order, cols, backward)
-    return cold.unionByName(large).drop("__hot")
+    cold = _fill_by_window(marked.where("__salts = 1"), keys, order, cols, backward)
+    large = _fill_by_chunks(marked.where("__salts > 1"), keys, order, cols, backward)
+    return cold.unionByName(large).drop("__salts")
 
 
 def forward_fill(

@@ -21,7 +21,7 @@ class Dim:
 
     ``unique`` states that the keys are unique by construction (a roll-up by
     exactly these keys), which saves the check. ``skewed`` spreads spine rows of
-    hot keys.
+    hot keys. ``null_safe`` lets null keys match null keys.
     """
 
     name: str
@@ -30,6 +30,7 @@ class Dim:
     drop: Sequence[str] = field(default_factory=tuple)
     unique: bool = False
     skewed: bool = False
+    null_safe: bool = False
 
     def keyed(self) -> tuple[list[str], DataFrame]:
         on = dict(self.on) if isinstance(self.on, Mapping) else {k: k for k in self.on}
@@ -39,16 +40,31 @@ class Dim:
         return list(on), table.select(*[F.col(d).alias(s) for s, d in on.items()], *rest)
 
 
-def fans_out(spine: DataFrame, dim: DataFrame, on: Sequence[str]) -> bool:
+def null_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which a null key matches a null key."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in on})
+    match = F.lit(True)
+    for k in on:
+        match = match & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    return left.join(renamed, match, "left").drop(*[f"__right_{k}" for k in on])
+
+
+def fans_out(
+    spine: DataFrame, dim: DataFrame, on: Sequence[str], *, null_safe: bool = False
+) -> bool:
     """Whether a left join would give more rows than the spine has.
 
     Looks for repeated dimension keys first (keys only, one aggregation) and
     searches the spine for them only if there are any.
     """
-    repeated = dim.select(*on).dropna().groupBy(*on).count().where("count > 1").drop("count")
+    keys = dim.select(*on) if null_safe else dim.select(*on).dropna()
+    repeated = keys.groupBy(*on).count().where("count > 1").drop("count")
     if repeated.isEmpty():
         return False
-    return not repeated.join(spine.select(*on), list(on), "left_semi").isEmpty()
+    if not null_safe:
+        return not repeated.join(spine.select(*on), list(on), "left_semi").isEmpty()
+    met = null_safe_left_join(repeated, spine.select(*on).distinct().withColumn("__met", F.lit(1)), on)
+    return not met.where("__met = 1").isEmpty()
 
 
 def wide_join(
@@ -61,9 +77,11 @@ def wide_join(
     out = spine
     for dim in dims:
         on, table = dim.keyed()
-        if gate and not dim.unique and fans_out(out, table, on):
+        if gate and not dim.unique and fans_out(out, table, on, null_safe=dim.null_safe):
             raise FanOutError(f"{dim.name}: repeated keys {on} would multiply rows")
-        if dim.skewed:
+        if dim.null_safe:
+            out = null_safe_left_join(out, table, on)
+        elif dim.skewed:
             # Joins behind the gate keep every spine row once, so the spine itself
             # can be counted where it has the keys.
             counts = key_counts(spine, on) if set(on) <= set(spine.columns) else None
@@ -88,7 +106,7 @@ def row_trace(spine: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     out, lines = spine, [line(spine, 0, "spine")]
     for step, dim in enumerate(dims, 1):
         on, table = dim.keyed()
-        out = out.join(table, on, "left")
+        out = null_safe_left_join(out, table, on) if dim.null_safe else out.join(table, on, "left")
         lines.append(line(out, step, dim.name))
     return union_all(lines)
 

@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# Hexadecimal digits of the hash that choose a bucket: 4096 buckets.
-BUCKET_DIGITS = 3
+# Hexadecimal digits of the hash that choose a bucket: 65 536 buckets.
+BUCKET_DIGITS = 4
 
 
 def hash_order(ident: str, seed: int) -> Column:
@@ -28,7 +28,7 @@ def exact_cuts(
 
     Each cut maps the row count (of the stratum) to a position; rows up to the
     first cut get 0, up to the second 1, and so on. ``ident`` must be unique.
-    Nothing is ranked globally: a histogram of hash buckets (at most 4096 rows
+    Nothing is ranked globally: a histogram of hash buckets (at most 65 536 rows
     per stratum) shows which bucket holds each position, only those buckets are
     ranked, and the rows are compared with the resulting thresholds. The table
     itself is not shuffled. ``strata`` is a label column with few values.

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
-
-from ..functions import any_null
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A key above this share of all rows is hot. Fewer than 1 / HOT_SHARE keys can
-# exceed it, which bounds every list of hot keys at 1000 rows.
-HOT_SHARE = 0.001
+# exceed it, which bounds every list of hot keys at 50 000 rows.
+HOT_SHARE = 2e-5
 # Groups below this many rows fit one task whatever their share.
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,46 +24,45 @@ def hot_keys(
     counts: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame | None:
-    """Keys holding more than ``HOT_SHARE`` of all rows, or None.
+    """Keys holding more than ``HOT_SHARE`` of all rows and more than ``min_rows``, or None.
 
     ``counts`` may bring existing row counts per key in a column ``__rows``.
     Counting is one partial aggregation over the key columns only, and at most
-    ``1 / HOT_SHARE`` keys reach the driver.
+    ``1 / HOT_SHARE`` keys reach the driver. ``__salts`` (at least 2) says over how
+    many tasks of about ``min_rows`` rows a key should be spread.
     """
     counts = key_counts(df, keys) if counts is None else counts
-    large = counts.where(F.col("__rows") >= min_rows)
     total = counts.agg(F.sum("__rows").alias("n")).scalar()
-    found = large.where(F.col("__rows") > total * HOT_SHARE).select(*keys)
+    found = counts.where(
+        (F.col("__rows") > min_rows) & (F.col("__rows") > total * HOT_SHARE)
+    ).select(*keys, (1 + F.ceil(F.col("__rows") / F.lit(max(min_rows, 1)))).cast("int").alias("__salts"))
     rows = found.collect()
     if not rows:
         return None
     return df.sparkSession.createDataFrame(rows, found.schema)
 
 
+def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``__salts``: that of the row's key in the bounded list ``hot``, else 1.
 
-
-def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str = "__hot") -> DataFrame:
-    """Add a flag for rows whose key is in the bounded list ``hot``; null keys match null."""
-    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias(name))
+    Null keys are found like any other.
+    """
+    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__salts")
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
     joined = df.join(F.broadcast(renamed), match, "left")
     return joined.drop(*[f"__hot_{k}" for k in keys]).withColumn(
-        name, F.coalesce(F.col(name), F.lit(False))
+        "__salts", F.coalesce(F.col("__salts"), F.lit(1))
     )
 
 
-def _row_salt(df: DataFrame, salts: int):
+def _row_salt(df: DataFrame) -> Column:
     # Value and input partition only: the same on every retry of a task, and
     # copies of one row still spread because they lie in different partitions.
-    plain = [
-        f.name
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.NumericType, T.StringType, T.DateType, T.TimestampType))
-        or isinstance(f.dataType, T.TimestampNTZType)
-    ]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
+    hashable = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, hashable)]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.col("__salts")).cast("int")
 
 
 def skew_join(
@@ -77,13 +73,11 @@ def skew_join(
     *,
     counts: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join whose left side may be dominated by a few keys.
+    """Equi join whose left side may be dominated by a few keys, null among them.
 
-    Rows of hot keys, and rows with a null key that cannot match anyway, are
-    spread over ``salts`` tasks; the right rows of those at most 1000 keys are
-    repeated once per salt. Without hot keys it is the plain join.
+    Rows of a hot key are spread over tasks of about ``min_rows`` rows, and its
+    right rows are repeated once per task. Without hot keys it is the plain join.
     """
     on = list(on)
     if how not in ("left", "inner"):
@@ -91,12 +85,10 @@ def skew_join(
     hot = hot_keys(left, on, counts=counts, min_rows=min_rows)
     if hot is None:
         return left.join(right, on, how)
-    spread = F.when(F.col("__hot") | any_null(on), _row_salt(left, salts)).otherwise(0)
-    l = mark_hot(left, hot, on).withColumn("__salt", spread).drop("__hot")
-    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+    l = mark_hot(left, hot, on).withColumn("__salt", _row_salt(left)).drop("__salts")
     r = (
         mark_hot(right, hot, on)
-        .withColumn("__salt", F.explode(every.otherwise(F.array(F.lit(0)))))
-        .drop("__hot")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+        .drop("__salts")
     )
     return l.join(r, [*on, "__salt"], how).drop("__salt")

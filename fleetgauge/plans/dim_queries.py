@@ -337,3 +337,19 @@ def wide_join(spark, sf_dir):
 )
 def join_row_trace(spark, sf_dir):
     return join.row_trace(user_days(spark, sf_dir), panel_dims(spark, sf_dir))
+
+
+@query(
+    """
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS k FROM orders),
+    c AS (SELECT CASE WHEN c_custkey <> 9 THEN c_custkey END AS k, c_name FROM customer WHERE c_custkey % 9 <> 0 OR c_custkey = 9)
+    SELECT o_orderkey, c_name FROM o LEFT JOIN c ON o.k IS NOT DISTINCT FROM c.k
+    """
+)
+def null_safe_join(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 9 != 0, F.col("o_custkey")).alias("k")
+    )
+    named = table(spark, sf_dir, "customer").where("c_custkey % 9 <> 0 OR c_custkey = 9")
+    named = named.select(F.when(F.col("c_custkey") != 9, F.col("c_custkey")).alias("k"), "c_name")
+    return join.wide_join(orders, [join.Dim("customer", named, ["k"], null_safe=True)]).drop("k")

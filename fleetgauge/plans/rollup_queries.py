@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
 from ..functions.codes import WARNING_CLASSES
-from ..operators import rollup
-from ..sources import extract, scan_days, scan_union, union_all
+from ..operators import clean, rollup
+from ..sources import extract, preview, scan_days, scan_union, union_all
 from .registry import query, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -251,6 +251,41 @@ def date_range_scan(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 5
+    """
+)
+def sorted_preview(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return preview(orders, ["o_totalprice", "o_orderkey"])
+
+
+@query(
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1
+    """
+)
+def day_text_counts(spark, sf_dir):
+    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"))
+    counts = days.agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query(
+    """
+    SELECT 'seconds' AS field, 'int' AS type, CAST(count(*) FILTER (l_linenumber = 7) AS BIGINT) AS bad FROM lineitem
+    UNION ALL SELECT 'l_returnflag', 'double', CAST(count(*) AS BIGINT) FROM lineitem
+    """
+)
+def coercion_report(spark, sf_dir):
+    text = F.when(F.col("l_linenumber") == 7, "n/a").otherwise(
+        F.col("l_quantity").cast("int").cast("string")
+    )
+    trips = table(spark, sf_dir, "lineitem").withColumn("seconds", text)
+    return clean.coercion_report(trips, {"seconds": "int", "l_returnflag": "double"})
+
+
 @query("SELECT count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS users FROM events")
 def row_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").agg(

@@ -3,6 +3,7 @@ from .relational import jdbc_copy, jdbc_read, jdbc_write  # noqa: F401
 from .scan import (  # noqa: F401
     dated_names,
     extract,
+    preview,
     read_days,
     scan_days,
     scan_union,

@@ -98,3 +98,8 @@ def schema_report(df: DataFrame, fields: Sequence[str] | None = None) -> DataFra
         if not fields or f.name in fields
     ]
     return df.sparkSession.createDataFrame(rows, "field string, type string, nullable boolean")
+
+
+def preview(df: DataFrame, order: Sequence[str] = (), rows: int = 5) -> DataFrame:
+    """The first few rows, in order if one is given; each task keeps only that many."""
+    return (df.orderBy(*order) if order else df).limit(rows)

@@ -116,9 +116,18 @@ def test_skew_join_equals_plain_join(spark, how):
     )
     right = spark.range(0, 4000, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("w"))
     right = right.union(spark.createDataFrame([("hot", -1), (None, -2)], "k string, w long"))
-    hot = skew.hot_keys(left, ["k"], min_rows=0)
-    assert sorted(r.k or "" for r in hot.collect()) == ["", "hot"]
-    salted = skew.skew_join(left, right, ["k"], how, min_rows=0)
+    hot = skew.hot_keys(left, ["k"], min_rows=100)
+    assert rows(hot) == [("hot", 31), (None, 31)]
+    salted = skew.skew_join(left, right, ["k"], how, min_rows=100)
     plain = left.join(right, ["k"], how)
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).count() == 0
+
+
+def test_null_safe_dimension(spark):
+    spine = spark.createDataFrame([("a",), (None,)], "k string")
+    one = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    dim = lambda df: [join.Dim("d", df, ["k"], null_safe=True)]
+    assert rows(join.wide_join(spine, dim(one))) == [("a", 1), (None, 2)]
+    with pytest.raises(join.FanOutError):
+        join.wide_join(spine, dim(one.union(one.where("k is null"))))

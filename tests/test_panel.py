@@ -114,7 +114,7 @@ def test_chunked_fill_equals_the_plain_window_on_hot_keys(spark):
         F.col("id").alias("d"),
         F.when(F.col("id") % 401 == 0, F.col("id").cast("double")).alias("x"),
     )
-    chunked = fill.fill_forward_backward(df, ["k"], ["d"], "x", valid=F.col("x").isNotNull(), min_rows=0)
+    chunked = fill.fill_forward_backward(df, ["k"], ["d"], "x", valid=F.col("x").isNotNull(), min_rows=1000)
     plain = fill.fill_forward_backward(df, ["k"], ["d"], "x", valid=F.col("x").isNotNull())
     assert chunked.count() == n
     assert chunked.exceptAll(plain).count() == 0
