@@ -35,6 +35,7 @@ __all__ = [
     "ratio",
     "round_to",
     "scale_units",
+    "to_number",
     "valid_alarm",
     "warning_class",
 ]
@@ -104,14 +105,32 @@ def prefix_flag(col: Column | str, prefix: str) -> Column:
     return F.coalesce(_col(col).startswith(prefix), F.lit(False)).cast("int")
 
 
+# Text that cannot be a number or a date is sorted out by pattern before the cast:
+# a cast that fails raises and catches an exception per row inside Spark, which
+# costs far more than the match.
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_COMPACT_DAY = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$"
+
+
+def to_number(df: DataFrame, col: str, kind: str = "int") -> Column:
+    """Number of a column that may hold text; null where the text is not one."""
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, T.StringType):
+        c = F.when(c.rlike(_DECIMAL if kind in ("double", "float") else _WHOLE), c)
+    return c.try_cast(kind)
+
+
 def digit_parity(col: Column | str, position: int) -> Column:
     """1 if the digit at ``position`` (from 1) is odd, 0 if even, null if it is no digit."""
-    return F.substring(_col(col), position, 1).try_cast("int") % 2
+    digit = F.substring(_col(col), position, 1)
+    return F.when(digit.between("0", "9"), digit).try_cast("int") % 2
 
 
-def compact_date(col: Column | str, position: int, fmt: str = "yyyyMMdd") -> Column:
-    """Date written inside a text; null when it is not a real date."""
-    return F.try_to_date(F.substring(_col(col), position, len(fmt)), fmt)
+def compact_date(col: Column | str, position: int) -> Column:
+    """Date written as yyyyMMdd inside a text; null when it is not a real date."""
+    text = F.substring(_col(col), position, 8)
+    return F.try_to_date(F.when(text.rlike(_COMPACT_DAY), text), "yyyyMMdd")
 
 
 def contains_flag(col: Column | str, text: str) -> Column:

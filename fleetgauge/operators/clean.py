@@ -12,7 +12,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import all_of, any_null, flag
+from ..functions import all_of, any_null, flag, to_number
 from ..session import hand_off
 from .skew import HOT_ROWS, skew_join
 
@@ -109,10 +109,10 @@ def outlier_report(df: DataFrame, cols: Sequence[str], *, ignore_zero: bool = Fa
 
 
 def coercion_report(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
-    """Per column: how many values a cast to the target type would turn into null."""
+    """Per column: how many values are lost when it is read as a number of the given type."""
 
     def line(c, kind):
-        lost = F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()
+        lost = F.col(c).isNotNull() & to_number(df, c, kind).isNull()
         return F.struct(
             F.lit(c).alias("field"), F.lit(kind).alias("type"), F.count_if(lost).alias("bad")
         )

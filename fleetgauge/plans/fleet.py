@@ -93,9 +93,9 @@ def run_totals(trips: DataFrame, day_tz: str = "UTC") -> DataFrame:
         ["driver", "day", "plate"],
         sums={
             **{m: F.col(m) for m in RUN_MEASURES if m != "passengerTime"},
-            "passengerTime": F.col("passengerTime").try_cast("int"),
+            "passengerTime": fn.to_number(trips, "passengerTime"),
             "NegativeReview": fn.flag(F.col("judge").isin(*NEGATIVE_REVIEWS)),
-            "CarryPassengerNum": fn.flag(F.col("passengerCount").try_cast("double") > 0),
+            "CarryPassengerNum": fn.flag(fn.to_number(trips, "passengerCount", "double") > 0),
         },
     )
 
@@ -146,7 +146,7 @@ def clean_drivers(
     """One row per identity number and certificate, with attributes read from the number."""
     one = dims.latest_per_key(drivers, ["IDNumber", "Certified"], list(order))
     typed = fn.normalise_ids(one, "DriverID", "Certified").withColumn(
-        "DriverTypeID", F.col("DriverTypeID").try_cast("int")
+        "DriverTypeID", fn.to_number(one, "DriverTypeID")
     )
     kept = fn.exclude(typed, {"Certified": list(excluded)}) if excluded else typed
     return kept.where(F.length("IDNumber") == 18).withColumns(

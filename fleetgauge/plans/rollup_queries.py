@@ -136,11 +136,11 @@ def daily_run_sums(spark, sf_dir):
         sums={
             "free_mileage": "l_quantity",
             "mileage": "l_extendedprice",
-            "passenger_time": F.col("seconds").try_cast("int"),
+            "passenger_time": fn.to_number(trips, "seconds"),
             "wait_time": "l_tax",
             "money": "l_discount",
             "negative_review": fn.flag(F.col("l_returnflag").isin("R", "A")),
-            "carry_passenger": fn.flag(F.col("l_tax").try_cast("double") > 0),
+            "carry_passenger": fn.flag(fn.to_number(trips, "l_tax", "double") > 0),
         },
     )
     digits = {"free_mileage": 4, "mileage": 2, "wait_time": 4, "money": 4}

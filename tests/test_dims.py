@@ -131,3 +131,20 @@ def test_null_safe_dimension(spark):
     assert rows(join.wide_join(spine, dim(one))) == [("a", 1), (None, 2)]
     with pytest.raises(join.FanOutError):
         join.wide_join(spine, dim(one.union(one.where("k is null"))))
+
+
+def test_to_number(spark):
+    texts = ["12", " -3 ", "+4", "1.5", "1e3", "x", "", "99999999999", None, "NaN"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(fn.to_number(df, "t").alias("i"), fn.to_number(df, "t", "double").alias("d")).collect()
+    assert [r.i for r in got] == [12, -3, 4, None, None, None, None, None, None, None]
+    assert [r.d for r in got] == [12.0, -3.0, 4.0, 1.5, 1000.0, None, None, 99999999999.0, None, None]
+    numbers = spark.createDataFrame([(600.7,)], "t double")
+    assert numbers.select(fn.to_number(numbers, "t").alias("i")).first().i == 600
+
+
+def test_compact_date_and_parity(spark):
+    df = spark.createDataFrame([("20240229",), ("20230229",), ("20231301",), ("2024022",), ("abcdefgh",), (None,)], "t string")
+    assert [r.d for r in df.select(fn.compact_date("t", 1).alias("d")).collect()] == [dt.date(2024, 2, 29)] + [None] * 5
+    odd = spark.createDataFrame([("7",), ("0",), ("x",), ("",), (None,)], "t string")
+    assert [r.p for r in odd.select(fn.digit_parity("t", 1).alias("p")).collect()] == [1, 0, None, None, None]
