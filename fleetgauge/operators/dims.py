@@ -54,15 +54,21 @@ def known_holidays(holidays: DataFrame, day: str = "date", kind: str = "type") -
     )
 
 
+# Calendar days a holiday list may have to be sent to every executor: 273 years.
+BROADCAST_DAYS = 100_000
+
+
 def day_type(
     df: DataFrame, day: str, holidays: DataFrame, *, output: str = "date_type"
 ) -> DataFrame:
     """Holiday table first, weekday or weekend otherwise.
 
-    The lookup holds at most one row per calendar day; it is left to Spark's own
-    size check whether to broadcast it.
+    The lookup holds one row per listed calendar day. It is broadcast if counting
+    it stays below ``BROADCAST_DAYS``, so the table itself is not shuffled.
     """
     known = known_holidays(holidays)
+    if known.limit(BROADCAST_DAYS + 1).count() <= BROADCAST_DAYS:
+        known = F.broadcast(known)
     by_week = F.when(F.weekday(F.to_date(F.col(day))) < 5, "workday").otherwise("weekend")
     return (
         df.join(known, F.to_date(F.col(day)) == F.col("__holiday"), "left")

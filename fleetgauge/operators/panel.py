@@ -19,20 +19,27 @@ def key_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 
 
 def streak_before(
-    df: DataFrame, keys: Sequence[str], day: str, *, output: str = "streak_before"
+    df: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    *,
+    output: str = "streak_before",
+    on_panel: bool = False,
 ) -> DataFrame:
     """Per key and event day: length of the unbroken run of event days up to the day before.
 
     A run starts where the previous event day is not yesterday; the streak is the
-    distance to the start of the run. Both steps share one sort.
+    distance to the start of the run. Both steps share one sort. Events are first
+    reduced to distinct days; with ``on_panel`` the rows of ``df`` already are
+    one per key and day, and get the streak as a further column.
     """
+    days = df.dropna(subset=[*keys, day]) if on_panel else key_days(df, keys, day)
     w = W.partitionBy(*keys).orderBy(day)
     gap = F.datediff(F.col(day), F.lag(day).over(w))
     starts = F.when(F.coalesce(gap, F.lit(0)) != 1, F.col(day))
     run_start = F.last("__start", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))
     return (
-        key_days(df, keys, day)
-        .withColumn("__start", starts)
+        days.withColumn("__start", starts)
         .withColumn(output, F.datediff(F.col(day), run_start))
         .drop("__start")
     )
@@ -125,6 +132,7 @@ def rolling(
     asked = {f for fs in wanted.values() for f in fs}
     if not asked <= set(ROLLING_FUNCS):
         raise ValueError(f"unknown functions {sorted(asked - set(ROLLING_FUNCS))}; known: {ROLLING_FUNCS}")
+    # a range of days needs a number to order by
     ordered = W.partitionBy(*keys).orderBy(F.unix_date(F.to_date(F.col(day))))
     frame = ordered.rangeBetween(-(days - 1), 0)
     twice = F.count(F.lit(1)).over(ordered.rangeBetween(0, 0)) > 1

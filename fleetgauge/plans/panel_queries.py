@@ -374,9 +374,9 @@ def daily_feature_panel(spark, sf_dir):
         fn.round_to(F.sum("value"), 4).alias("total"),
         F.count_if(F.col("event_type") == "purchase").alias("purchases"),
     )
-    joined = daily.join(panel.streak_before(daily, ["user_id"], "day"), ["user_id", "day"], "left")
+    streaks = panel.streak_before(daily, ["user_id"], "day", on_panel=True)
     out = panel.rolling(
-        joined, ["user_id"], "day",
+        streaks, ["user_id"], "day",
         {"total": ["mean"], "purchases": ["sum"], "n": ["std"]}, days=8,
     )
     return rounded(out, 6, "total_8d_mean", "n_8d_std")

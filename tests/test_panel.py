@@ -22,6 +22,14 @@ def test_streak_counts_days_before(spark):
     assert [r.streak_before for r in out.orderBy("d").collect()] == [0, 1, 0, 1, 2, 0]
 
 
+def test_streak_on_a_panel_shares_its_exchange_with_rolling(spark):
+    df = days_frame(spark, *[("a", day(n), float(n)) for n in (1, 2, 4, 5, 6, 9)])
+    out = panel.streak_before(df, ["k"], "d", on_panel=True)
+    assert [(r.x, r.streak_before) for r in out.orderBy("d").collect()] == [(1, 0), (2, 1), (4, 0), (5, 1), (6, 2), (9, 0)]
+    plan = panel.rolling(out, ["k"], "d", ["x"], ["sum"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_streak_equals_its_definition(spark, table):
     events = table("events").select("user_id", F.to_date("ts").alias("d"))
     got = {(r.user_id, r.d): r.streak_before for r in panel.streak_before(events, ["user_id"], "d").collect()}
