@@ -139,7 +139,7 @@ def nearest_neighbours(
         F.col(label).alias("__class"),
         F.col(ident).alias("__id"),
         F.col(features).cast("array<double>").alias("__x"),
-    )
+    ).where(F.col("__class").isNotNull())
     sizes = {r["__class"]: r.n for r in rows.groupBy("__class").agg(F.count(F.lit(1)).alias("n")).collect()}
     wide = [c for c, n in sizes.items() if n > block_rows]
     points: dict[object, np.ndarray] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
 from ..functions.codes import DAY_TYPES
-from ..operators import dims, join, panel, rollup
+from ..operators import dims, join, panel, rollup, skew
 from .registry import query, table
 
 
@@ -353,3 +353,17 @@ def null_safe_join(spark, sf_dir):
     named = table(spark, sf_dir, "customer").where("c_custkey % 9 <> 0 OR c_custkey = 9")
     named = named.select(F.when(F.col("c_custkey") != 9, F.col("c_custkey")).alias("k"), "c_name")
     return join.wide_join(orders, [join.Dim("customer", named, ["k"], null_safe=True)]).drop("k")
+
+
+@query(
+    """
+    WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 11 <> 0 THEN user_id END AS k FROM events)
+    SELECT event_id, c_name FROM e LEFT JOIN customer ON k = c_custkey
+    """
+)
+def skewed_dim_join(spark, sf_dir):
+    # a third of all rows share one key, and a share has none; a low limit makes them hot
+    k = F.when(F.col("event_id") % 3 == 0, 7).when(F.col("event_id") % 11 != 0, F.col("user_id"))
+    events = table(spark, sf_dir, "events").select("event_id", k.alias("c_custkey"))
+    named = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return skew.skew_join(events, named, ["c_custkey"], min_rows=200).drop("c_custkey")

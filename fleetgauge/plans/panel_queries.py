@@ -115,6 +115,31 @@ def fill_forward_backward(spark, sf_dir):
     return out.select("event_id", "value")
 
 
+@query(
+    """
+    WITH v AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS k,
+                      CASE WHEN value > 60 THEN value END AS x FROM events)
+    SELECT event_id, coalesce(
+      last_value(x IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value(x IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+      -1) AS value
+    FROM v
+    """
+)
+def skewed_fill(spark, sf_dir):
+    # a third of all rows share one key; a low limit sends it the chunked way
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("k"),
+        "value",
+    )
+    out = fill.fill_forward_backward(
+        events, ["k"], ["ts", "event_id"], "value", valid=F.col("value") > 60, min_rows=200
+    )
+    return out.select("event_id", "value")
+
+
 @query(
     f"""
     WITH {USER_DAYS}, g AS (SELECT user_id, day, CASE WHEN n >= 4 THEN n END AS f FROM user_days)

@@ -47,6 +47,9 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[tuple[str, str]] = []
+
+
 def hand_off(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -56,4 +59,16 @@ def hand_off(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_hand_offs(spark: SparkSession) -> int:
+    """Delete the interim tables this application has written; call it when results are stored."""
+    app = spark.sparkContext.applicationId
+    mine = [path for owner, path in _written if owner == app]
+    for path in mine:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written[:] = [(owner, path) for owner, path in _written if owner != app]
+    return len(mine)
