@@ -44,3 +44,21 @@ NEGATIVE_REVIEWS = (3, 4)
 # Day types
 HOLIDAY_TYPES = ("public_holiday", "transfer_workday")
 DAY_TYPES = ("public_holiday", "transfer_workday", "workday", "weekend")
+
+# Speeds counted as over-speed lie strictly between these, moving ones above the last
+OVER_SPEED_RANGE = (20, 250)
+MOVING_SPEED = 5
+
+# Region prefix of an identity number, text in a device maker's name
+REGION_PREFIX = "44"
+DEVICE_MAKER_TEXT = "CK-R"
+
+# Divisors from raw to reported units
+UNIT_DIVISORS = {
+    "freeMileage": 1000,
+    "mileage": 1000,
+    "passengerTime": 3600,
+    "waitTime": 3600,
+    "money": 100,
+    "age": 365,
+}

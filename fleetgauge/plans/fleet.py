@@ -13,13 +13,18 @@ from .. import functions as fn
 from ..functions.codes import (
     ALARM_CATEGORIES,
     ALARM_TYPES,
+    BRAKE_WARNING_TYPE,
     DAY_TYPES,
+    DEVICE_MAKER_TEXT,
     LOGIN_STATUSES,
+    MOVING_SPEED,
     NEGATIVE_REVIEWS,
+    OVER_SPEED_RANGE,
+    REGION_PREFIX,
+    UNIT_DIVISORS,
     VIOLATION_TYPES,
     WARNING_CLASSES,
     WARNING_TYPES,
-    BRAKE_WARNING_TYPE,
 )
 from ..operators import clean, dims, fill, join, learn, panel, rollup
 from ..session import hand_off
@@ -49,7 +54,7 @@ def alarm_counts(alarms: DataFrame, day_tz: str = "UTC") -> DataFrame:
 
 def over_speed_counts(alarms: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Valid over-speed alarms per day, driver and plate."""
-    fast = _alarms(alarms.where(fn.open_range("speed", 20, 250)), day_tz)
+    fast = _alarms(alarms.where(fn.open_range("speed", *OVER_SPEED_RANGE)), day_tz)
     return rollup.daily_agg(
         fast, ["day", "driver", "plate"], aggs={"over_speed_cnt": F.count(F.lit(1))}
     )
@@ -114,7 +119,7 @@ def device_mileage(positions: DataFrame, day_tz: str = "UTC") -> DataFrame:
 
 def driver_speed(positions: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Speed statistics of moving positions per day and driver."""
-    moving = positions.where((F.col("speed") > 5) & fn.has_text("jobNumber")).withColumns(
+    moving = positions.where((F.col("speed") > MOVING_SPEED) & fn.has_text("jobNumber")).withColumns(
         {"day": fn.epoch_to_day("gpsTime", day_tz), "driver": F.col("jobNumber")}
     )
     return rollup.speed_stats(moving, ["day", "driver"], "speed")
@@ -140,7 +145,7 @@ def clean_drivers(
     drivers: DataFrame,
     *,
     order: Sequence[str] = ("DriverID",),
-    region: str = "44",
+    region: str = REGION_PREFIX,
     excluded: Sequence[str] = (),
 ) -> DataFrame:
     """One row per identity number and certificate, with attributes read from the number."""
@@ -160,7 +165,7 @@ def clean_drivers(
     )
 
 
-def clean_vehicles(vehicles: DataFrame, *, maker_text: str = "CK-R") -> DataFrame:
+def clean_vehicles(vehicles: DataFrame, *, maker_text: str = DEVICE_MAKER_TEXT) -> DataFrame:
     """The latest row per plate, with a flag for the device maker."""
     latest = dims.latest_per_key(vehicles, ["VehicleLic"], ["AddTime", "VehicleID"])
     named = fn.normalise_ids(latest, "VehicleID", "TerminalEquipmentID")
@@ -276,7 +281,6 @@ ALARM_FIELDS = [*ALARM_CATEGORIES.values(), *ALARM_TYPES.values()]
 VIOLATION_FIELDS = list(VIOLATION_TYPES.values())
 FLAGS = ["IsGps", "IsCamera", "IsAeb"]
 COUNT_FIELDS = [*ALARM_FIELDS, *WARNING_FIELDS, *VIOLATION_FIELDS]
-UNITS = {"freeMileage": 1000, "mileage": 1000, "passengerTime": 3600, "waitTime": 3600, "money": 100, "age": 365}
 ZERO_FILLED = ["streak_before", "over_speed_cnt", "ExamNum", "TrainNum"]
 
 WINDOW_DAYS = 8
@@ -341,7 +345,7 @@ def prepare_features(
     order = ["day", "DriverName", "driver"]
     mileage = fill.fill_forward_backward(rows, ["plate"], order, "totalmileage")
     unique = dims.first_per_key(mileage, ["day", *PANEL_KEYS], ["driver"])
-    base = hand_off(fn.scale_units(unique, UNITS), "panel-base")
+    base = hand_off(fn.scale_units(unique, UNIT_DIVISORS), "panel-base")
 
     clipped = clean.sigma_clip(base, WARNING_FIELDS)
     clipped = clean.reset_flag(clipped, "IsAeb", F.col("outlier_count") > 0)

@@ -196,7 +196,7 @@ def expected_features(rows):
             r["totalmileage"] = earlier[-1] if earlier else later[0] if later else -1
     rows = sorted(rows, key=lambda r: (r["plate"], r["DriverName"], r["day"]))
     for r in rows:
-        for c, unit in fleet.UNITS.items():
+        for c, unit in fleet.UNIT_DIVISORS.items():
             r[c] = None if r[c] is None else r[c] / unit
     hits = [clip(rows, c, True) for c in fleet.WARNING_FIELDS]
     for i, r in enumerate(rows):
