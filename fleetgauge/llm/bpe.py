@@ -19,7 +19,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
 CACHE_WORDS = 200_000
@@ -214,24 +214,27 @@ def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str]) -> Dat
     """The columns ``keep`` and ``ids``: the token ids of every whole text; a null text has none.
 
     ``tokenizer`` is the path of a vocabulary file on each executor. Rows stay where
-    they are: there is no shuffle, and repeated rows are encoded each.
+    they are: there is no shuffle, and repeated rows are encoded each. ``keep`` may hold the text and
+    columns of any name but ``ids``.
     """
+    where = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         encoder = Encoder(tokenizer)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                packed = [encoder.encode(t.as_py())[0] for t in part.column(len(keep))]
+                packed = [encoder.encode(t.as_py())[0] for t in part.column(where)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], _int_lists(packed)], names=[*keep, "ids"])
 
-    rows = df.select(*keep, F.col(text_col).alias("_text"))
-    schema = rows.select(*keep).schema.add("ids", ArrayType(IntegerType()))
+    rows = df.select(*keep) if where < len(keep) else df.select(*keep, text_col)
+    schema = df.select(*keep).schema.add("ids", ArrayType(IntegerType()))
     return rows.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, ids_col: str, tokenizer: str, keep: list[str], out: str = "decoded") -> DataFrame:
     """The columns ``keep`` and the text of each id list: arc labels joined by a space; null ids give an empty text."""
+    where = keep.index(ids_col) if ids_col in keep else len(keep)
 
     def run(batches):
         with open(tokenizer, encoding="utf-8") as f:
@@ -241,9 +244,9 @@ def decode(df: DataFrame, ids_col: str, tokenizer: str, keep: list[str], out: st
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                texts = [" ".join(names[ids.values.to_numpy()]) if ids.is_valid else "" for ids in part.column(len(keep))]
+                texts = [" ".join(names[ids.values.to_numpy()]) if ids.is_valid else "" for ids in part.column(where)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
 
-    rows = df.select(*keep, F.col(ids_col).alias("_ids"))
-    schema = rows.select(*keep).schema.add(out, "string")
+    rows = df.select(*keep) if where < len(keep) else df.select(*keep, ids_col)
+    schema = df.select(*keep).schema.add(out, "string")
     return rows.mapInArrow(run, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,6 +35,12 @@ class Network:
             self.weights["out" + side] = rng.normal(0, hidden**-0.5, (k, hidden)).astype(np.float32)
         self.weights["bias"] = np.zeros((k, 1), np.float32)
 
+    @classmethod
+    def of(cls, languages: list[str], hidden: int, weights: dict) -> Network:
+        network = cls(languages, hidden)
+        network.weights = weights
+        return network
+
     def _pass(self, side: str, x: np.ndarray, logits: np.ndarray, keep: list | None = None) -> None:
         """Adds what one direction gives to ``logits`` (steps, languages, windows); x is (steps, windows)."""
         h, n = self.hidden, x.shape[1]
@@ -170,25 +178,32 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     """Train on at most ``per_language`` documents of each language, chosen by the hash of their id.
 
     Of each document up to ``FIT_PIECES`` pieces of ``PIECE_CHARS`` characters, spread over the whole text, are taken. Rows with a null text or
-    language are left out; without any row there is no network. The sample is all that reaches the driver.
+    language are left out; without any row there is no network. One task trains on the
+    sample and the driver gets the weights.
     """
     n = F.length("text")
     step = F.greatest(F.lit(PIECE_CHARS), F.ceil(n / FIT_PIECES)).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), F.lit(FIT_PIECES - 1)), lambda i: F.substring("text", i * step + 1, F.lit(PIECE_CHARS)))
     order = Window.partitionBy("lang").orderBy("place", "id", "whole")
-    rows = (
+    sample = (
         labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
         .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
         .select("id", "lang", F.xxhash64(F.col("id")).alias("place"), F.xxhash64("text").alias("whole"), pieces.alias("pieces"))
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-        .select("lang", "pieces", "place", "id", "whole").collect()
+        .select("lang", "n", "pieces")
     )
+    found = sample.coalesce(1).mapInArrow(_trained, "network binary").collect()
+    return Network.of(*pickle.loads(found[0][0])) if found else None
+
+
+def _trained(batches):
+    """One network for all rows of the sample."""
+    rows = sorted((r["lang"], r["n"], r["pieces"]) for batch in batches for r in batch.to_pylist())
     if not rows:
-        return None
-    rows.sort(key=lambda r: (r["lang"], r["place"], str(r["id"]), r["whole"]))
-    languages = sorted({r["lang"] for r in rows})
-    texts = [[p.encode() for p in r["pieces"] if len(p) >= STEPS // 2] for r in rows]
-    labels = [languages.index(r["lang"]) for r, t in zip(rows, texts, strict=True) for _ in t]
+        return
+    languages = sorted({r[0] for r in rows})
+    texts = [[p.encode() for p in pieces if len(p) >= STEPS // 2] for _, _, pieces in rows]
+    labels = [languages.index(r[0]) for r, t in zip(rows, texts, strict=True) for _ in t]
     x, owner, _ = windows_of([p for t in texts for p in t])
     y = np.array(labels, int)[owner] if labels else np.zeros(0, int)
     network = Network(languages)
@@ -198,7 +213,8 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     if rows_of and len(languages) > 1:
         picked = np.concatenate(rows_of)
         network.fit(x[picked], y[picked])
-    return network
+    state = (network.languages, network.hidden, network.weights)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], names=["network"])
 
 
 BATCH_BYTES = 4 << 20
@@ -208,12 +224,14 @@ def predict(docs: DataFrame, text_col: str, network: Network | None, keep: list[
     """The columns ``keep``, the predicted language and its mean probability over all bytes of the whole text.
 
     A null text and one without a letter are ``und`` with score 0, as is everything without a network.
-    Ties go to the first language in alphabetical order. Rows stay where they are.
+    Ties go to the first language in alphabetical order. Rows stay where they are. ``keep`` may hold the
+    text and columns of any name but ``lang`` and ``score``.
     """
+    where = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(len(keep))
+            texts = batch.column(where)
             start = 0
             while start < batch.num_rows:
                 stop, size, part = start, 0, []
@@ -233,8 +251,8 @@ def predict(docs: DataFrame, text_col: str, network: Network | None, keep: list[
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, lang, score])
                 start = stop
 
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = rows.select(*keep).schema.add(lang, "string").add(score, "double")
+    rows = docs.select(*keep) if where < len(keep) else docs.select(*keep, text_col)
+    schema = docs.select(*keep).schema.add(lang, "string").add(score, "double")
     return rows.mapInArrow(run, schema)
 
 

@@ -146,6 +146,30 @@ def _sequences(batches):
         yield _two(held)
 
 
+def _counted(batches):
+    """(shingle, id, times) of each sequence."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            shingle, times = np.unique(np.frombuffer(batch.column(1)[k].as_buffer(), np.int32), return_counts=True)
+            ids = np.full(len(shingle), batch.column(0)[k].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(ids), pa.array(times.astype(np.int64))], names=["shingle", "id", "times"])
+
+
+def _alignable(sequences: DataFrame) -> DataFrame:
+    """(id, n, free): the shingles of a text, and how many of them any other of these texts has.
+
+    No alignment with another of them can be longer than ``free``.
+    """
+    alone = (
+        sequences.mapInArrow(_counted, "shingle int, id long, times long").groupBy("shingle")
+        .agg(F.count("*").alias("texts"), F.min("id").alias("id"), F.min("times").alias("times")).where("texts = 1")
+        .groupBy("id").agg(F.sum("times").alias("alone"))
+    )
+    sizes = sequences.groupBy("id").agg(F.min(F.octet_length("seq") / 4).alias("n"), F.max(F.octet_length("seq") / 4).alias("most"), F.count("*").alias("rows"))
+    free = F.when(F.col("rows") == 1, F.col("most") - F.coalesce("alone", F.lit(0))).otherwise(F.col("most"))
+    return sizes.join(alone, "id", "left").select("id", "n", free.alias("free"))
+
+
 def _two(held):
     return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.binary())], names=["id", "seq"])
 
@@ -174,10 +198,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of the same words) and stand for one text. Each text gives ``SKETCHES`` keys;
     a pair at 0.8 shares none of them with a probability below 1e-5.
 
-    Texts with a common key are not paired with each other. First each is aligned with the smallest id of its
-    bucket, so a bucket of any size gives one pair per row, and the links found are joined to
-    components. Then only members outside the largest component of a bucket are
-    aligned with members of other components, if they share two keys; a pair at 0.8 shares just one with a probability below 1e-4.
+    Texts with a common key are not paired with each other. Shingles that no other text in a bucket
+    has bound the alignment of a text with any other, and pairs that cannot reach ``least`` by these bounds are ruled out without a loss.
+    First each text is aligned with one centre of its bucket, the member with the smallest share of shingles of its own, so a bucket of any
+    size gives one pair per row, and the links found are joined to components. Then only members
+    outside the largest component of a bucket are aligned with members of other components, if they share two
+    keys (a pair at 0.8 shares just one with a probability below 1e-4).
 
     Null texts and texts without a word are in no bucket: each keeps its own id as class. Rows with a null id get a
     class only as copies or where linked by a copy. Rows that share an id share a class. No other column is looked at.
@@ -189,26 +215,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     texts = hand_off(texts, "texts")
     members = texts.select(F.col("copy_of").alias("id"), F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1 AND a IS NOT NULL")
-    shared = hand_off(members.join(buckets.select("key", "a"), "key"), "buckets")
+    buckets = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = hand_off(members.join(buckets.select("key"), "key"), "buckets")
     involved = shared.select("id").distinct()
     sequences = hand_off(rows.join(involved, "id", "left_semi").mapInArrow(_sequences, "id long, seq binary").distinct(), "sequences")
+    able = _alignable(sequences).where(F.col("free") >= least * F.col("n"))
+    live = hand_off(shared.join(able, "id"), "able")
+
+    def can(n_a, free_a, n_b, free_b):
+        most = F.least(free_a, free_b)
+        return most >= least * (F.col(n_a) + F.col(n_b) - most)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left, right = sequences.withColumnsRenamed({"id": "a", "seq": "seq_a"}), sequences.withColumnsRenamed({"id": "b", "seq": "seq_b"})
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "seq_a", "seq_b")
         return met.mapInArrow(_verified(least), "a long, b long, similarity double").select("a", "b").distinct()
 
-    stars = shared.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    centre = live.groupBy("key").agg(F.max(F.struct(F.col("free") / F.col("n"), -F.col("id"), "n", "free")).alias("c"))
+    centre = centre.select("key", (-F.col("c.col2")).alias("a"), F.col("c.n").alias("n_a"), F.col("c.free").alias("free_a"))
+    stars = live.join(centre, "key").where((F.col("a") != F.col("id")) & can("n", "free", "n_a", "free_a"))
+    stars = stars.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
     links = hand_off(verify(stars), "links")
     labels = components(links)
 
-    placed = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    placed = live.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     sizes = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     open_rows = hand_off(placed.join(top.select("key", F.col("top.label").alias("main")), "key"), "open")
-    outside = open_rows.where("label <> main").select("key", F.col("id").alias("a"), F.col("label").alias("label_a"))
-    met = outside.join(open_rows.select("key", F.col("id").alias("b"), "label"), "key").where("label <> label_a")
+    outside = open_rows.where("label <> main").select("key", F.col("id").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("free").alias("free_a"))
+    others = open_rows.select("key", F.col("id").alias("b"), "label", "n", "free")
+    met = outside.join(others, "key").where((F.col("label") != F.col("label_a")) & can("n", "free", "n_a", "free_a"))
     again = (
         met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "key").distinct()
         .groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
