@@ -85,9 +85,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col
     places = texts.select("id", "hash", F.posexplode(windows("t", n)).alias("at", "window")).join(known, "window", "left_semi")
     # Few windows are left; the values of their slots come from the words of the texts that hold them.
     hits = places.distinct().groupBy("id", "hash").agg(F.collect_list(F.struct("at", "window")).alias("places"))
-    held = _texts(docs, id_col, text_col).alias("t").join(
-        hits.alias("h"), (F.col("t.hash") == F.col("h.hash")) & F.col("t.id").eqNullSafe(F.col("h.id"))
-    ).select("t.id", "t.hash", "t.words", "h.places").dropDuplicates(["id", "hash"])
+    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    held = whole.alias("t").join(hits.alias("h"), (F.col("t.hash") == F.col("h.hash")) & F.col("t.id").eqNullSafe(F.col("h.id")))
+    held = held.select("t.id", "t.hash", "t.text", "h.places").dropDuplicates(["id", "hash"]).select("id", "hash", words("text").alias("words"), "places")
     doc_side = held.select("id", "hash", "words", F.explode("places").alias("p")).select(
         "id", "hash", F.col("p.at").alias("at"), F.col("p.window").alias("window"), F.slice("words", F.col("p.at") + 1, n).alias("doc_words")
     )
