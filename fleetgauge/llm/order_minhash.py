@@ -117,6 +117,13 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY)
     return found if found >= least else 0.0
 
 
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles both have, with multiplicity: no alignment is longer."""
+    (x, n), (y, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
+
+
 def _sketches(batches):
     shingle = Shingler()
     for batch in batches:
@@ -177,15 +184,15 @@ def _two(held):
 def _verified(least):
     def run(batches):
         for batch in batches:
-            a, b, score = [], [], []
+            score, shared = [], []
             for k in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint32) for c in (2, 3))
-                found = aligned_similarity(x, y, least)
-                if found:
-                    a.append(batch.column(0)[k].as_py())
-                    b.append(batch.column(1)[k].as_py())
-                    score.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(score, pa.float64())], names=["a", "b", "similarity"])
+                shared.append(_overlap(x, y))
+                enough = shared[-1] >= least * (len(x) + len(y) - shared[-1])
+                score.append(aligned_similarity(x, y, least) if enough else 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array(shared, pa.int64())], names=["a", "b", "similarity", "overlap"]
+            )
 
     return run
 
@@ -203,7 +210,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     First each text is aligned with one centre of its bucket, the member with the smallest share of shingles of its own, so a bucket of any
     size gives one pair per row, and the links found are joined to components. Then only members
     outside the largest component of a bucket are aligned with members of other components, if they share two
-    keys (a pair at 0.8 shares just one with a probability below 1e-4).
+    keys (a pair at 0.8 shares just one with a probability below 1e-4) and can reach ``least``: two texts
+    share at most what the one with less of it shares with the centre, and of the rest only what is not their own.
 
     Null texts and texts without a word are in no bucket: each keeps its own id as class. Rows with a null id get a
     class only as copies or where linked by a copy. Rows that share an id share a class. No other column is looked at.
@@ -222,35 +230,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     able = _alignable(sequences).where(F.col("free") >= least * F.col("n"))
     live = hand_off(shared.join(able, "id"), "able")
 
-    def can(n_a, free_a, n_b, free_b):
-        most = F.least(free_a, free_b)
-        return most >= least * (F.col(n_a) + F.col(n_b) - most)
-
     def verify(pairs: DataFrame) -> DataFrame:
         left, right = sequences.withColumnsRenamed({"id": "a", "seq": "seq_a"}), sequences.withColumnsRenamed({"id": "b", "seq": "seq_b"})
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "seq_a", "seq_b")
-        return met.mapInArrow(_verified(least), "a long, b long, similarity double").select("a", "b").distinct()
+        return met.mapInArrow(_verified(least), "a long, b long, similarity double, overlap long")
 
-    centre = live.groupBy("key").agg(F.max(F.struct(F.col("free") / F.col("n"), -F.col("id"), "n", "free")).alias("c"))
-    centre = centre.select("key", (-F.col("c.col2")).alias("a"), F.col("c.n").alias("n_a"), F.col("c.free").alias("free_a"))
-    stars = live.join(centre, "key").where((F.col("a") != F.col("id")) & can("n", "free", "n_a", "free_a"))
-    stars = stars.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-    links = hand_off(verify(stars), "links")
+    centre = live.groupBy("key").agg(F.max(F.struct(F.col("free") / F.col("n"), -F.col("id"))).alias("c"))
+    live = live.join(centre.select("key", (-F.col("c.col2")).alias("centre")), "key")
+    stars = live.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    stars = hand_off(verify(stars).groupBy("a", "b").agg(F.max("similarity").alias("similarity"), F.max("overlap").alias("overlap")), "stars")
+    links = stars.where("similarity > 0").select("a", "b")
     labels = components(links)
 
     placed = live.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     sizes = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    open_rows = hand_off(placed.join(top.select("key", F.col("top.label").alias("main")), "key"), "open")
-    outside = open_rows.where("label <> main").select("key", F.col("id").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("free").alias("free_a"))
-    others = open_rows.select("key", F.col("id").alias("b"), "label", "n", "free")
-    met = outside.join(others, "key").where((F.col("label") != F.col("label_a")) & can("n", "free", "n_a", "free_a"))
-    again = (
-        met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "key").distinct()
-        .groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = hand_off(verify(again), "more-links")
+    overlap = stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), "overlap")
+    open_rows = placed.join(top.select("key", F.col("top.label").alias("main")), "key").join(overlap, ["centre", "id"], "left")
+    open_rows = open_rows.join(texts.select(F.col("copy_of").alias("id"), "keys"), "id")
+    open_rows = hand_off(open_rows.select("key", "id", "label", "main", "n", "free", F.coalesce("overlap", "n").alias("near"), "keys"), "open")
+    outside = open_rows.where("label <> main").select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "free", "near", "keys")])
+    most = F.least("near", "near_a") + F.least(F.col("free") - F.col("near"), F.col("free_a") - F.col("near_a"))
+    can = most >= least * (F.col("n") + F.col("n_a") - most)
+    common = F.array_intersect("keys", "keys_a")
+    once = (F.size(common) > 1) & (F.array_min(common) == F.col("key"))  # of all buckets of a pair, one passes it on
+    met = outside.join(open_rows, "key").where((F.col("label") != F.col("label_a")) & can & once)
+    again = met.select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct()
+    more = hand_off(verify(again).where("similarity > 0").select("a", "b"), "more-links")
     labels = components(links.unionByName(more))
 
     named = texts.select("same", "copy_of").join(labels.select(F.col("id").alias("copy_of"), "label"), "copy_of", "left")
