@@ -16,13 +16,14 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000  # of each of two generations
 START = -1  # the state before any token
 
 
@@ -66,11 +67,10 @@ class Automaton:
         self.cut: dict[tuple[int, int], int] = {}
         self.dead: set[int] = set()
         self.known: dict[tuple[int, int], bool] = {}
-        self.longest = 1
         for time, (left, right) in enumerate(merges, 1):
             self._gadget(vocab[left], vocab[right], vocab[left + right], time)
         self.usable = {t: i for t, i in vocab.items() if i not in self.dead}
-        self.longest = max(map(len, self.usable), default=1)
+        self.begins = {t[:k] for t in self.usable for k in range(1, len(t) + 1)}
 
     def _gadget(self, u: int, v: int, w: int, time: int) -> None:
         if w in self.parts:
@@ -114,28 +114,33 @@ class Automaton:
         Of several arcs that fit, the longest is tried first; a (place, state) from
         which the end was not reached is not entered again.
         """
-        n, find, longest, known = len(word), self.usable.get, self.longest, self.known
+        n, find, begins, known = len(word), self.usable.get, self.begins, self.known
         closed: set[tuple[int, int]] = set()
         out: list[int] = []
-        ends, tries = [0], [n]  # per depth: where it stands, and the next end to try
+        ends, arcs = [0], [None]  # per depth: where it stands, and the arcs not yet tried
         while (at := ends[-1]) < n:
+            if arcs[-1] is None:
+                fit, stop = [], at + 1
+                while stop < n and (part := word[at:stop]) in begins:
+                    if (token := find(part)) is not None:
+                        fit.append((stop, token))
+                    stop += 1
+                if stop == n and (token := find(word[at:] + end)) is not None:
+                    fit.append((n, token))
+                arcs[-1] = fit
             state = out[-1] if out else START
-            stop = min(tries[-1], at + longest)
-            while stop > at:
-                token = find(word[at:stop] if stop < n else word[at:] + end)
-                if token is not None and (state == START or (known.get((state, token)) or self.step(state, token))) and (stop, token) not in closed:
+            while arcs[-1]:
+                step = arcs[-1].pop()
+                if (state == START or known.get((state, step[1])) or self.step(state, step[1])) and step not in closed:
+                    ends.append(step[0])
+                    out.append(step[1])
+                    arcs.append(None)
                     break
-                stop -= 1
-            if stop > at:
-                tries[-1] = stop - 1
-                out.append(token)
-                ends.append(stop)
-                tries.append(n)
-            elif out:  # nothing fits here
+            else:  # nothing fits here
+                if not out:
+                    raise ValueError("a symbol is not in the vocabulary")
                 closed.add((ends.pop(), out.pop()))
-                tries.pop()
-            else:
-                raise ValueError("a symbol is not in the vocabulary")
+                arcs.pop()
         return out
 
 
@@ -159,7 +164,8 @@ class Encoder:
         self.latin = word_pattern(LATIN).findall
         self.any: re.Pattern | None = None
         self.bytes = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """The normalised words of a text. Letters up to U+017F need no composing, and a smaller pattern."""
@@ -172,29 +178,33 @@ class Encoder:
             self.any = word_pattern()
         return self.any.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Packed ids and joined labels of one word."""
-        ids = self.automaton.path(word.encode().decode("latin-1").translate(self.bytes), self.end)
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        found = np.array(ids, "<i4").tobytes(), self.decode(ids)
+    def word(self, word: str) -> bytes:
+        """Packed ids of one word; words met lately are kept."""
+        found = self.old.get(word)
+        if found is None:
+            ids = self.automaton.path(word.encode().decode("latin-1").translate(self.bytes), self.end)
+            found = array("i", ids).tobytes()
         if len(word) <= 64:
-            self.cache[word] = found
+            if len(self.young) >= CACHE_WORDS:
+                self.young, self.old = {}, self.young
+            self.young[word] = found
         return found
 
-    def encode(self, text: str | None) -> tuple[bytes, list[str]]:
-        """Ids as packed 32-bit integers, and the labels of each word."""
-        packed, shown, get = [], [], self.cache.get
+    def encode(self, text: str | None) -> bytes:
+        """Ids as packed 32-bit integers."""
+        packed = []
         for piece in self.split.split(text or "") if self.split else [text or ""]:
             if piece in self.special:
-                packed.append(np.array([self.special[piece]], "<i4").tobytes())
-                shown.append(piece)
+                packed.append(array("i", [self.special[piece]]).tobytes())
                 continue
+            get = self.young.get
             for word in self.words(piece):
-                ids, labels = get(word) or self.word(word)
+                ids = get(word)
+                if ids is None:
+                    ids = self.word(word)
+                    get = self.young.get
                 packed.append(ids)
-                shown.append(labels)
-        return b"".join(packed), shown
+        return b"".join(packed)
 
     def decode(self, ids) -> str:
         """The labels of the arcs, joined as a tokenizer without a decoder joins them."""
@@ -224,7 +234,7 @@ def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str]) -> Dat
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                packed = [encoder.encode(t.as_py())[0] for t in part.column(where)]
+                packed = [encoder.encode(t.as_py()) for t in part.column(where)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], _int_lists(packed)], names=[*keep, "ids"])
 
     rows = df.select(*keep) if where < len(keep) else df.select(*keep, text_col)
