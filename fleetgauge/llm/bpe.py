@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-CACHE_WORDS = 250_000  # of each of two generations
+from .worker import per_worker
+
+CACHE_WORDS = 400_000  # of each of two generations
 START = -1  # the state before any token
 
 
@@ -48,7 +50,7 @@ def word_pattern(top: int = sys.maxunicode) -> re.Pattern:
     """Contractions, runs of letters, single numerals, runs of anything else but white space, up to code point ``top``."""
     letters, numbers = _ranges("L", top), _ranges("N", top)
     space = r"\t-\r \x85\xa0  -     　"
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
+    return re.compile(f"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^{space}{letters}{numbers}]+")
 
 
 def byte_symbols() -> list[str]:
@@ -230,7 +232,7 @@ def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str]) -> Dat
     where = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = per_worker(("automaton", tokenizer), lambda: Encoder(tokenizer))
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)

@@ -17,6 +17,7 @@ import json
 import os
 import struct
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bpe import LATIN, beyond_latin, word_pattern
+from .worker import per_worker
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEK_FRAME, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 25
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000  # of each of two generations
 ROWS = 512
 
 
@@ -53,21 +55,42 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.words = word_pattern(LATIN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        end = self.tokenizer.model.end_of_word_suffix
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if end and t.endswith(end)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode many words in one call, as a text of words between spaces; a token with the end mark closes each."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.closes[ids]) + 1
+        if len(stops) == len(words):
+            whole, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+            for word, start, stop in zip(words, starts, stops.tolist(), strict=True):
+                self.young[word] = whole[4 * start : 4 * stop]
+        else:
+            for word, enc in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+                self.young[word] = array("I", enc.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         plain = [not beyond_latin(t) and "İ" not in t and not any(s in t for s in self.special) for t in texts]
         split = [self.words(t.lower()) if p else None for t, p in zip(texts, plain, strict=True)]
-        fresh = list({w for words in split if words for w in words}.difference(self.cache))
-        if len(self.cache) + len(fresh) > CACHE_WORDS:
-            self.cache = {w: self.cache[w] for words in split if words for w in words if w in self.cache}
-        for word, enc in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.cache[word] = np.array(enc.ids, "<u4").tobytes()
-        get = self.cache.__getitem__
+        if len(self.young) > CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        get = self.young.get
+        found = [list(map(get, words)) if words is not None else [] for words in split]
+        missing = {w for words, ids in zip(split, found, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
+        fresh = [w for w in missing if w not in self.old]
+        for word in missing.difference(fresh):
+            self.young[word] = self.old[word]
+        for start in range(0, len(fresh), 1000):
+            self._learn(fresh[start : start + 1000])
         return [
-            b"".join(map(get, words)) if words is not None
-            else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-            for t, words in zip(texts, split, strict=True)
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None
+            else b"".join(map(get, words) if None in ids else ids)
+            for t, words, ids in zip(texts, split, found, strict=True)
         ]
 
 
@@ -163,7 +186,7 @@ def write(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, folder: s
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def run(batches):
-        encode, writer, found = LibraryEncoder(tokenizer), None, []
+        encode, writer, found = per_worker(("library", tokenizer), lambda: LibraryEncoder(tokenizer)), None, []
         fs, path = open_folder(folder)
         part = TaskContext.get().partitionId()
         try:
