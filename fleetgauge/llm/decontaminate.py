@@ -8,7 +8,9 @@ WINDOW = 8
 MIN_SHARE = 0.2
 BROADCAST_ROWS = 1_000_000  # distinct window hashes of 8 bytes that are sent to every executor
 
-# Names of units, taken as a unit after a number.
+WHOLE_UNIT = 3  # letters; shorter names are units only after a number
+
+# Names of units.
 UNITS = [
     "mm", "cm", "m", "km", "in", "ft", "mi", "inch", "inches", "feet", "mile", "miles", "meter", "meters", "metre", "metres",
     "mg", "g", "kg", "t", "lb", "lbs", "oz", "gram", "grams", "pound", "pounds", "tons", "ml", "l", "liter", "liters", "litre", "litres",
@@ -29,15 +31,15 @@ def words(text: str | Column) -> Column:
 def _typed(w: Column, i: Column, all_words: Column, names: bool) -> Column:
     low = F.lower(w)
     digit = lambda x: F.ascii(x).between(48, 57)
-    unit = (i > 0) & low.isin(UNITS) & digit(F.coalesce(F.get(all_words, i - 1), F.lit("")))
+    unit = low.isin(UNITS) & ((F.length(w) >= WHOLE_UNIT) | digit(F.coalesce(F.get(all_words, i - 1), F.lit(""))))
     out = F.when(digit(w), "<num>")
     if names:
         out = out.when((low != w) & (F.upper(w) != w), "<name>")
-    return out.when(unit, "<unit>").otherwise(low)
+    return out.when(unit, "<unit>").otherwise(low)  # index -1, before the first word, is null
 
 
 def template(words_col: str, names: bool = True) -> Column:
-    """Lower-cased words; numbers, units after numbers and, if ``names``, words in mixed case as placeholders."""
+    """Lower-cased words; numbers, units and, if ``names``, words in mixed case as placeholders."""
     col = F.col(words_col)
     return F.transform(col, lambda w, i: _typed(w, i, col, names))
 
