@@ -34,7 +34,7 @@ def op3_top_k(spark, sf_dir):
 
 def _level(name: str, of: str) -> str:
     return f"""{name} AS (SELECT *, (1 - held) / held AS strength FROM (SELECT *, least(greatest(coalesce(
-        CASE WHEN n > 0 AND free > 0 THEN ((xx / 1e6 - x * x / n) / (rate * (1 - rate)) - g + 1) / free END, 0.001), 0.001), 0.5) AS held
+        CASE WHEN n > 0 AND free > 0 THEN ((xx / 1e6 - x * x / n) / (rate * (1 - rate)) - g + 1) / free END, 0.5), 0.001), 0.5) AS held
       FROM (SELECT *, (x + 1) / (n + 2) AS rate, n - nn / n - (g - 1) AS free
         FROM (SELECT count(*) AS g, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(x), 0)::DOUBLE AS x, sum(n::DOUBLE * n) AS nn,
                      sum(floor(x::DOUBLE * x * 1e6::DOUBLE / n + 0.5::DOUBLE)) AS xx FROM {of} WHERE n > 0))))"""

@@ -44,7 +44,7 @@ def _strength(groups: DataFrame) -> DataFrame:
     """Pooled rate and prior strength of beta-binomial groups (x bad of n), by moments.
 
     The intraclass correlation compares the spread between groups with what chance
-    gives; it is held between 0.001 and 0.5, so the prior weighs 1 to 999 outcomes.
+    gives; it is held between 0.001 and 0.5, so the prior weighs 1 to 999 outcomes, and 1 where the spread cannot be told.
     Terms are rounded to whole millionths, so sums do not depend on their order.
     """
     seen = groups.where("n > 0")
@@ -59,7 +59,7 @@ def _strength(groups: DataFrame) -> DataFrame:
     between = F.expr("xx / 1e6 - x * x / n")
     free = F.expr("n - nn / n - (g - 1)")
     corr = F.when((F.col("n") > 0) & (free > 0), (between / (p * (1 - p)) - F.col("g") + 1) / free)
-    held = F.least(F.greatest(F.coalesce(corr, F.lit(0.001)), F.lit(0.001)), F.lit(0.5))
+    held = F.least(F.greatest(F.coalesce(corr, F.lit(0.5)), F.lit(0.001)), F.lit(0.5))
     return s.select(p.alias("rate"), ((1 - held) / held).alias("strength"))
 
 
