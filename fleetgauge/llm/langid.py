@@ -8,12 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import hand_off
+
 STEPS = 64  # bytes of a window
 HIDDEN = 12
 FIT_DOCS = 96  # labelled documents per language that a fit takes at most
 FIT_PIECES, PIECE_CHARS = 16, 384  # of each: pieces spread over the whole text, and their length
 WINDOWS = 2048
 UNKNOWN = "und"
+MOST_BROADCAST = 100_000  # ids and hashes of sampled documents that are sent to every executor
 
 
 class Network:
@@ -181,24 +184,33 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     language are left out; without any row there is no network. One task trains on the
     sample and the driver gets the weights.
     """
+    usable = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    named = usable.select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("place"), F.xxhash64(text_col).alias("whole")
+    )
+    # Ids whose hash lies in a share of its range that holds some times the wanted number; only these are ranked.
+    sizes = named.groupBy("lang").agg(F.count("*").alias("n"))
+    inside = (F.col("place").bitwiseAND((1 << 31) - 1) / 2.0**31) * F.col("n") <= 8 * per_language
+    order = Window.partitionBy("lang").orderBy("place", "id", "whole")
+    chosen = named.join(sizes, "lang").where(inside).withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
+    chosen = hand_off(chosen.select("id", "lang", "whole", "at"), "language-sample")
+    n_chosen = chosen.count()
+    if not n_chosen:
+        return None
     n = F.length("text")
     step = F.greatest(F.lit(PIECE_CHARS), F.ceil(n / FIT_PIECES)).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), F.lit(FIT_PIECES - 1)), lambda i: F.substring("text", i * step + 1, F.lit(PIECE_CHARS)))
-    order = Window.partitionBy("lang").orderBy("place", "id", "whole")
-    sample = (
-        labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-        .select("id", "lang", F.xxhash64(F.col("id")).alias("place"), F.xxhash64("text").alias("whole"), pieces.alias("pieces"))
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-        .select("lang", "n", "pieces")
-    )
-    found = sample.coalesce(1).mapInArrow(_trained, "network binary").collect()
+    texts = usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).alias("t")
+    small = (F.broadcast(chosen) if n_chosen <= MOST_BROADCAST else chosen).alias("c")
+    same = F.col("t.id").eqNullSafe(F.col("c.id")) & (F.xxhash64("t.text") == F.col("c.whole")) & (F.col("t.lang") == F.col("c.lang"))
+    sample = texts.join(small, same).select("t.lang", "c.at", pieces.alias("pieces")).dropDuplicates(["lang", "at"])
+    found = sample.repartition(1).mapInArrow(_trained, "network binary").collect()
     return Network.of(*pickle.loads(found[0][0])) if found else None
 
 
 def _trained(batches):
     """One network for all rows of the sample."""
-    rows = sorted((r["lang"], r["n"], r["pieces"]) for batch in batches for r in batch.to_pylist())
+    rows = sorted((r["lang"], r["at"], r["pieces"]) for batch in batches for r in batch.to_pylist())
     if not rows:
         return
     languages = sorted({r[0] for r in rows})
