@@ -25,7 +25,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from .worker import per_worker
 
-CACHE_WORDS = 400_000  # of each of two generations
+CACHE_WORDS = 200_000  # of each of two generations
+KNOWN_ARCS = 300_000
 START = -1  # the state before any token
 
 
@@ -68,11 +69,12 @@ class Automaton:
         self.parts: dict[int, tuple[int, int]] = {}
         self.cut: dict[tuple[int, int], int] = {}
         self.dead: set[int] = set()
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}  # by state and label in one number
         for time, (left, right) in enumerate(merges, 1):
             self._gadget(vocab[left], vocab[right], vocab[left + right], time)
         self.usable = {t: i for t, i in vocab.items() if i not in self.dead}
-        self.begins = {t[:k] for t in self.usable for k in range(1, len(t) + 1)}
+        # All beginnings of tokens: the id of a token, or -1 for a mere beginning.
+        self.begins = dict.fromkeys((t[:k] for t in self.usable for k in range(1, len(t))), -1) | self.usable
 
     def _gadget(self, u: int, v: int, w: int, time: int) -> None:
         if w in self.parts:
@@ -102,50 +104,61 @@ class Automaton:
     def step(self, state: int, label: int) -> bool:
         if state == START:
             return True
-        key = (state, label)
+        key = state << 32 | label
         found = self.known.get(key)
         if found is None:
-            if len(self.known) >= 2_000_000:
+            if len(self.known) >= KNOWN_ARCS:
                 self.known.clear()
             found = self.known[key] = self.arc(state, label, len(self.parts) + len(self.born))
         return found
 
+    def arcs(self, word: str, end: str, at: int, state: int) -> list[tuple[int, int]]:
+        """(end, token) of the arcs that fit at a place, the longest last."""
+        n, find, known, fit, stop = len(word), self.begins.get, self.known, [], at + 1
+        while stop < n and (token := find(word[at:stop])) is not None:
+            if token >= 0 and (state == START or known.get(state << 32 | token) or self.step(state, token)):
+                fit.append((stop, token))
+            stop += 1
+        if stop == n and (token := self.usable.get(word[at:] + end)) is not None and self.step(state, token):
+            fit.append((n, token))
+        return fit
+
     def path(self, word: str, end: str) -> list[int]:
         """The token sequence that spells ``word`` and its end mark: the one path from the start to the end.
 
         Of several arcs that fit, the longest is tried first; a (place, state) from
         which the end was not reached is not entered again.
         """
-        n, find, begins, known = len(word), self.usable.get, self.begins, self.known
+        n, at, state, out, other = len(word), 0, START, [], []
         closed: set[tuple[int, int]] = set()
-        out: list[int] = []
-        ends, arcs = [0], [None]  # per depth: where it stands, and the arcs not yet tried
-        while (at := ends[-1]) < n:
-            if arcs[-1] is None:
-                fit, stop = [], at + 1
-                while stop < n and (part := word[at:stop]) in begins:
-                    if (token := find(part)) is not None:
-                        fit.append((stop, token))
-                    stop += 1
-                if stop == n and (token := find(word[at:] + end)) is not None:
-                    fit.append((n, token))
-                arcs[-1] = fit
-            state = out[-1] if out else START
-            while arcs[-1]:
-                step = arcs[-1].pop()
-                if (state == START or known.get((state, step[1])) or self.step(state, step[1])) and step not in closed:
-                    ends.append(step[0])
-                    out.append(step[1])
-                    arcs.append(None)
-                    break
-            else:  # nothing fits here
+        while at < n:
+            fit = self.arcs(word, end, at, state)
+            while not fit or (closed and fit[-1] in closed):
+                if fit:
+                    fit.pop()
+                    continue
                 if not out:
                     raise ValueError("a symbol is not in the vocabulary")
-                closed.add((ends.pop(), out.pop()))
-                arcs.pop()
+                closed.add((at, out.pop()))  # nothing fits here: back to the arcs left at the place before
+                at, fit = other.pop()
+            at_before = at
+            at, state = fit.pop()
+            out.append(state)
+            other.append((at_before, fit))
         return out
 
 
+def _by_id(spec: dict) -> np.ndarray:
+    labels = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return np.array([labels.get(i, "") for i in range(max(labels) + 1)], dtype=object)
+
+
+def read_labels(path: str) -> np.ndarray:
+    """The label of each id of a vocabulary file."""
+    with open(path, encoding="utf-8") as f:
+        return _by_id(json.load(f))
+
+
 class Encoder:
     """Texts to ids and back for a vocabulary file of byte-level words with an end mark.
 
@@ -161,7 +174,7 @@ class Encoder:
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
+        self.labels = _by_id(spec)
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.latin = word_pattern(LATIN).findall
         self.any: re.Pattern | None = None
@@ -210,7 +223,7 @@ class Encoder:
 
     def decode(self, ids) -> str:
         """The labels of the arcs, joined as a tokenizer without a decoder joins them."""
-        return " ".join([self.labels[i] for i in ids])
+        return " ".join(self.labels[ids].tolist())
 
 
 def _int_lists(packed: list[bytes]) -> pa.Array:
@@ -222,12 +235,13 @@ def _int_lists(packed: list[bytes]) -> pa.Array:
 ROWS = 512
 
 
-def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str]) -> DataFrame:
+def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str], decoded: str | None = None) -> DataFrame:
     """The columns ``keep`` and ``ids``: the token ids of every whole text; a null text has none.
 
     ``tokenizer`` is the path of a vocabulary file on each executor. Rows stay where
     they are: there is no shuffle, and repeated rows are encoded each. ``keep`` may hold the text and
-    columns of any name but ``ids``.
+    columns of any name but ``ids``. With ``decoded`` the text decoded from the ids is added under that
+    name, by the same worker, as ``decode`` gives it.
     """
     where = keep.index(text_col) if text_col in keep else len(keep)
 
@@ -237,11 +251,15 @@ def encode(df: DataFrame, text_col: str, tokenizer: str, keep: list[str]) -> Dat
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 packed = [encoder.encode(t.as_py()) for t in part.column(where)]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], _int_lists(packed)], names=[*keep, "ids"])
+                out, names = [*part.columns[: len(keep)], _int_lists(packed)], [*keep, "ids"]
+                if decoded:
+                    out.append(pa.array([encoder.decode(np.frombuffer(p, "<i4")) for p in packed], pa.string()))
+                    names.append(decoded)
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     rows = df.select(*keep) if where < len(keep) else df.select(*keep, text_col)
     schema = df.select(*keep).schema.add("ids", ArrayType(IntegerType()))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema.add(decoded, "string") if decoded else schema)
 
 
 def decode(df: DataFrame, ids_col: str, tokenizer: str, keep: list[str], out: str = "decoded") -> DataFrame:
@@ -249,14 +267,11 @@ def decode(df: DataFrame, ids_col: str, tokenizer: str, keep: list[str], out: st
     where = keep.index(ids_col) if ids_col in keep else len(keep)
 
     def run(batches):
-        with open(tokenizer, encoding="utf-8") as f:
-            spec = json.load(f)
-        labels = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
-        names = np.array([labels.get(i, "") for i in range(max(labels) + 1)], dtype=object)
+        names = per_worker(("labels", tokenizer), lambda: read_labels(tokenizer))
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                texts = [" ".join(names[ids.values.to_numpy()]) if ids.is_valid else "" for ids in part.column(where)]
+                texts = [" ".join(names[ids.values.to_numpy()].tolist()) if ids.is_valid else "" for ids in part.column(where)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
 
     rows = df.select(*keep) if where < len(keep) else df.select(*keep, ids_col)

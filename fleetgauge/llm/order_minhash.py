@@ -17,7 +17,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 PICKS = 5  # minima of a sketch, kept in text order
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 BATCH_BYTES = 4 << 20
 
 _word = re.compile(r"\w+").findall

@@ -35,7 +35,7 @@ SKIPPABLE, SEEK_FRAME, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB
 
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 25
-CACHE_WORDS = 400_000  # of each of two generations
+CACHE_WORDS = 150_000  # of each of two generations
 ROWS = 512
 
 

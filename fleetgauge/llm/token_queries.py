@@ -25,7 +25,7 @@ def op6_token_files(spark, sf_dir):
 
 def encoded(docs, keep):
     """Digests of the ids and of the text decoded from them, for rows with the columns ``keep``."""
-    rows = bpe.decode(bpe.encode(docs, "text", TOKENIZER, keep), "ids", TOKENIZER, [*keep, "ids"])
+    rows = bpe.encode(docs, "text", TOKENIZER, keep, decoded="decoded")
     return rows.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),

@@ -91,6 +91,8 @@ def test_encode_and_decode_frames(spark, library):
     df = spark.createDataFrame(rows, "doc_id long, text string, decoded_text string")
     coded = bpe.encode(df, "text", PATH, ["doc_id", "text", "decoded_text"])
     got = bpe.decode(coded, "ids", PATH, ["doc_id", "ids", "text"]).collect()
+    both = bpe.encode(df, "text", PATH, ["doc_id"], decoded="decoded").collect()
+    assert sorted((str(r.doc_id), list(r.ids), r.decoded) for r in got) == sorted((str(r.doc_id), list(r.ids), r.decoded) for r in both)
     assert sorted((str(r.doc_id), list(r.ids), r.decoded) for r in got) == sorted(
         (str(i), ids_of(library, t), library.decode(ids_of(library, t), skip_special_tokens=False)) for i, t, _ in rows
     )
