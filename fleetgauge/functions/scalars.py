@@ -27,6 +27,7 @@ __all__ = [
     "exclude",
     "flag",
     "has_text",
+    "nan_to_null",
     "normalise_ids",
     "one_hot",
     "open_range",
@@ -108,17 +109,29 @@ def prefix_flag(col: Column | str, prefix: str) -> Column:
 # Text that cannot be a number or a date is sorted out by pattern before the cast:
 # a cast that fails raises and catches an exception per row inside Spark, which
 # costs far more than the match.
-_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_WHOLE = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
 _DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _COMPACT_DAY = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$"
 
 
 def to_number(df: DataFrame, col: str, kind: str = "int") -> Column:
-    """Number of a column that may hold text; null where the text is not one."""
+    """Number of a column that may hold text; null where the text is not one.
+
+    Decimal text of a whole number, such as '1.0', is that whole number.
+    """
     c = F.col(col)
-    if isinstance(df.schema[col].dataType, T.StringType):
-        c = F.when(c.rlike(_DECIMAL if kind in ("double", "float") else _WHOLE), c)
-    return c.try_cast(kind)
+    if not isinstance(df.schema[col].dataType, T.StringType):
+        return c.try_cast(kind)
+    if kind in ("double", "float"):
+        return F.when(c.rlike(_DECIMAL), c).try_cast(kind)
+    return F.when(c.rlike(_WHOLE), F.regexp_extract(c, "[+-]?[0-9]+", 0)).try_cast(kind)
+
+
+def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """NaN as null in the listed floating-point columns, or in all of them."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    chosen = [c for c in (kinds if cols is None else cols) if isinstance(kinds.get(c), (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in chosen}) if chosen else df
 
 
 def digit_parity(col: Column | str, position: int) -> Column:
@@ -140,7 +153,7 @@ def contains_flag(col: Column | str, text: str) -> Column:
 
 def has_text(col: Column | str) -> Column:
     c = _col(col)
-    return c.isNotNull() & (c != "")
+    return c.isNotNull() & (c.cast("string") != "")
 
 
 # ---- predicates and branches ---------------------------------------------

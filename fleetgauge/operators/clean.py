@@ -12,7 +12,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import all_of, any_null, flag, to_number
+from ..functions import all_of, any_null, flag, nan_to_null, to_number
 from ..session import hand_off
 from .skew import HOT_ROWS, skew_join
 
@@ -34,8 +34,8 @@ def _sigma_interval(col: str, ignore_zero: bool) -> Column:
 
 
 def sigma_bounds(df: DataFrame, cols: Sequence[str], *, ignore_zero: bool = False) -> DataFrame:
-    """One row with a struct (lo, hi) per column: mean -/+ 3 sample deviations, nulls skipped."""
-    return df.agg(*[_sigma_interval(c, ignore_zero) for c in cols])
+    """One row with a struct (lo, hi) per column: mean -/+ 3 sample deviations, nulls and NaN skipped."""
+    return nan_to_null(df, cols).agg(*[_sigma_interval(c, ignore_zero) for c in cols])
 
 
 def _with_fit(df: DataFrame, fit: DataFrame) -> DataFrame:
@@ -59,6 +59,7 @@ def sigma_clip(
     """
     if method not in ("truncate", "remove"):
         raise ValueError("method must be 'truncate' or 'remove'")
+    df = nan_to_null(df, cols)
     fit = sigma_bounds(df, cols, ignore_zero=ignore_zero) if bounds is None else bounds
     out = _with_fit(df, fit)
     low = {c: F.col(_FIT)[c]["lo"] for c in cols}
@@ -89,6 +90,7 @@ def reset_flag(df: DataFrame, col: str, when: Column) -> DataFrame:
 
 def outlier_report(df: DataFrame, cols: Sequence[str], *, ignore_zero: bool = False) -> DataFrame:
     """Bounds and number of outliers per field."""
+    df = nan_to_null(df, cols)
     out = _with_fit(df, sigma_bounds(df, cols, ignore_zero=ignore_zero))
 
     def line(c):
@@ -132,9 +134,10 @@ def group_mean_fill(
 
     One aggregation gives count and means per group. The mean of the filled
     column follows from it without another pass: a group with a mean weighs all
-    its rows. Rows with a null key get no group mean.
+    its rows. Rows with a null key get no group mean. NaN counts as null.
     """
     keys, cols = list(keys), list(cols)
+    df = nan_to_null(df, cols)
     stats = hand_off(
         df.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("__rows"),
@@ -163,7 +166,8 @@ def group_mean_fill(
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with a struct (mean, scale) per column; population deviation, 1 for a constant."""
+    """One row with a struct (mean, scale) per column; population deviation, 1 for a constant; NaN counts as null."""
+    df = nan_to_null(df, cols)
 
     def fitted(c):
         constant = F.min(c) == F.max(c)
@@ -181,6 +185,7 @@ def standardize(
     fit: DataFrame | None = None,
 ) -> DataFrame:
     """Centre and scale; statistics of ``df``, of ``fit_on`` or of a stored ``fit``."""
+    df = nan_to_null(df, cols)
     if fit is None:
         fit = fit_scaler(df if fit_on is None else fit_on, cols)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import flag
 from ..functions.codes import HOLIDAY_TYPES
+from .skew import skew_join
 
 
 def _as_column(c: Column | str) -> Column:
@@ -82,16 +83,13 @@ def label_from_events(
 ) -> DataFrame:
     """1 where an event exists for the spine row, else 0.
 
-    Events are reduced to one row per key first, so the spine never multiplies.
+    Events are reduced to one row per key first, so the spine never multiplies. Spine rows of
+    a hot key, such as a null, are spread.
     """
     keys = list(on)
     seen = events.select(*keys).dropna().distinct().withColumn("__seen", F.lit(1))
     return (
-        spine.join(seen, keys, "left")
+        skew_join(spine, seen, keys)
         .withColumn(output, flag(F.col("__seen").isNotNull()))
         .drop("__seen")
     )
-
-
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(names))

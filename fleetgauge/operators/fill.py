@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import any_null
+from ..functions import any_null, nan_to_null
 from ..session import hand_off
 from .skew import HOT_ROWS, hot_keys, mark_hot
 
@@ -29,7 +29,7 @@ def _fill_by_window(df, keys, order, cols, backward):
     return df.withColumns({c: F.coalesce(*_carry(keys, order, c, backward)) for c in cols})
 
 
-def _fill_by_chunks(df, keys, order, cols, backward):
+def _fill_by_chunks(df, keys, order, cols, backward, chunks=None):
     """Fill without ever putting one key, or the table, into one task.
 
     Range partitioning by key and order gives even chunks even if one key fills
@@ -39,7 +39,8 @@ def _fill_by_chunks(df, keys, order, cols, backward):
     window and the broadcast below by the number of partitions.
     """
     chunk = "__chunk"
-    ranged = df.repartitionByRange(*_ordering([*keys, *order])).withColumn(
+    parts = () if chunks is None else (chunks,)
+    ranged = df.repartitionByRange(*parts, *_ordering([*keys, *order])).withColumn(
         chunk, F.spark_partition_id()
     )
     # The chunk of a row must be the same in both uses below.
@@ -78,9 +79,10 @@ def _fill_by_chunks(df, keys, order, cols, backward):
     )
 
 
-def _fill(df, keys, order, cols, backward, min_rows):
+def _fill(df, keys, order, cols, backward, min_rows, chunks):
+    df = nan_to_null(df, cols)
     if not keys:
-        return _fill_by_chunks(df, [], order, cols, backward)
+        return _fill_by_chunks(df, [], order, cols, backward, chunks)
     # Rows without a key belong to no group and are not filled from each other.
     known = df.withColumns({c: F.when(~any_null(keys), F.col(c)) for c in cols})
     hot = hot_keys(df, keys, min_rows=min_rows)
@@ -88,7 +90,7 @@ def _fill(df, keys, order, cols, backward, min_rows):
         return _fill_by_window(known, keys, order, cols, backward)
     marked = mark_hot(known, hot, keys)
     cold = _fill_by_window(marked.where("__salts = 1"), keys, order, cols, backward)
-    large = _fill_by_chunks(marked.where("__salts > 1"), keys, order, cols, backward)
+    large = _fill_by_chunks(marked.where("__salts > 1"), keys, order, cols, backward, chunks)
     return cold.unionByName(large).drop("__salts")
 
 
@@ -100,15 +102,17 @@ def forward_fill(
     *,
     across_groups: bool = False,
     min_rows: int = HOT_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Last non-null value so far, in ``order`` within ``keys``.
+    """Last non-null value so far, in ``order`` within ``keys``; NaN counts as null.
 
     ``across_groups`` carries values on from one group to the next in key order.
-    The order must be total.
+    The order must be total. ``chunks`` sets the number of pieces that large groups, or the
+    whole table, are cut into; by default Spark's own number of partitions.
     """
     if across_groups:
-        return _fill(df, [], [*keys, *order], list(cols), False, min_rows)
-    return _fill(df, list(keys), list(order), list(cols), False, min_rows)
+        return _fill(df, [], [*keys, *order], list(cols), False, min_rows, chunks)
+    return _fill(df, list(keys), list(order), list(cols), False, min_rows, chunks)
 
 
 def fill_forward_backward(
@@ -120,11 +124,13 @@ def fill_forward_backward(
     valid: Column | None = None,
     sentinel: float | None = -1,
     min_rows: int = HOT_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Replace values that are not ``valid`` (default: positive) by the previous valid one,
     else by the next one, else by ``sentinel``."""
+    df = nan_to_null(df, [col])
     valid = F.col(col) > 0 if valid is None else valid
     out = _fill(
-        df.withColumn(col, F.when(valid, F.col(col))), list(keys), list(order), [col], True, min_rows
+        df.withColumn(col, F.when(valid, F.col(col))), list(keys), list(order), [col], True, min_rows, chunks
     )
     return out if sentinel is None else out.withColumn(col, F.coalesce(F.col(col), F.lit(sentinel)))

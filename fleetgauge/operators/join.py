@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from ..sources.scan import union_all
 from .skew import key_counts, skew_join
 
 
@@ -94,21 +93,22 @@ def wide_join(
 def row_trace(spine: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     """Row count of the spine and after each join: ``step, name, rows``.
 
-    Only keys are joined, and a join with a roll-up by its own keys is not even
-    run, since Spark knows that it keeps the count.
+    One chain of joins is run once, and each step is counted as its rows pass. Of the
+    tables only keys, and columns that later joins use, are carried.
     """
-
-    def line(df, step, name):
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(step).alias("step"), F.lit(name).alias("name"), "rows"
-        )
-
-    out, lines = spine, [line(spine, 0, "spine")]
-    for step, dim in enumerate(dims, 1):
+    names = ["spine", *[dim.name for dim in dims]]
+    counts = [Observation() for _ in names]
+    wanted = {k for dim in dims for k in dim.keyed()[0]}
+    rows = F.count(F.lit(1)).alias("rows")
+    out = spine.select(*[c for c in spine.columns if c in wanted]).observe(counts[0], rows)
+    for dim, count in zip(dims, counts[1:], strict=True):
         on, table = dim.keyed()
+        table = table.select(*[c for c in table.columns if c in on or (c in wanted and c not in out.columns)])
         out = null_safe_left_join(out, table, on) if dim.null_safe else out.join(table, on, "left")
-        lines.append(line(out, step, dim.name))
-    return union_all(lines)
+        out = out.observe(count, rows)
+    out.write.format("noop").mode("overwrite").save()
+    lines = [(step, name, count.get["rows"]) for step, (name, count) in enumerate(zip(names, counts, strict=True))]
+    return spine.sparkSession.createDataFrame(lines, "step int, name string, rows long")
 
 
 def row_count_gate(spine: DataFrame, result: DataFrame) -> DataFrame:

@@ -6,8 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# Hexadecimal digits of the hash that choose a bucket: 65 536 buckets.
+from ..session import hand_off
+
+# Hexadecimal digits of the hash that choose a bucket, and those that each refinement adds: 65 536 buckets.
 BUCKET_DIGITS = 4
+# A bucket above this many rows is refined before its rows are ranked.
+RANKED_ROWS = 200_000
+HASH_DIGITS = 32
 
 
 def hash_order(ident: str, seed: int) -> Column:
@@ -29,43 +34,45 @@ def exact_cuts(
     Each cut maps the row count (of the stratum) to a position; rows up to the
     first cut get 0, up to the second 1, and so on. ``ident`` must be unique.
     Nothing is ranked globally: a histogram of hash buckets (at most 65 536 rows
-    per stratum) shows which bucket holds each position, only those buckets are
-    ranked, and the rows are compared with the resulting thresholds. The table
-    itself is not shuffled. ``strata`` is a label column with few values.
+    per stratum) shows which bucket holds each position. A bucket above
+    ``RANKED_ROWS`` rows is split by further digits of the hash, so that the rows ranked in
+    one task do not grow with the table; the rows are then compared with the resulting
+    thresholds. The table itself is not shuffled. ``strata`` is a label column with few values.
     """
     by = [strata] if strata else []
-    keyed = df.select(
-        *by, F.col(ident).alias("__id"), hash_order(ident, seed).alias("__h")
-    ).withColumn("__bucket", F.substring("__h", 1, BUCKET_DIGITS))
-    w = W.partitionBy(*by).orderBy("__bucket")
-    hist = (
-        keyed.groupBy(*by, "__bucket")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__to", F.sum("__rows").over(w))
-        .withColumn("__all", F.sum("__rows").over(W.partitionBy(*by)))
-    )
+    keyed = df.select(*by, F.col(ident).alias("__id"), hash_order(ident, seed).alias("__h"))
+    hist = keyed.groupBy(*by, F.substring("__h", 1, BUCKET_DIGITS).alias("__b")).agg(F.count(F.lit(1)).alias("__rows"))
     position = F.array(
         *[
             F.struct(F.lit(i).alias("cut"), cut(F.col("__all")).cast("bigint").alias("at"))
             for i, cut in enumerate(cuts)
         ]
     )
-    sought = (
-        hist.withColumn("__cut", F.explode(position))
-        .where(
-            (F.col("__cut.at") > F.col("__to") - F.col("__rows"))
-            & (F.col("__cut.at") <= F.col("__to"))
-        )
-        .select(
-            *[F.col(c).alias(f"__s_{c}") for c in by],
-            F.col("__bucket").alias("__b"),
-            F.col("__cut.cut").alias("cut"),
-            (F.col("__cut.at") - F.col("__to") + F.col("__rows")).alias("__need"),
-        )
-    )
-    match = F.col("__bucket") == F.col("__b")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    placed = hist.withColumn("__all", F.sum("__rows").over(W.partitionBy(*by)))
+    placed = placed.withColumn("__to", F.sum("__rows").over(W.partitionBy(*by).orderBy("__b")))
+    placed = placed.withColumn("__cut", F.explode(position)).withColumns({"cut": F.col("__cut.cut"), "__at": F.col("__cut.at")})
+
+    def sought_of(counted):
+        """Of running counts, the bucket that holds each position, and the place within."""
+        inside = (F.col("__at") > F.col("__to") - F.col("__rows")) & (F.col("__at") <= F.col("__to"))
+        need = (F.col("__at") - F.col("__to") + F.col("__rows")).alias("__need")
+        named = [F.col(c).alias(f"__s_{c}") for c in by]
+        return hand_off(counted.where(inside).select(*named, "cut", "__b", "__rows", need), "sought")
+
+    def match_on(digits):
+        match = F.substring("__h", 1, digits) == F.col("__b")
+        for c in by:
+            match = match & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+        return match
+
+    sought, digits = sought_of(placed), BUCKET_DIGITS
+    while digits < HASH_DIGITS and (sought.agg(F.max("__rows")).first()[0] or 0) > RANKED_ROWS:
+        finer = F.substring("__h", 1, digits + BUCKET_DIGITS)
+        found = keyed.join(F.broadcast(sought.withColumnRenamed("__need", "__at").drop("__rows")), match_on(digits))
+        hist = found.groupBy(*by, "cut", "__at", finer.alias("__b")).agg(F.count(F.lit(1)).alias("__rows"))
+        running = W.partitionBy(*by, "cut").orderBy("__b")
+        sought, digits = sought_of(hist.withColumn("__to", F.sum("__rows").over(running))), digits + BUCKET_DIGITS
+    match = match_on(digits)
     in_bucket = W.partitionBy(*by, "cut").orderBy("__h", "__id")
     limits = (
         keyed.join(F.broadcast(sought), match)

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# A key above this share of all rows is hot. Fewer than 1 / HOT_SHARE keys can
-# exceed it, which bounds every list of hot keys at 50 000 rows.
-HOT_SHARE = 2e-5
-# Groups below this many rows fit one task whatever their share.
+from ..session import hand_off
+
+# A key above this many rows does not fit one task.
 HOT_ROWS = 1_000_000
+# Hot keys that are sent to every executor; a longer list is joined as a table.
+MOST_LISTED = 50_000
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,26 +25,24 @@ def hot_keys(
     counts: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame | None:
-    """Keys holding more than ``HOT_SHARE`` of all rows and more than ``min_rows``, or None.
+    """Keys holding more than ``min_rows`` rows, or None.
 
     ``counts`` may bring existing row counts per key in a column ``__rows``.
-    Counting is one partial aggregation over the key columns only, and at most
-    ``1 / HOT_SHARE`` keys reach the driver. ``__salts`` (at least 2) says over how
-    many tasks of about ``min_rows`` rows a key should be spread.
+    Counting is one partial aggregation over the key columns only; the list is
+    stored, and marked for broadcast unless it has more than ``MOST_LISTED`` rows. ``__salts`` (at
+    least 2) says over how many tasks of about ``min_rows`` rows a key should be spread.
     """
     counts = key_counts(df, keys) if counts is None else counts
-    total = counts.agg(F.sum("__rows").alias("n")).scalar()
-    found = counts.where(
-        (F.col("__rows") > min_rows) & (F.col("__rows") > total * HOT_SHARE)
-    ).select(*keys, (1 + F.ceil(F.col("__rows") / F.lit(max(min_rows, 1)))).cast("int").alias("__salts"))
-    rows = found.collect()
-    if not rows:
+    salts = (1 + F.ceil(F.col("__rows") / F.lit(max(min_rows, 1)))).cast("int").alias("__salts")
+    found = hand_off(counts.where(F.col("__rows") > min_rows).select(*keys, salts), "hot-keys")
+    n = found.count()
+    if n == 0:
         return None
-    return df.sparkSession.createDataFrame(rows, found.schema)
+    return F.broadcast(found) if n <= MOST_LISTED else found
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``__salts``: that of the row's key in the bounded list ``hot``, else 1.
+    """Add ``__salts``: that of the row's key in the list ``hot``, else 1.
 
     Null keys are found like any other.
     """
@@ -51,7 +50,7 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
-    joined = df.join(F.broadcast(renamed), match, "left")
+    joined = df.join(renamed, match, "left")
     return joined.drop(*[f"__hot_{k}" for k in keys]).withColumn(
         "__salts", F.coalesce(F.col("__salts"), F.lit(1))
     )

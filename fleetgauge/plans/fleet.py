@@ -37,7 +37,7 @@ def _alarms(df: DataFrame, day_tz: str) -> DataFrame:
     return df.where(fn.valid_alarm("handleStatus", "handleTime")).withColumns(
         {
             "day": fn.epoch_to_day("alarmTime", day_tz),
-            "driver": F.col("jobNumber").cast("string"),
+            "driver": fn.as_text(df, "jobNumber"),
             "plate": F.col("vehicleNumber"),
         }
     )
@@ -71,8 +71,8 @@ def collision_counts(warnings: DataFrame, day_tz: str = "UTC") -> DataFrame:
     classed = typed.withColumns(
         {
             "day": fn.epoch_to_day("TimeSatellite", day_tz),
-            "driver": F.col("DriverID").cast("string"),
-            "device": F.col("DeviceID").cast("string"),
+            "driver": fn.as_text(warnings, "DriverID"),
+            "device": fn.as_text(warnings, "DeviceID"),
             "class": fn.warning_class("kind", "status"),
         }
     )
@@ -88,7 +88,7 @@ def run_totals(trips: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Distance, time, money, bad reviews and occupied trips per driver, day and plate."""
     keyed = trips.withColumns(
         {
-            "driver": F.col("certificateId").cast("string"),
+            "driver": fn.as_text(trips, "certificateId"),
             "day": fn.epoch_to_day("Addtime", day_tz),
             "plate": F.col("carNo"),
         }
@@ -108,7 +108,7 @@ def run_totals(trips: DataFrame, day_tz: str = "UTC") -> DataFrame:
 def device_mileage(positions: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Largest odometer value and number of positions per day and device."""
     keyed = positions.withColumns(
-        {"day": fn.epoch_to_day("gpsTime", day_tz), "device": F.col("deviceNo").cast("string")}
+        {"day": fn.epoch_to_day("gpsTime", day_tz), "device": fn.as_text(positions, "deviceNo")}
     )
     return rollup.daily_agg(
         keyed,
@@ -120,7 +120,7 @@ def device_mileage(positions: DataFrame, day_tz: str = "UTC") -> DataFrame:
 def driver_speed(positions: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Speed statistics of moving positions per day and driver."""
     moving = positions.where((F.col("speed") > MOVING_SPEED) & fn.has_text("jobNumber")).withColumns(
-        {"day": fn.epoch_to_day("gpsTime", day_tz), "driver": F.col("jobNumber")}
+        {"day": fn.epoch_to_day("gpsTime", day_tz), "driver": fn.as_text(positions, "jobNumber")}
     )
     return rollup.speed_stats(moving, ["day", "driver"], "speed")
 
@@ -197,7 +197,8 @@ def vehicle_status(history: DataFrame) -> DataFrame:
 
 
 def accident_days(accidents: DataFrame) -> DataFrame:
-    return fn.normalise_ids(accidents.dropDuplicates(), "VehicleID", "DriverID").select(
+    # The label join reduces them to one row per key; repeated rows need no step of their own.
+    return fn.normalise_ids(accidents, "VehicleID", "DriverID").select(
         F.to_date("AccidentTime").alias("day"), "DriverID", F.col("VehicleID").alias("vehicle")
     )
 
@@ -241,22 +242,23 @@ def wide_panel(
     spine = hand_off(run_totals(feeds.trips, day_tz), "spine")
     day_keys = ["day", "driver", "plate"]
 
-    def rolled_up(name, df, on, drop=()):
-        return join.Dim(name, df, on, drop=drop, unique=True)
+    def rolled_up(name, df, on, drop=(), skewed=False):
+        return join.Dim(name, df, on, drop=drop, unique=True, skewed=skewed)
 
     joined = join.wide_join(
         spine,
         [
             join.Dim("driver", drivers, {"driver": "Certified"}, drop=("IDNumber",), skewed=True),
             join.Dim("vehicle", clean_vehicles(feeds.vehicles), ["plate"], unique=True, skewed=True),
-            rolled_up("status", vehicle_status(feeds.statuses), ["day", "vehicle"]),
+            # Rows of unmatched plates have no vehicle and no device: a hot null key on every day.
+            rolled_up("status", vehicle_status(feeds.statuses), ["day", "vehicle"], skewed=True),
             rolled_up(
                 "mileage", device_mileage(feeds.positions, day_tz), ["day", "device"],
-                drop=("daily_record_count",),
+                drop=("daily_record_count",), skewed=True,
             ),
             rolled_up("alarms", alarm_counts(feeds.alarms, day_tz), day_keys),
-            rolled_up("warnings", collision_counts(feeds.warnings, day_tz), ["day", "device", "driver"]),
-            rolled_up("violations", violation_counts(feeds.violations, drivers), ["day", "vehicle", "driver"]),
+            rolled_up("warnings", collision_counts(feeds.warnings, day_tz), ["day", "device", "driver"], skewed=True),
+            rolled_up("violations", violation_counts(feeds.violations, drivers), ["day", "vehicle", "driver"], skewed=True),
             rolled_up("logins", login_streaks(feeds.logins, day_tz), ["day", "driver"]),
             rolled_up("over_speed", over_speed_counts(feeds.over_speed, day_tz), day_keys),
         ],

@@ -135,7 +135,7 @@ def skewed_fill(spark, sf_dir):
         "value",
     )
     out = fill.fill_forward_backward(
-        events, ["k"], ["ts", "event_id"], "value", valid=F.col("value") > 60, min_rows=200
+        events, ["k"], ["ts", "event_id"], "value", valid=F.col("value") > 60, min_rows=200, chunks=12
     )
     return out.select("event_id", "value")
 
@@ -151,7 +151,7 @@ def global_forward_fill(spark, sf_dir):
     days = user_days(spark, sf_dir).select(
         "user_id", "day", F.when(F.col("n") >= 4, F.col("n")).alias("f")
     )
-    return fill.forward_fill(days, ["user_id"], ["day"], ["f"], across_groups=True)
+    return fill.forward_fill(days, ["user_id"], ["day"], ["f"], across_groups=True, chunks=12)
 
 
 @query(

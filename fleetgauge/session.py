@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
@@ -38,15 +41,54 @@ def work_folder(spark: SparkSession) -> str:
     machine-local folder would be lost with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    on_cluster = not _is_one_process(spark)
     if folder:
+        if on_cluster:
+            _check_shared(spark, folder)
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if on_cluster:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="fleetgauge-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _is_one_process(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
+_shared: set[tuple[str, str]] = set()
+
+
+def _check_shared(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder that is not the same on all machines, such as a local one.
+
+    Tasks write a few small files; unless the driver's listing finds them all, some
+    went to another machine's disk. Done once per application and folder.
+    """
+    key = (spark.conf.get("spark.app.id", ""), folder)
+    if key in _shared:
+        return
+    probe, n = os.path.join(folder, f"probe-{uuid.uuid4().hex}"), 8
+    spark.range(0, n, 1, n).write.parquet(probe)
+    try:
+        found = spark.read.schema("id long").parquet(probe).count()
+    except Exception as error:
+        raise ValueError(f"{folder} is not readable from every executor") from error
+    finally:
+        _delete(probe)
+    if found != n:
+        raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a shared one")
+    _shared.add(key)
+
+
+def _delete(path: str) -> None:
+    files, folder = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
+    if files.get_file_info(folder).type != pafs.FileType.NotFound:
+        files.delete_dir(folder)
+
+
 _written: list[tuple[str, str]] = []
 
 
@@ -63,12 +105,25 @@ def hand_off(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_hand_offs(spark: SparkSession) -> int:
-    """Delete the interim tables this application has written; call it when results are stored."""
+def drop_hand_offs(spark: SparkSession, since: int = 0) -> int:
+    """Delete the interim tables this application has written, from the ``since``-th on; call it when results are stored."""
     app = spark.sparkContext.applicationId
-    mine = [path for owner, path in _written if owner == app]
+    mine = [path for owner, path in _written if owner == app][since:]
     for path in mine:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    _written[:] = [(owner, path) for owner, path in _written if owner != app]
+        _delete(path)
+    _written[:] = [(owner, path) for owner, path in _written if owner != app or path not in set(mine)]
     return len(mine)
+
+
+@contextmanager
+def interim(spark: SparkSession) -> Iterator[None]:
+    """Deletes the interim tables written inside, at the end, also after an error.
+
+    What is returned from inside must be computed by then: a model, a count or a stored table.
+    """
+    app = spark.sparkContext.applicationId
+    before = sum(owner == app for owner, _ in _written)
+    try:
+        yield
+    finally:
+        drop_hand_offs(spark, before)

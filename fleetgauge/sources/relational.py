@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..functions import nan_to_null
+from ..session import interim
+from .files import to_store
 from .scan import extract
 
 READ_ROWS = 50_000
@@ -41,7 +44,7 @@ def jdbc_read(
             .option("upperBound", upper)
             .option("numPartitions", parts)
         )
-    return reader.load()
+    return nan_to_null(reader.load())
 
 
 def jdbc_write(
@@ -63,23 +66,25 @@ def jdbc_write(
     """
     if mode not in ("replace", "truncate", "append"):
         raise ValueError("mode must be 'replace', 'truncate' or 'append'")
-    if skip_empty and df.isEmpty():
-        return False
-    writer = (
-        df.write.format("jdbc")
-        .mode("append" if mode == "append" else "overwrite")
-        .options(**(options or {}))
-        .option("url", url)
-        .option("dbtable", table)
-        .option("batchsize", batchsize)
-    )
-    if mode == "truncate":
-        writer = writer.option("truncate", "true")
-    if column_types:
-        writer = writer.option("createTableColumnTypes", column_types)
-    if parts:
-        writer = writer.option("numPartitions", parts)
-    writer.save()
+    with interim(df.sparkSession):
+        rows = to_store(df, skip_empty)
+        if rows is None:
+            return False
+        writer = (
+            rows.write.format("jdbc")
+            .mode("append" if mode == "append" else "overwrite")
+            .options(**(options or {}))
+            .option("url", url)
+            .option("dbtable", table)
+            .option("batchsize", batchsize)
+        )
+        if mode == "truncate":
+            writer = writer.option("truncate", "true")
+        if column_types:
+            writer = writer.option("createTableColumnTypes", column_types)
+        if parts:
+            writer = writer.option("numPartitions", parts)
+        writer.save()
     return True
 
 

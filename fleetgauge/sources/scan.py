@@ -6,7 +6,10 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+
+from ..functions import nan_to_null
 
 
 def dated_names(prefix: str, run_date: date, days: int = 8, fmt: str = "%Y%m%d") -> list[str]:
@@ -14,10 +17,14 @@ def dated_names(prefix: str, run_date: date, days: int = 8, fmt: str = "%Y%m%d")
     return [f"{prefix}{run_date - timedelta(days=i + 1):{fmt}}" for i in range(days)]
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(jvm_path)
+def _load(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The frame at ``path``, or None if nothing is there."""
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -40,15 +47,16 @@ def scan_union(
     A name is a catalog table or a path. Names that do not exist are skipped, or
     refused with ``on_missing='error'``; if none exists the result is empty with
     ``schema``. Columns in ``text`` are cast to text, for codes stored as numbers
-    in one collection and as text in another. Filters and projections put on the
+    in one collection and as text in another. NaN becomes null. Filters and projections put on the
     result reach every scan below the union.
     """
     frames, missing = [], []
     for name in names:
         if "/" in name:
-            if _path_exists(spark, name):
-                reader = spark.read.format(fmt).options(**options)
-                frames.append((reader.schema(schema) if schema else reader).load(name))
+            reader = spark.read.format(fmt).options(**options)
+            found = _load(reader.schema(schema) if schema else reader, name)
+            if found is not None:
+                frames.append(found)
                 continue
         elif spark.catalog.tableExists(name):
             frames.append(spark.table(name))
@@ -65,7 +73,7 @@ def scan_union(
             f.withColumns({c: F.col(c).cast("string") for c in text if c in f.columns})
             for f in frames
         ]
-    return union_all(frames)
+    return nan_to_null(union_all(frames))
 
 
 def extract(
