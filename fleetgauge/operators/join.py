@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .skew import key_counts, skew_join
 
@@ -93,22 +93,27 @@ def wide_join(
 def row_trace(spine: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     """Row count of the spine and after each join: ``step, name, rows``.
 
-    One chain of joins is run once, and each step is counted as its rows pass. Of the
-    tables only keys, and columns that later joins use, are carried.
+    One chain of joins, in which each row carries how many rows it stands for after every step. A
+    table is first counted by its keys and by those of its columns that later joins use, so repeated
+    keys multiply a number and not rows.
     """
-    names = ["spine", *[dim.name for dim in dims]]
-    counts = [Observation() for _ in names]
     wanted = {k for dim in dims for k in dim.keyed()[0]}
-    rows = F.count(F.lit(1)).alias("rows")
-    out = spine.select(*[c for c in spine.columns if c in wanted]).observe(counts[0], rows)
-    for dim, count in zip(dims, counts[1:], strict=True):
+    out = spine.select(*[c for c in spine.columns if c in wanted], F.lit(1).cast("long").alias("__rows_0"))
+    for step, dim in enumerate(dims, 1):
         on, table = dim.keyed()
-        table = table.select(*[c for c in table.columns if c in on or (c in wanted and c not in out.columns)])
+        carried = [c for c in table.columns if c in wanted and c not in on and c not in out.columns]
+        table = table.groupBy(*on, *carried).agg(F.count(F.lit(1)).alias("__n"))
+        first = F.lit(1)
+        if carried:  # of several rows per key, one stands for the steps before
+            first = F.when(F.row_number().over(Window.partitionBy(*on).orderBy(*carried)) == 1, 1).otherwise(0)
+        table = table.withColumn("__first", first)
         out = null_safe_left_join(out, table, on) if dim.null_safe else out.join(table, on, "left")
-        out = out.observe(count, rows)
-    out.write.format("noop").mode("overwrite").save()
-    lines = [(step, name, count.get["rows"]) for step, (name, count) in enumerate(zip(names, counts, strict=True))]
-    return spine.sparkSession.createDataFrame(lines, "step int, name string, rows long")
+        before = {f"__rows_{k}": F.col(f"__rows_{k}") * F.coalesce("__first", F.lit(1)) for k in range(step)}
+        now = F.col(f"__rows_{step - 1}") * F.coalesce("__n", F.lit(1))
+        out = out.withColumns({**before, f"__rows_{step}": now}).drop("__n", "__first")
+    names = ["spine", *[dim.name for dim in dims]]
+    total = [F.struct(F.lit(k).alias("step"), F.lit(n).alias("name"), F.coalesce(F.sum(f"__rows_{k}"), F.lit(0)).alias("rows")) for k, n in enumerate(names)]
+    return out.agg(F.array(*total).alias("lines")).select(F.inline("lines"))
 
 
 def row_count_gate(spine: DataFrame, result: DataFrame) -> DataFrame:

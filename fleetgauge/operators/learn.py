@@ -6,23 +6,27 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from itertools import product
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import hand_off
+from ..session import hand_off, interim
+from ..functions import nan_to_null
+from .clean import fit_scaler
 from .neighbours import smote
 from .sampling import flip_labels, hash_split, stratified_folds
 
 # Search grids. A forest without a depth limit gets Spark's deepest
 # tree; a minimum split size s becomes ceil(s / 2) rows per node; two column
-# samples per tree and level multiply. Leaf numbers, L1 and L2 terms of boosted
-# trees and the solver of the regression have no counterpart.
+# samples per tree and level multiply. The least gain of a split is a sum over the loss
+# there and a reduction of variance per node here, where 0.1 would stop most trees at the root: it is 0. Leaf
+# numbers, L1 and L2 terms of boosted trees and the solver of the regression have no counterpart.
 RANDOM_FOREST_GRID = {
     "numTrees": [15, 25, 35, 50, 100],
     "maxDepth": [3, 5, 7, 11, 30],
@@ -36,14 +40,14 @@ BOOSTING_A_GRID = {
     "minInstancesPerNode": [10, 20],
     "subsamplingRate": [0.7, 0.8],
     "featureSubsetStrategy": ["0.7", "0.8"],
-    "minInfoGain": [0.1],
+    "minInfoGain": [0.0],
 }
 BOOSTING_B_GRID = {
     "maxIter": [50, 100],
     "maxDepth": [3, 5],
     "stepSize": [0.01, 0.05],
     "minInstancesPerNode": [3, 5],
-    "minInfoGain": [0.1],
+    "minInfoGain": [0.0],
     "subsamplingRate": [0.7, 0.8],
     "featureSubsetStrategy": ["0.49", "0.56", "0.64"],
     "positiveWeight": [3, 5],
@@ -89,16 +93,21 @@ def _weight_name(weight: object) -> str:
     return f"__weight_{weight}"
 
 
-def _param_maps(spec: Spec, n: int, folds: int) -> list[dict]:
-    builder = ParamGridBuilder()
-    for name, values in spec.grid.items():
+def _grid_points(spec: Spec) -> list[dict]:
+    """All settings of the grid, by the names of the grid, in order."""
+    return [dict(zip(spec.grid, values, strict=True)) for values in product(*spec.grid.values())]
+
+
+def _param_map(spec: Spec, point: Mapping, rows: float) -> dict:
+    """Spark's parameters for one setting, where ``rows`` rows are fitted on."""
+    out = {}
+    for name, value in point.items():
         if name == "inverseStrength":
-            # Each fold fits on this share of the rows.
-            name, values = "regParam", [1.0 / (c * n * (folds - 1) / folds) for c in values]
+            name, value = "regParam", 1.0 / (value * rows)
         elif name == "positiveWeight":
-            name, values = "weightCol", [_weight_name(v) for v in values]
-        builder = builder.addGrid(spec.estimator.getParam(name), list(values))
-    return builder.build()
+            name, value = "weightCol", _weight_name(value)
+        out[spec.estimator.getParam(name)] = value
+    return out
 
 
 def grid_search(
@@ -112,9 +121,16 @@ def grid_search(
     folds: int = 3,
     parallelism: int = 8,
     seed: int = 42,
+    stages: Sequence[Transformer] = (),
 ) -> Tuned:
     """Cross-validated grid search by accuracy over stratified folds; refits the best of
-    each spec on all training rows and measures it on ``test``."""
+    each spec on all training rows and measures it on ``test``.
+
+    Of equal scores the first setting of the grid wins. ``inverseStrength`` is taken relative to the rows that
+    a fit sees: two thirds of them in three folds, all of them in the last fit. ``stages`` are
+    fitted steps, such as ``fit_preprocessing`` gives, that every stored model begins with. Interim tables are
+    dropped at the end.
+    """
     accuracy = MulticlassClassificationEvaluator(
         labelCol="label", predictionCol="prediction", metricName="accuracy"
     )
@@ -128,36 +144,42 @@ def grid_search(
         )
 
     keep = ["label", "features", *map(_weight_name, sorted(weights))]
-    folded = stratified_folds(train, ident, label, folds=folds, seed=seed, output="fold")
-    training = hand_off(prepared(folded).select("fold", *keep), "training")
-    n = training.count()
-    if n == 0:
-        raise ValueError("no training rows")
-    testing = hand_off(prepared(test).select(*keep), "testing")
-
+    before = PipelineModel([*stages])
+    spark = train.sparkSession
     models, lines = {}, []
-    for spec in specs:
-        maps = _param_maps(spec, n, folds)
-        search = CrossValidator(
-            estimator=spec.estimator,
-            estimatorParamMaps=maps,
-            evaluator=accuracy,
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-            seed=seed,
-        ).fit(training)
-        best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-        model = PipelineModel([assembler, search.bestModel])
-        models[spec.name] = model
-        lines.append(
-            (
-                spec.name,
-                float(search.avgMetrics[best]),
-                float(accuracy.evaluate(search.bestModel.transform(testing))),
-                ", ".join(f"{p.name}={v}" for p, v in sorted(maps[best].items(), key=lambda x: x[0].name)),
+    with interim(spark):
+        # Read by the cuts of the folds and by the fold numbers.
+        balanced = hand_off(train, "balanced")
+        folded = stratified_folds(balanced, ident, label, folds=folds, seed=seed, output="fold")
+        training = hand_off(prepared(before.transform(folded)).select("fold", *keep), "training")
+        n = training.count()
+        if n == 0:
+            raise ValueError("no training rows")
+        testing = hand_off(prepared(before.transform(test)).select(*keep), "testing")
+        for spec in specs:
+            points = _grid_points(spec)
+            search = CrossValidator(
+                estimator=spec.estimator,
+                estimatorParamMaps=[_param_map(spec, p, n * (folds - 1) / folds) for p in points],
+                evaluator=accuracy,
+                numFolds=folds,
+                foldCol="fold",
+                parallelism=parallelism,
+                seed=seed,
+            ).fit(training)
+            best = max(range(len(points)), key=lambda i: search.avgMetrics[i])
+            model = search.bestModel
+            if "inverseStrength" in spec.grid:  # the search refits with the strength of a fold
+                model = spec.estimator.fit(training, _param_map(spec, points[best], n))
+            models[spec.name] = PipelineModel([*stages, assembler, model])
+            lines.append(
+                (
+                    spec.name,
+                    float(search.avgMetrics[best]),
+                    float(accuracy.evaluate(model.transform(testing))),
+                    ", ".join(f"{name}={points[best][name]}" for name in sorted(points[best])),
+                )
             )
-        )
     lines.sort(key=lambda line: (-line[1], line[0]))
     board = train.sparkSession.createDataFrame(
         lines, "model string, best_cv_score double, test_accuracy double, best_parameters string"
@@ -190,10 +212,15 @@ def training_sets(
     k: int = 5,
     seed: int = 42,
     reference_order: bool = False,
+    max_fit_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test rows: complete rows of the day range, some labels flipped,
     classes balanced, one fifth held out.
 
+    ``max_fit_rows`` bounds the labelled rows that models are fitted on, by default not at all: of more rows an
+    exact sample in hash order is taken before labels are flipped, so balancing, which
+    compares the rows of a class with each other, does not grow with the table.
+
     By default the test rows are set aside before classes are balanced, so no new
     row is made from them. ``reference_order`` balances first and splits after.
     """
@@ -201,6 +228,10 @@ def training_sets(
     if start is not None and end is not None:
         rows = rows.where(F.to_date(F.col(day)).between(F.lit(start), F.lit(end)))
     rows = rows.select(ident, label, *features).dropna()
+    if max_fit_rows is not None:
+        known = hand_off(rows, "complete")
+        share = min(1.0, max_fit_rows / max(1, known.count()))
+        rows = hash_split(known, ident, share, seed=seed + 1, output="__fit").where("__fit = 1").drop("__fit")
     if noise:
         rows = flip_labels(rows, ident, label, ratio=noise, seed=seed)
     rows = hand_off(rows, "labelled")
@@ -208,7 +239,7 @@ def training_sets(
         raise ValueError("no complete rows in the training range")
     if reference_order:
         rows = hand_off(_oversampled(rows, ident, features, label, k, seed), "balanced")
-    split = hash_split(rows, ident, test_fraction, seed=seed, output="__test")
+    split = hand_off(hash_split(rows, ident, test_fraction, seed=seed, output="__test"), "split")
     train = split.where("__test = 0").drop("__test")
     test = split.where("__test = 1").drop("__test")
     if not reference_order:
@@ -239,10 +270,35 @@ def score(
     )
 
 
-def fit_imputer(df: DataFrame, features: Sequence[str]) -> PipelineModel:
-    """Mean of each feature for its empty cells, to be applied before ``score``."""
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in features])
-    return PipelineModel([Imputer(inputCols=list(features), outputCols=list(features)).fit(typed)])
+def _replacing(cols: Mapping[str, str]) -> SQLTransformer:
+    """A stored step that replaces columns by SQL expressions."""
+    names = ", ".join(f"`{c}`" for c in cols)
+    new = ", ".join(f"{e} AS `{c}`" for c, e in cols.items())
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {new} FROM __THIS__")
+
+
+def fit_imputer(df: DataFrame, features: Sequence[str], *, empty: float = 0.0) -> PipelineModel:
+    """Mean of each feature for its empty cells, to be applied before ``score``.
+
+    NaN counts as empty. A feature without any value gets ``empty`` throughout. The means are part of the
+    step, so a stored one fills later tables as it filled the first.
+    """
+    typed = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in features]))
+    means = typed.agg(*[F.avg(c).alias(c) for c in features]).first()
+    value = {c: empty if means[c] is None else means[c] for c in features}
+    return PipelineModel([_replacing({c: f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {value[c]!r}D)" for c in features})])
+
+
+def fit_preprocessing(train: DataFrame, features: Sequence[str], scaled: Sequence[str]) -> list[Transformer]:
+    """Stored steps fitted on training rows: empty cells to means, then ``scaled`` columns centred and scaled.
+
+    Pass them to ``grid_search`` as ``stages``: they are saved with every model, and scoring repeats them
+    with the numbers of the training rows.
+    """
+    imputer = fit_imputer(train, features)
+    fit = fit_scaler(imputer.transform(train), list(scaled)).first()
+    scale = {c: f"(`{c}` - {fit[c]['mean'] or 0.0!r}D) / {fit[c]['scale'] or 1.0!r}D" for c in scaled}
+    return [*imputer.stages, *([_replacing(scale)] if scale else [])]
 
 
 def choose(tuned: Tuned, select: str = "best") -> PipelineModel:

@@ -331,12 +331,17 @@ def wide_join(spark, sf_dir):
 
 @query(
     """
-    WITH n AS (SELECT count(DISTINCT (user_id, CAST(ts AS DATE)))::BIGINT AS rows FROM events)
-    SELECT step, name, rows FROM n, (VALUES (0, 'spine'), (1, 'customer'), (2, 'nation'), (3, 'counts'), (4, 'streak')) t(step, name)
+    WITH u AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+    o AS (SELECT o_custkey, count(*) AS c FROM orders GROUP BY 1),
+    n AS (SELECT count(*)::BIGINT AS once, sum(coalesce(c, 1))::BIGINT AS many FROM u LEFT JOIN o ON o_custkey = user_id)
+    SELECT step, name, CASE WHEN step < 5 THEN once ELSE many END AS rows
+    FROM n, (VALUES (0, 'spine'), (1, 'customer'), (2, 'nation'), (3, 'counts'), (4, 'streak'), (5, 'orders')) t(step, name)
     """
 )
 def join_row_trace(spark, sf_dir):
-    return join.row_trace(user_days(spark, sf_dir), panel_dims(spark, sf_dir))
+    # the last table has many rows per key
+    orders = join.Dim("orders", table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), {"user_id": "o_custkey"})
+    return join.row_trace(user_days(spark, sf_dir), [*panel_dims(spark, sf_dir), orders])
 
 
 @query(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as fn
@@ -27,7 +28,7 @@ from ..functions.codes import (
     WARNING_TYPES,
 )
 from ..operators import clean, dims, fill, join, learn, panel, rollup
-from ..session import hand_off
+from ..session import hand_off, interim
 from ..sources import scan_days
 
 # ---- daily tables from event feeds --------------------------------------------
@@ -336,9 +337,12 @@ def prepare_features(
     lookback_days: int = 15,
     flags_across_groups: bool = True,
     fit_days: tuple[date, date] | None = None,
+    scale: bool = True,
 ) -> DataFrame:
     """Clean, fill, roll up, encode and scale the panel.
 
+    ``scale=False`` leaves scaling to ``train_models``, which fits it on training rows and stores it.
+
     ``wide`` should be a stored table. Interim results are stored four times on
     the way, each time before a step that reads its input twice. ``fit_days``
     limits the rows the scaler is fitted on; by default all rows.
@@ -365,6 +369,8 @@ def prepare_features(
     complete = clean.group_mean_fill(rolled, PANEL_KEYS, ROLLED)
     featured = hand_off(derive(fn.one_hot(complete, "date_type", DAY_TYPES)), "panel-features")
 
+    if not scale:
+        return featured.dropna(subset=["DriverName"])
     fit_on = featured
     if fit_days is not None:
         fit_on = featured.where(F.col("day").between(F.lit(fit_days[0]), F.lit(fit_days[1])))
@@ -393,19 +399,33 @@ def train_models(
     seed: int = 42,
     reference_order: bool = False,
     parallelism: int = 8,
+    scaled: Sequence[str] = (),
+    max_fit_rows: int | None = None,
 ) -> learn.Tuned:
-    train, test = learn.training_sets(
-        with_ident(features), ident="ident", features=FEATURES, day="day", start=start, end=end,
-        noise=noise, seed=seed, reference_order=reference_order,
-    )
-    return learn.grid_search(
-        train, test, specs or learn.default_specs(seed), features=FEATURES, ident="ident",
-        parallelism=parallelism, seed=seed,
-    )
+    """Fit every spec on the days from ``start`` to ``end``.
+
+    The means for empty cells, and the scale of the columns ``scaled``, are fitted on the training rows and stored with
+    each model. Pass ``scaled=SCALED`` for features prepared with ``scale=False``.
+    """
+    with interim(features.sparkSession):
+        train, test = learn.training_sets(
+            with_ident(features), ident="ident", features=FEATURES, day="day", start=start, end=end,
+            noise=noise, seed=seed, reference_order=reference_order, max_fit_rows=max_fit_rows,
+        )
+        train = hand_off(train, "train")
+        return learn.grid_search(
+            train, test, specs or learn.default_specs(seed), features=FEATURES, ident="ident",
+            parallelism=parallelism, seed=seed, stages=learn.fit_preprocessing(train, FEATURES, scaled),
+        )
 
 
 def score_panel(features: DataFrame, model: PipelineModel, on: date) -> DataFrame:
-    """Risk of every driver, day and plate of one day; empty cells get the mean of their column."""
+    """Risk of every driver, day and plate of one day.
+
+    Empty cells get the mean of their column: that of the training rows where the model stores it, as
+    ``train_models`` does, else that of the table.
+    """
     typed = features.withColumns({c: F.col(c).cast("double") for c in FEATURES})
-    filled = learn.fit_imputer(typed, FEATURES).transform(typed)
-    return learn.score(filled, model, IDS, features=FEATURES, day="day", on=on)
+    if not isinstance(model.stages[0], SQLTransformer):  # a model without stored preprocessing
+        typed = learn.fit_imputer(typed, FEATURES).transform(typed)
+    return learn.score(typed, model, IDS, features=FEATURES, day="day", on=on)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
-from ..operators import dims, learn, neighbours
+from ..operators import learn, neighbours
 from ..session import hand_off
-from .dim_queries import big_purchases
-from .panel_queries import daily_feature_panel
+from ..sources import union_all
 from .registry import query, table
 
 NEAREST = """nearest AS (
@@ -78,47 +77,67 @@ def smote_balance(spark, sf_dir):
     return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-FEATURES = ["n", "total", "purchases", "streak_before", "total_8d_mean", "purchases_8d_sum", "n_8d_std"]
+FEATURES = ["n", "total", "purchases"]
+RULE = "purchases >= 1"  # a label that every family must learn without an error
 
 
 def labelled_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = dims.label_from_events(
-        daily_feature_panel(spark, sf_dir), big_purchases(spark, sf_dir), ["user_id", "day"]
+    """User days, labelled by a rule on one of the features."""
+    sums = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.count_if(F.col("event_type") == "purchase").alias("purchases")
     )
-    filled = days.na.fill(0, FEATURES).withColumn(
-        "ident", F.concat_ws("|", "user_id", F.date_format("day", "yyyy-MM-dd"))
-    )
-    return hand_off(filled, "labelled-panel")
+    named = sums.withColumn("ident", F.concat_ws("|", "user_id", F.date_format("day", "yyyy-MM-dd")))
+    return hand_off(named.withColumn("target", F.expr(f"CASE WHEN {RULE} THEN 1 ELSE 0 END")), "labelled-panel")
 
 
-def _tuned(panel: DataFrame, specs: list[learn.Spec]) -> learn.Tuned:
+def _tuned(panel: DataFrame) -> learn.Tuned:
+    """All four families, each over two settings, trained on the days up to 29 January."""
     train, test = learn.training_sets(
-        panel, ident="ident", features=FEATURES, day="day",
-        start=date(2024, 1, 1), end=date(2024, 1, 29),
+        panel, ident="ident", features=FEATURES, day="day", start=date(2024, 1, 1), end=date(2024, 1, 29), noise=0,
+    )
+    train = hand_off(train, "train")
+    specs = [
+        learn.Spec("random_forest", RandomForestClassifier(seed=42, featureSubsetStrategy="all"), {"maxDepth": [3, 5]}),
+        learn.Spec("logistic_regression", LogisticRegression(maxIter=1000, standardization=False), {"inverseStrength": [1, 10]}),
+        learn.Spec("boosting_a", GBTClassifier(seed=42), {"maxDepth": [3, 5], "minInfoGain": [0.0]}),
+        learn.Spec("boosting_b", GBTClassifier(seed=42), {"maxDepth": [3, 5], "positiveWeight": [3]}),
+    ]
+    return learn.grid_search(
+        train, test, specs, features=FEATURES, ident="ident", stages=learn.fit_preprocessing(train, FEATURES, FEATURES)
     )
-    return learn.grid_search(train, test, specs, features=FEATURES, ident="ident")
 
 
-@query()
+@query(
+    """
+    SELECT * FROM (VALUES
+      ('boosting_a', 1.0::DOUBLE, 1.0::DOUBLE, 'maxDepth=3, minInfoGain=0.0'), ('boosting_b', 1.0, 1.0, 'maxDepth=3, positiveWeight=3'),
+      ('logistic_regression', 1.0, 1.0, 'inverseStrength=1'), ('random_forest', 1.0, 1.0, 'maxDepth=3'))
+      AS t(model, best_cv_score, test_accuracy, best_parameters)
+    """
+)
 def model_leaderboard(spark, sf_dir):
-    specs = [
-        learn.Spec("random_forest", RandomForestClassifier(seed=42, numTrees=5), {"maxDepth": [3, 5]}),
-        learn.Spec(
-            "logistic_regression",
-            LogisticRegression(maxIter=20, standardization=False),
-            {"inverseStrength": [0.1]},
-        ),
-    ]
-    return _tuned(labelled_panel(spark, sf_dir), specs).leaderboard
+    return _tuned(labelled_panel(spark, sf_dir)).leaderboard
 
 
-@query()
+DAY_PURCHASES = """
+    SELECT user_id, CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY ALL"""
+
+
+@query(
+    f"""
+    WITH d AS ({DAY_PURCHASES})
+    SELECT user_id, day, name AS model, CASE WHEN purchases >= 1 THEN 1 ELSE 0 END AS predicted_risk, purchases >= 1 AS likely
+    FROM d, (VALUES ('random_forest'), ('logistic_regression'), ('boosting_a'), ('boosting_b')) AS m(name)
+    WHERE day = DATE '2024-01-30'
+    """
+)
 def score_day(spark, sf_dir):
+    """Scores of one day by every family, from models that bring their preprocessing along."""
     panel = labelled_panel(spark, sf_dir)
-    tuned = _tuned(
-        panel, [learn.Spec("random_forest", RandomForestClassifier(seed=42, numTrees=5), {"maxDepth": [3]})]
-    )
-    scored = learn.score(
-        panel, learn.choose(tuned), ["user_id", "day"], features=FEATURES, day="day", on=date(2024, 1, 30)
-    )
-    return scored.withColumn("risk_probability", fn.round_to("risk_probability", 4))
+    tuned = _tuned(panel)
+
+    def scored(name):
+        rows = learn.score(panel, learn.choose(tuned, name), ["user_id", "day"], features=FEATURES, day="day", on=date(2024, 1, 30))
+        return rows.select("user_id", "day", F.lit(name).alias("model"), "predicted_risk", (F.col("risk_probability") > 0.5).alias("likely"))
+
+    return union_all([scored(name) for name in tuned.models])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +12,7 @@ from .. import functions as fn
 from ..functions.codes import WARNING_CLASSES
 from ..operators import clean, rollup
 from ..sources import extract, preview, scan_days, scan_union, union_all
+from ..session import work_folder
 from .registry import query, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -291,3 +294,23 @@ def row_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")
     )
+
+
+@query(
+    """
+    SELECT o_orderkey, CAST(o_orderkey % 5 AS VARCHAR) AS code, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+           CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price
+    FROM orders
+    """
+)
+def scan_union_mixed(spark, sf_dir):
+    """Two stored collections: one has no status, and codes are numbers in one and text in the other; NaN is read as null."""
+    orders = table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).otherwise(float("nan")).alias("price")
+    code = F.col("o_orderkey") % 5
+    folder = os.path.join(work_folder(spark), f"collections-{uuid.uuid4().hex}")
+    even, odd = orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 <> 0")
+    even.select("o_orderkey", code.cast("int").alias("code"), "o_orderstatus", price).write.parquet(f"{folder}/even")
+    odd.select("o_orderkey", code.cast("string").alias("code"), price).write.parquet(f"{folder}/odd")
+    names = [f"{folder}/{n}" for n in ("even", "absent", "odd")]
+    return scan_union(spark, names, text=["code"]).select("o_orderkey", "code", "o_orderstatus", "price")

@@ -1,6 +1,7 @@
 """The composed plan on a small made-up fleet, against plain Python."""
 
 import datetime as dt
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators import join, learn
 from fleetgauge.plans import fleet
+from fleetgauge.session import work_folder
 from fleetgauge.sources import write_parquet
 
 START = dt.date(2024, 3, 1)
@@ -263,8 +265,10 @@ def test_train_and_score(features, tmp_path):
         learn.Spec("random_forest", RandomForestClassifier(seed=1, numTrees=3), {"maxDepth": [2]}),
         learn.Spec("boosting_b", GBTClassifier(seed=1, maxIter=2, maxDepth=2), {"positiveWeight": [3]}),
     ]
+    before = set(os.listdir(work_folder(features.sparkSession)))
     tuned = fleet.train_models(features, start=START, end=day - dt.timedelta(days=1), specs=specs)
     assert tuned.leaderboard.count() == 2
+    assert set(os.listdir(work_folder(features.sparkSession))) == before  # interim tables are gone
     learn.save_models(tuned, str(tmp_path))
     scored = fleet.score_panel(features, learn.load_model(str(tmp_path), "boosting_b"), day)
     assert scored.count() == features.where(F.col("day") == day).count() > 0

@@ -123,10 +123,51 @@ def test_search_score_and_reload(spark, labelled, tmp_path):
 
 
 def test_default_grids():
-    sizes = {s.name: len(learn._param_maps(s, 100, 3)) for s in learn.default_specs()}
+    sizes = {s.name: len(learn._grid_points(s)) for s in learn.default_specs()}
     assert sizes == {"random_forest": 75, "logistic_regression": 4, "boosting_a": 32, "boosting_b": 192}
 
 
 def test_feature_columns(spark):
     df = spark.createDataFrame([(1, 2, 3, 0)], "id int, a int, b int, target int")
     assert learn.feature_columns(df, ["id", "b", "not_there"]) == ["a"]
+
+
+def test_strength_of_the_last_fit(spark, labelled):
+    train, test = learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0)
+    spec = learn.Spec("logistic", LogisticRegression(maxIter=5), {"inverseStrength": [1, 10]})
+    tuned = learn.grid_search(train, test, [spec], features=["a", "b"], ident="id")
+    strength = tuned.leaderboard.first().best_parameters.split("=")[1]
+    assert tuned.models["logistic"].stages[-1].getRegParam() == pytest.approx(1 / (float(strength) * train.count()))
+
+
+def test_imputer_keeps_its_means_and_takes_empty_columns(spark, tmp_path):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 2.0, None, nan), (2, None, None, 4.0), (3, nan, None, 8.0)], "id int, a double, b double, c double")
+    fitted = learn.fit_imputer(df, ["a", "b", "c"], empty=-1.0)
+    assert rows(fitted.transform(df)) == [(1, 2.0, -1.0, 6.0), (2, 2.0, -1.0, 4.0), (3, 2.0, -1.0, 8.0)]
+    fitted.write().save(str(tmp_path / "imputer"))
+    later = spark.createDataFrame([(9, None, 5.0, None)], df.schema)
+    assert rows(learn.load_model(str(tmp_path), "imputer").transform(later)) == [(9, 2.0, 5.0, 6.0)]
+
+
+def test_models_bring_their_preprocessing(spark, labelled, tmp_path):
+    holes = labelled.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a")))
+    train, test = learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0)
+    stages = learn.fit_preprocessing(train, ["a", "b"], ["b"])
+    spec = learn.Spec("forest", RandomForestClassifier(seed=1, numTrees=3), {"maxDepth": [2]})
+    tuned = learn.grid_search(train, test, [spec], features=["a", "b"], ident="id", stages=stages)
+    learn.save_models(tuned, str(tmp_path))
+
+    def scores(model, df):
+        return rows(learn.score(df, model, ["id"], features=["a", "b"]), "id", "risk_probability")
+
+    stored = learn.load_model(str(tmp_path), "forest")
+    assert scores(stored, holes) == scores(tuned.models["forest"], holes)
+    # The numbers come from training, so a part of a table is scored like the whole.
+    part = holes.where("id < 40")
+    assert scores(stored, part) == [r for r in scores(stored, holes) if r[0] < 40]
+
+
+def test_bounded_fit(spark, labelled):
+    train, test = learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0, max_fit_rows=100, test_fraction=0.2)
+    assert test.count() == 20 and train.where("target = 0").count() == train.where("target = 1").count()

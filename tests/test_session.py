@@ -1,6 +1,6 @@
 import os
 
-from fleetgauge.session import drop_hand_offs, hand_off, work_folder
+from fleetgauge.session import drop_hand_offs, hand_off, interim, work_folder
 
 
 def test_hand_off_is_stored_in_the_named_folder(spark):
@@ -10,3 +10,11 @@ def test_hand_off_is_stored_in_the_named_folder(spark):
     assert path.startswith(work_folder(spark)) and df.count() == 10
     assert drop_hand_offs(spark) >= 1 and not os.path.exists(path)
     assert drop_hand_offs(spark) == 0
+
+
+def test_scope_drops_only_its_own_tables(spark):
+    kept = hand_off(spark.range(3), "kept")
+    before = set(os.listdir(work_folder(spark)))
+    with interim(spark):
+        n = hand_off(spark.range(5), "inner").count()
+    assert n == 5 and kept.count() == 3 and set(os.listdir(work_folder(spark))) == before
