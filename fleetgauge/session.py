@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,16 +78,20 @@ def _check_shared(spark: SparkSession, folder: str) -> None:
     except Exception as error:
         raise ValueError(f"{folder} is not readable from every executor") from error
     finally:
-        _delete(probe)
+        _delete(spark, probe)
     if found != n:
         raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a shared one")
     _shared.add(key)
 
 
-def _delete(path: str) -> None:
-    files, folder = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
-    if files.get_file_info(folder).type != pafs.FileType.NotFound:
-        files.delete_dir(folder)
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a stored table; in a store that only Spark opens an empty table is left in its place."""
+    try:
+        files, folder = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
+        if files.get_file_info(folder).type != pafs.FileType.NotFound:
+            files.delete_dir(folder)
+    except (pa.ArrowException, OSError):
+        spark.range(0).write.mode("overwrite").parquet(path)
 
 
 _written: list[tuple[str, str]] = []
@@ -110,7 +115,7 @@ def drop_hand_offs(spark: SparkSession, since: int = 0) -> int:
     app = spark.sparkContext.applicationId
     mine = [path for owner, path in _written if owner == app][since:]
     for path in mine:
-        _delete(path)
+        _delete(spark, path)
     _written[:] = [(owner, path) for owner, path in _written if owner != app or path not in set(mine)]
     return len(mine)
 
