@@ -296,9 +296,11 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str], scaled: Sequenc
     with the numbers of the training rows.
     """
     imputer = fit_imputer(train, features)
+    if not scaled:
+        return [*imputer.stages]
     fit = fit_scaler(imputer.transform(train), list(scaled)).first()
     scale = {c: f"(`{c}` - {fit[c]['mean'] or 0.0!r}D) / {fit[c]['scale'] or 1.0!r}D" for c in scaled}
-    return [*imputer.stages, *([_replacing(scale)] if scale else [])]
+    return [*imputer.stages, _replacing(scale)]
 
 
 def choose(tuned: Tuned, select: str = "best") -> PipelineModel:
