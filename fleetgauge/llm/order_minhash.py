@@ -223,8 +223,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     texts = hand_off(texts, "texts")
     members = texts.select(F.col("copy_of").alias("id"), F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = hand_off(members.join(buckets.select("key"), "key"), "buckets")
+    # A stored aggregate leaves the join with plain shuffles on both sides, whose hot keys Spark can split.
+    several = hand_off(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
+    shared = hand_off(members.join(several, "key"), "buckets")
     involved = shared.select("id").distinct()
     sequences = hand_off(rows.join(involved, "id", "left_semi").mapInArrow(_sequences, "id long, seq binary").distinct(), "sequences")
     able = _alignable(sequences).where(F.col("free") >= least * F.col("n"))
