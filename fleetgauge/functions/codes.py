@@ -62,3 +62,14 @@ UNIT_DIVISORS = {
     "money": 100,
     "age": 365,
 }
+
+# Measures of a trip, in the order of the feed
+RUN_MEASURES = ("freeMileage", "passengerTime", "waitTime", "mileage", "money")
+
+# Warning counts that are clipped, device flags that are carried on, fields whose gaps are zero
+WARNING_FIELDS = ["ldw", "fcw", "radar_brake", "hmw", "ultrasonic_brake", "stereo_brake"]
+FLAGS = ["IsGps", "IsCamera", "IsAeb"]
+ZERO_FILLED = ["streak_before", "over_speed_cnt", "ExamNum", "TrainNum"]
+
+# Measures of which the panel keeps a rolling mean, besides the device flags
+ROLLED_MEANS = ["freeMileage", "mileage", "passengerTime", "waitTime", "money", "CarryPassengerNum"]

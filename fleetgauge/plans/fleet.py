@@ -17,15 +17,20 @@ from ..functions.codes import (
     BRAKE_WARNING_TYPE,
     DAY_TYPES,
     DEVICE_MAKER_TEXT,
+    FLAGS,
     LOGIN_STATUSES,
     MOVING_SPEED,
     NEGATIVE_REVIEWS,
     OVER_SPEED_RANGE,
     REGION_PREFIX,
+    ROLLED_MEANS,
+    RUN_MEASURES,
     UNIT_DIVISORS,
     VIOLATION_TYPES,
     WARNING_CLASSES,
+    WARNING_FIELDS,
     WARNING_TYPES,
+    ZERO_FILLED,
 )
 from ..operators import clean, dims, fill, join, learn, panel, rollup
 from ..session import hand_off, interim
@@ -82,9 +87,6 @@ def collision_counts(warnings: DataFrame, day_tz: str = "UTC") -> DataFrame:
     )
 
 
-RUN_MEASURES = ("freeMileage", "passengerTime", "waitTime", "mileage", "money")
-
-
 def run_totals(trips: DataFrame, day_tz: str = "UTC") -> DataFrame:
     """Distance, time, money, bad reviews and occupied trips per driver, day and plate."""
     keyed = trips.withColumns(
@@ -279,16 +281,13 @@ def wide_panel(
 # ---- features ------------------------------------------------------------------------
 
 PANEL_KEYS = ["plate", "DriverName"]
-WARNING_FIELDS = ["ldw", "fcw", "radar_brake", "hmw", "ultrasonic_brake", "stereo_brake"]
 ALARM_FIELDS = [*ALARM_CATEGORIES.values(), *ALARM_TYPES.values()]
 VIOLATION_FIELDS = list(VIOLATION_TYPES.values())
-FLAGS = ["IsGps", "IsCamera", "IsAeb"]
 COUNT_FIELDS = [*ALARM_FIELDS, *WARNING_FIELDS, *VIOLATION_FIELDS]
-ZERO_FILLED = ["streak_before", "over_speed_cnt", "ExamNum", "TrainNum"]
 
 WINDOW_DAYS = 8
 ROLLING = {
-    **{c: ["mean"] for c in ("freeMileage", "mileage", "passengerTime", "waitTime", "money", "CarryPassengerNum", *FLAGS)},
+    **{c: ["mean"] for c in (*ROLLED_MEANS, *FLAGS)},
     **{c: ["sum"] for c in ("NegativeReview", *COUNT_FIELDS, "over_speed_cnt")},
     "harsh_accel": ["sum", "std", "mean"],
     "harsh_decel": ["sum", "std", "mean"],
