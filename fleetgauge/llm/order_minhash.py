@@ -17,6 +17,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 PICKS = 5  # minima of a sketch, kept in text order
+FEW = 50  # shingles; two texts of which one has fewer are met by exact keys
 CACHE_WORDS = 150_000
 BATCH_BYTES = 4 << 20
 
@@ -49,18 +50,41 @@ class Shingler:
         return out ^ (out >> np.uint64(32))
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """One key per sketch: the ``PICKS`` smallest shingles under its order, hashed in text order.
-
-    Shingles carry their occurrence number, so repeats within a text are different elements.
-    """
+def _labelled(shingles: np.ndarray) -> np.ndarray:
+    """Shingles with their occurrence number, so repeats within a text are different elements."""
     order = np.argsort(shingles, kind="stable")
     ranked = shingles[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     occurrence = np.empty(len(ranked), np.uint64)
     occurrence[order] = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
     labelled = (shingles + occurrence * np.uint64(0xC2B2AE3D27D4EB4F)) * _mix
-    labelled ^= labelled >> np.uint64(31)
+    return labelled ^ (labelled >> np.uint64(31))
+
+
+def candidate_keys(shingles: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """Keys of which two texts that reach ``least`` share one: always if one has fewer than ``FEW`` shingles, else as sketches do."""
+    few = exact_keys(shingles, least) if len(shingles) * least < FEW else np.zeros(0, np.uint64)
+    return np.concatenate([few, sketch(shingles)]) if len(shingles) >= FEW else few
+
+
+def exact_keys(shingles: np.ndarray, least: float) -> np.ndarray:
+    """Pairs of shingles from the start of the text's shingles in hash order.
+
+    Of n shingles a text that reaches ``least`` shares n * ``least`` at least. The second of the shared ones
+    in hash order has all others of them behind it, so it is among the first n - n * ``least`` + 2 of both texts. Where one shared
+    shingle is enough, single shingles are keys too.
+    """
+    ranked = np.sort(_labelled(shingles))
+    need = max(1, int(np.ceil(len(ranked) * least - 1e-9)))
+    first, second = np.triu_indices(min(len(ranked), len(ranked) - need + 2), 1)
+    keys = (ranked[first] ^ (ranked[second] >> np.uint64(29))) * _mix + ranked[second]
+    keys ^= keys >> np.uint64(32)
+    return np.concatenate([keys, ranked * _mix]) if need == 1 else keys
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One key per sketch: the ``PICKS`` smallest labelled shingles under its order, hashed in text order."""
+    labelled = _labelled(shingles)
     take = min(PICKS, len(labelled))
     step = SKETCHES if len(labelled) < 50_000 else 1
     keys = np.empty(SKETCHES, np.uint64)
@@ -124,20 +148,23 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
-def _sketches(batches):
-    shingle = Shingler()
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for start in range(0, batch.num_rows, 1024):
-            same, keys, kept = [], [], []
-            for k in range(start, min(start + 1024, batch.num_rows)):
-                h = shingle(texts[k].as_py())
-                kept.append(ids[k].as_py())
-                same.append(xxhash.xxh3_128_hexdigest(h.tobytes()) if len(h) else None)
-                keys.append(sketch(h).view(np.int64) if len(h) else np.zeros(0, np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(same, pa.string()), lists], names=["id", "same", "keys"])
+def _sketches(least):
+    def run(batches):
+        shingle = Shingler()
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            for start in range(0, batch.num_rows, 1024):
+                same, keys, kept = [], [], []
+                for k in range(start, min(start + 1024, batch.num_rows)):
+                    h = shingle(texts[k].as_py())
+                    kept.append(ids[k].as_py())
+                    same.append(xxhash.xxh3_128_hexdigest(h.tobytes()) if len(h) else None)
+                    keys.append(candidate_keys(h, least).view(np.int64) if len(h) else np.zeros(0, np.int64))
+                offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(same, pa.string()), lists], names=["id", "same", "keys"])
+
+    return run
 
 
 def _sequences(batches):
@@ -202,8 +229,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked where the shingles of five words that align in order are at least ``least`` of all
     their shingles; classes are the connected texts. Texts with the same words are copies (``copy_of`` is the smallest id
-    of the same words) and stand for one text. Each text gives ``SKETCHES`` keys;
-    a pair at 0.8 shares none of them with a probability below 1e-5.
+    of the same words) and stand for one text. Each text of ``FEW`` shingles
+    or more gives ``SKETCHES`` keys; a pair of them at 0.8 shares none with a probability below 1e-5. A pair of which one text has fewer always
+    shares one of the keys in ``exact_keys``.
 
     Texts with a common key are not paired with each other. Shingles that no other text in a bucket
     has bound the alignment of a text with any other, and pairs that cannot reach ``least`` by these bounds are ruled out without a loss.
@@ -217,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class only as copies or where linked by a copy. Rows that share an id share a class. No other column is looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = hand_off(rows.mapInArrow(_sketches, "id long, same string, keys array<long>"), "sketches")
+    sketches = hand_off(rows.mapInArrow(_sketches(least), "id long, same string, keys array<long>"), "sketches")
     texts = (
         sketches.where("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("copy_of"), F.first("keys").alias("keys")).where("copy_of IS NOT NULL")
     )

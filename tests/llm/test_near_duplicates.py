@@ -88,6 +88,44 @@ def test_group_in_which_members_stray_from_the_centre(spark):
     assert got == want
 
 
+def test_short_texts_with_one_word_more(spark):
+    eight = "one two three four five six seven eight"
+    got = {r.id: r.class_id for r in near(spark, [(1, eight), (2, eight + " nine"), (3, "zero " + eight), (4, "one two three"), (5, "one two three four")])}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+
+
+def test_short_texts_equal_brute_force(spark):
+    rnd, docs = random.Random(12), []
+    for k in range(500):
+        words = [f"w{rnd.randint(0, 10**6)}" for _ in range(rnd.randint(8, 75))]
+        docs.append((4 * k, " ".join(words)))
+        for j in range(1, 4):
+            near_by = list(words)
+            for _ in range(rnd.randint(0, (len(words) - 4) // 10)):  # at either end a word changes one shingle
+                near_by = [*near_by, f"x{rnd.randint(0, 10**6)}"] if rnd.random() < 0.5 else near_by[1:]
+            if len(words) > 30:
+                near_by[rnd.randrange(len(words) // 3, len(words) // 2)] = f"y{rnd.randint(0, 10**6)}"
+            docs.append((4 * k + j, " ".join(near_by if len(words) > 13 or j > 1 else [*words, "more"])))
+    assert {r.id: r.class_id for r in near(spark, docs)} == classes(docs)
+
+
+def test_exact_keys_meet_every_pair():
+    rnd = random.Random(13)
+    for _ in range(4000):
+        least = rnd.choice([0.8, 0.8, 0.5, 0.3])
+        a = np.array([rnd.randint(0, rnd.choice([5, 500])) for _ in range(rnd.randint(1, 49))], np.uint64)
+        b = [x for x in a.tolist() if rnd.random() > (1 - least) / 2] + [rnd.randint(600, 900) for _ in range(rnd.randint(0, 1 + len(a) // 10))]
+        if b and aligned_exactly(a.tolist(), b) >= least:
+            assert set(order_minhash.candidate_keys(a, least).tolist()) & set(order_minhash.candidate_keys(np.array(b, np.uint64), least).tolist())
+
+
+def aligned_exactly(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = [0, *np.maximum.accumulate([max(row[j + 1], row[j] + (x == y)) for j, y in enumerate(b)]).tolist()]
+    return row[-1] / (len(a) + len(b) - row[-1])
+
+
 def test_odd_rows(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(4, text), (9, text.upper() + "!"), (9, text), (None, text), (5, None), (6, ""), (7, "!!"), (8, "two words"), (3, "Two  words"), (11, "two other"), (12, "w " * 60_000), (13, "w " * 60_000)]
