@@ -237,8 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has bound the alignment of a text with any other, and pairs that cannot reach ``least`` by these bounds are ruled out without a loss.
     First each text is aligned with one centre of its bucket, the member with the smallest share of shingles of its own, so a bucket of any
     size gives one pair per row, and the links found are joined to components. Then only members
-    outside the largest component of a bucket are aligned with members of other components, if they share two
-    keys (a pair at 0.8 shares just one with a probability below 1e-4) and can reach ``least``: two texts
+    outside the largest component of a bucket are aligned with members of other components, if they can reach ``least``: two texts
     share at most what the one with less of it shares with the centre, and of the rest only what is not their own.
 
     Null texts and texts without a word are in no bucket: each keeps its own id as class. Rows with a null id get a
@@ -282,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most = F.least("near", "near_a") + F.least(F.col("free") - F.col("near"), F.col("free_a") - F.col("near_a"))
     can = most >= least * (F.col("n") + F.col("n_a") - most)
     common = F.array_intersect("keys", "keys_a")
-    once = (F.size(common) > 1) & (F.array_min(common) == F.col("key"))  # of all buckets of a pair, one passes it on
+    once = F.array_min(common) == F.col("key")  # of all buckets of a pair, one passes it on
     met = outside.join(open_rows, "key").where((F.col("label") != F.col("label_a")) & can & once)
     again = met.select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct()
     more = hand_off(verify(again).where("similarity > 0").select("a", "b"), "more-links")

@@ -126,6 +126,32 @@ def aligned_exactly(a, b):
     return row[-1] / (len(a) + len(b) - row[-1])
 
 
+def test_pair_with_one_key_in_common_beside_a_centre(spark):
+    """Two texts share one key only, in a bucket whose centre is like neither of them."""
+    rnd = random.Random(14)
+    word = lambda: f"w{rnd.randint(0, 10**9)}"
+    shingle = order_minhash.Shingler()
+    keys = lambda words: order_minhash.candidate_keys(shingle(" ".join(words)))
+    both = []
+    while len(both) != 1:  # 64 of 80 shingles are common
+        base = [word() for _ in range(76)]
+        of_base = keys(base)
+        for _ in range(200):
+            other = [*base[8:], *[word() for _ in range(8)]]
+            both = np.flatnonzero(of_base == keys(other))
+            if len(both) == 1:
+                break
+    key, five = both[0], order_minhash._labelled(shingle(" ".join(base)))
+    picks = np.sort(np.argsort(five * order_minhash._factors[key])[: order_minhash.PICKS])
+    while True:  # the centre holds the five shingles of that key, and words of its own
+        centre = [w for at in picks for w in (*base[at : at + 5], *[word() for _ in range(9)])]
+        if keys(centre)[key] == of_base[key]:
+            break
+    docs = [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(centre)), (4, " ".join([*centre, "more"]))]
+    got = {r.id: r.class_id for r in near(spark, docs)}
+    assert got == classes(docs) == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 def test_odd_rows(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(4, text), (9, text.upper() + "!"), (9, text), (None, text), (5, None), (6, ""), (7, "!!"), (8, "two words"), (3, "Two  words"), (11, "two other"), (12, "w " * 60_000), (13, "w " * 60_000)]
