@@ -66,8 +66,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col
 
     Texts become templates (``template``); each run of ``n`` template words is a window.
     Benchmark windows are hashed both with names typed and with names as plain words, so a document in one case is met too.
-    Windows that meet by hash are aligned by the difference of their places. An alignment
-    counts only if its slots are consistent: each value on the benchmark side stands for one value in the document.
+    Windows that meet by hash are aligned by the difference of their places. A window
+    counts if none of its slots is changed, or if each value on the benchmark side stands for the value it meets at most places
+    of the alignment; where two are met equally often, for neither.
 
     Null and short texts have no windows and match nothing; items of fewer than ``n`` words cannot
     be found. Rows with the same id and text count once; benchmark rows are taken by id and text too, and those without an id are left out. Documents without a match
@@ -99,20 +100,28 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col
     ).select("item", "item_hash", "n_windows", "item_at", "window", F.slice("item_words", F.col("item_at") + 1, n).alias("item_words"))
     met = doc_side.join(item_side, "window")
     slots = F.filter(
-        F.zip_with("item_words", "doc_words", lambda a, b: F.struct(F.lower(a).alias("a"), F.lower(b).alias("b"), ((F.lower(a) != a) | F.ascii(a).between(48, 57) | F.lower(a).isin(UNITS)).alias("slot"))),
+        F.zip_with("item_words", F.transform("doc_words", lambda w, i: F.struct(F.lower(w).alias("b"), (F.col("item_at") + i).alias("place"))), lambda a, d: F.struct(
+            F.lower(a).alias("a"), d["b"].alias("b"), d["place"].alias("place"), ((F.lower(a) != a) | F.ascii(a).between(48, 57) | F.lower(a).isin(UNITS)).alias("slot"),
+        )),
         lambda s: s["slot"],
     )
     key = ["id", "hash", "item", "item_hash", "n_windows"]
     line = [*key, (F.col("at") - F.col("item_at")).alias("shift")]
-    met = met.select(*line, "item_at", slots.alias("slots"))
-    pairs = met.select(*key, "shift", F.explode("slots").alias("s")).groupBy(*key, "shift").agg(
-        F.countDistinct("s.a").alias("n_a"), F.countDistinct(F.struct("s.a", "s.b")).alias("n_ab"),
-        F.countDistinct(F.when(F.col("s.a") != F.col("s.b"), F.col("s.a"))).alias("changed"),
-    )
-    lines = met.groupBy(*key, "shift").agg(F.collect_set("item_at").alias("found"))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*key, "shift"]]
-    sound = lines.alias("l").join(pairs.alias("p"), same, "left").where("n_ab IS NULL OR n_ab = n_a")
-    sound = sound.select("l.*", F.coalesce("changed", F.lit(0)).alias("changed"))
+    lines = met.select(*line, "item_at", slots.alias("slots")).groupBy(*key, "shift").agg(F.collect_set(F.struct("item_at", "slots")).alias("found"))
+    pair = lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"))
+    lines = lines.withColumn("uses", F.array_distinct(F.flatten(F.transform("found", lambda f: f["slots"]))))
+    lines = lines.withColumn("pairs", F.array_distinct(F.transform("uses", pair)))
+    at_odds = F.size("pairs") > F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
+    times = lambda p: F.size(F.filter("uses", lambda u: pair(u) == pair(p)))
+    counted = F.transform("pairs", lambda p: F.struct(pair(p).alias("p"), times(p).alias("n")))
+    lines = lines.withColumn("counted", F.when(at_odds, counted))
+    ahead = lambda c: F.forall("counted", lambda o: (o["p"]["a"] != c["p"]["a"]) | (o["p"]["b"] == c["p"]["b"]) | (o["n"] < c["n"]))
+    lines = lines.withColumn("usual", F.transform(F.filter("counted", ahead), lambda c: c["p"]))
+    fits = lambda f: F.forall(f["slots"], lambda s: s["a"] == s["b"]) | F.forall(f["slots"], lambda s: F.array_contains("usual", pair(s)))
+    sound = lines.withColumn("found", F.when(at_odds, F.filter("found", fits)).otherwise(F.col("found"))).where(F.size("found") > 0)
+    other = F.filter(F.flatten(F.transform("found", lambda f: f["slots"])), lambda s: s["a"] != s["b"])
+    changed = F.size(F.array_distinct(F.transform(other, lambda s: s["a"])))
+    sound = sound.select(*key, F.transform("found", lambda f: f["item_at"]).alias("found"), changed.alias("changed"))
     total = sound.groupBy(*key).agg(F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n_matched"), F.sum("changed").alias("changed"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n_windows") * min_share))
     return total.where(F.col("n_matched") >= need).groupBy("id", "hash", "item").agg(

@@ -30,6 +30,17 @@ def test_slots_must_be_consistent(spark):
     assert (1, 1) in found(spark, [(1, CHANGED)]) and (1, 1) not in found(spark, [(1, MIXED)])
 
 
+def test_one_odd_slot_leaves_the_other_windows(spark):
+    """Verbatim windows count beside an edited word, changed ones if they keep to the usual value."""
+    edited = ITEM.replace("does Anna", "does Maria")
+    item = " ".join(f"{v} Anna w{k} x{k} y{k} z{k} u{k} v{k}" for k, v in enumerate(["so", "then", "and", "but", "yet"]))
+    changed = item.replace("Anna", "Peter")
+    got = found(spark, [(1, edited), (2, changed), (3, changed[::-1].replace("reteP", "airaM", 1)[::-1]), (None, edited)], [(1, ITEM), (2, item)])
+    assert set(got) == {(1, 1), (None, 1), (2, 2), (3, 2)}
+    assert got[1, 1].n_matched == got[None, 1].n_matched == 12 and got[1, 1].changed == 0
+    assert got[2, 2].n_matched == got[2, 2].n_windows == 33 and got[3, 2].n_matched == 25 + 1 and got[3, 2].changed == 1
+
+
 def test_empty_and_odd_benchmarks(spark):
     assert found(spark, [(1, ITEM)], []) == {}
     assert found(spark, [], [(1, ITEM)]) == {}
