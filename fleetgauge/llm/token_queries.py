@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, token_files
+from . import bpe, piece_bpe, token_files
 from .registry import query, table
 from .storage_queries import new_folder
 
@@ -37,3 +37,14 @@ def encoded(docs, keep):
 @query()
 def op7_bpe_automaton(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op13_piece_rounds(spark, sf_dir):
+    rows = piece_bpe.encode(table(spark, sf_dir, "documents"), "text", PIECES, ["doc_id"], decoded="decoded")
+    return rows.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
