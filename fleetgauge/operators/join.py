@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import key_counts, skew_join
+from ..session import hand_off
+from .layout import Layout, store_bucketed
+from .skew import HOT_ROWS, key_counts, skew_join
 
 
 class FanOutError(ValueError):
@@ -66,30 +68,74 @@ def fans_out(
     return not met.where("__met = 1").isEmpty()
 
 
+def _checked(out: DataFrame, dim: Dim, gate: bool) -> tuple[list[str], DataFrame]:
+    on, table = dim.keyed()
+    if gate and not dim.unique and fans_out(out, table, on, null_safe=dim.null_safe):
+        raise FanOutError(f"{dim.name}: repeated keys {on} would multiply rows")
+    return on, table
+
+
 def wide_join(
     spine: DataFrame,
     dims: Sequence[Dim],
     *,
     gate: bool = True,
+    layout: Layout | None = None,
 ) -> DataFrame:
-    """Left-join every dimension; refuse one that would multiply rows."""
+    """Left-join every dimension; refuse one that would multiply rows.
+
+    A spine of no more rows than one task takes has no hot keys, so ``skewed`` is looked into only above that.
+
+    With a ``layout`` the dimensions whose keys include those of the layout come last, whatever their place in the
+    list: the spine, with what was joined before, is stored in buckets once, each of these dimensions too, and
+    no join of them shuffles either side. Such a dimension cannot bring a key for one that needs a shuffle. The session
+    is told that joins by more columns than the layout's may stay in its buckets (``CO_PARTITION``).
+    """
+    if layout is not None:
+        return _join_in_buckets(spine, dims, gate, layout)
     out = spine
+    small = not any(dim.skewed for dim in dims) or spine.limit(HOT_ROWS + 1).count() <= HOT_ROWS
+    counted: dict[tuple[str, ...], DataFrame] = {}
     for dim in dims:
-        on, table = dim.keyed()
-        if gate and not dim.unique and fans_out(out, table, on, null_safe=dim.null_safe):
-            raise FanOutError(f"{dim.name}: repeated keys {on} would multiply rows")
+        on, table = _checked(out, dim, gate)
         if dim.null_safe:
             out = null_safe_left_join(out, table, on)
-        elif dim.skewed:
+        elif dim.skewed and not small:
             # Joins behind the gate keep every spine row once, so the spine itself
-            # can be counted where it has the keys.
-            counts = key_counts(spine, on) if set(on) <= set(spine.columns) else None
+            # can be counted where it has the keys; once for each set of keys.
+            counts = None
+            if set(on) <= set(spine.columns):
+                counts = counted.setdefault(tuple(sorted(on)), hand_off(key_counts(spine, on), "key-counts"))
             out = skew_join(out, table, on, counts=counts)
         else:
             out = out.join(table, on, "left")
     return out
 
 
+# By default Spark shuffles both sides of a join unless they are partitioned by all of its columns.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def _join_in_buckets(spine: DataFrame, dims: Sequence[Dim], gate: bool, layout: Layout) -> DataFrame:
+    within = [dim for dim in dims if layout.covers(dim.keyed()[0]) and not dim.null_safe]
+    moving = [dim for dim in dims if dim not in within]
+    known = set(spine.columns)
+    for dim in [*moving, *within]:
+        missing = set(dim.keyed()[0]) - known
+        if missing:
+            raise ValueError(f"{dim.name}: no table before it brings {sorted(missing)}; those joined in buckets come last")
+        known |= set(dim.keyed()[1].columns)
+    spine.sparkSession.conf.set(CO_PARTITION, "false")
+    out = store_bucketed(wide_join(spine, moving, gate=gate), layout, "spine")
+    for dim in within:
+        on, table = _checked(out, dim, gate)
+        wrong = [k for k in layout.keys if out.schema[k].dataType != table.schema[k].dataType]
+        if wrong:  # other types hash to other buckets
+            raise TypeError(f"{dim.name}: {wrong} differ in type from those of the spine")
+        out = out.join(store_bucketed(table, layout, dim.name), on, "left")
+    return out
+
+
 def row_trace(spine: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     """Row count of the spine and after each join: ``step, name, rows``.
 

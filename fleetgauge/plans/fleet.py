@@ -33,6 +33,7 @@ from ..functions.codes import (
     ZERO_FILLED,
 )
 from ..operators import clean, dims, fill, join, learn, panel, rollup
+from ..operators.layout import Layout
 from ..session import hand_off, interim
 from ..sources import scan_days
 
@@ -208,6 +209,8 @@ def accident_days(accidents: DataFrame) -> DataFrame:
 
 # ---- the wide panel ----------------------------------------------------------------
 
+PANEL_LAYOUT = Layout(("driver", "day"), 200)
+
 
 @dataclass(frozen=True)
 class Feeds:
@@ -233,10 +236,12 @@ def wide_panel(
     day_tz: str = "UTC",
     excluded: Mapping[str, Sequence[str]] | None = None,
     gate: bool = True,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """One row per driver, day and plate with everything known about it and the accident label.
 
-    ``excluded`` lists values of ``driver``, ``plate`` or ``vehicle`` to leave out
+    With a ``layout``, such as ``PANEL_LAYOUT``, the daily tables of a driver are stored in buckets and joined
+    without another shuffle of the panel. ``excluded`` lists values of ``driver``, ``plate`` or ``vehicle`` to leave out
     of the result, such as test vehicles.
     """
     excluded = dict(excluded or {})
@@ -266,6 +271,7 @@ def wide_panel(
             rolled_up("over_speed", over_speed_counts(feeds.over_speed, day_tz), day_keys),
         ],
         gate=gate,
+        layout=layout,
     )
     starts = {"age": "birthday", "driveAge": "DrivingLicenseStartDate", "EntryAge": "EntryDate"}
     joined = joined.withColumns(

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.codes import ALARM_CATEGORIES, ALARM_TYPES, FLAGS, RUN_MEASURES, VIOLATION_TYPES, WARNING_CLASSES
+from ..operators.layout import Layout
 from . import fleet
 from .dim_queries import ID_SQL, customer_ids
 from .registry import query, table
 
 OUT = [
-    "day", "driver", "plate", "freeMileage", "waitTime", "money", "passengerTime", "NegativeReview", "CarryPassengerNum",
-    "DriverID", "in_region", "sex", "age", "driveAge", "EntryAge", "vehicle", "device", "TEM", "IsGps", "IsCamera", "IsAeb", "totalmileage",
-    "adas_violation", "fault", "harsh_accel", "phone_use", "fcw", "hmw", "stereo_brake", "inactive_warning",
-    "traffic_violation", "rule_breach", "streak_before", "over_speed_cnt", "date_type", "target",
+    "day", "driver", "plate", *RUN_MEASURES, "NegativeReview", "CarryPassengerNum",
+    "DriverID", "in_region", "sex", "age", "driveAge", "EntryAge", "vehicle", "device", "TEM", *FLAGS, "totalmileage",
+    *ALARM_CATEGORIES.values(), *ALARM_TYPES.values(), *WARNING_CLASSES, *VIOLATION_TYPES.values(),
+    "streak_before", "over_speed_cnt", "date_type", "target",
 ]
 
 
@@ -54,10 +56,14 @@ def feeds(spark: SparkSession, sf_dir: str) -> fleet.Feeds:
     )
 
 
+def _counts(col: str, names: dict) -> str:
+    return ", ".join(f"count(*) FILTER ({col} = {code!r}) AS {name}" for code, name in names.items())
+
+
 PANEL_SQL = f"""
     WITH e AS (SELECT *, CAST(ts AS DATE) AS day, CAST(user_id AS VARCHAR) AS driver, 'P' || CAST(user_id % 40 AS VARCHAR) AS plate,
                       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
-    spine AS (SELECT day, driver, plate, sum(k)::BIGINT AS freeMileage, sum(k)::BIGINT AS waitTime, sum(k * 10)::BIGINT AS money, sum(k)::BIGINT AS passengerTime,
+    spine AS (SELECT day, driver, plate, sum(k)::BIGINT AS freeMileage, sum(k * 2)::BIGINT AS mileage, sum(k)::BIGINT AS waitTime, sum(k * 10)::BIGINT AS money, sum(k)::BIGINT AS passengerTime,
                      count(*) FILTER (k % 5 IN (3, 4)) AS NegativeReview, count(*) FILTER (k % 3 > 0) AS CarryPassengerNum
               FROM e WHERE event_type IN ('view', 'click') GROUP BY ALL),
     people AS (SELECT CAST(c_custkey AS VARCHAR) AS driver, CAST(c_custkey + 1000 AS VARCHAR) AS DriverID, CASE WHEN idn[1:2] = '44' THEN 1 ELSE 0 END AS in_region,
@@ -71,14 +77,12 @@ PANEL_SQL = f"""
                QUALIFY row_number() OVER (PARTITION BY day, user_id % 40 ORDER BY ts DESC, event_id DESC) = 1),
     odometer AS (SELECT day, CAST(user_id % 30 AS VARCHAR) AS device, max(k * 10) AS totalmileage FROM e GROUP BY ALL),
     valid AS (SELECT *, 1 + k % 6 AS category, [18006, 18007, 56002, 99999][1 + k % 4] AS kind FROM e WHERE (k % 3 = 0 AND k % 2 = 0) OR k % 3 = 1),
-    alarms AS (SELECT day, driver, plate, count(*) FILTER (category = 1) AS adas_violation, count(*) FILTER (category = 5) AS fault,
-                      count(*) FILTER (kind = 18006) AS harsh_accel, count(*) FILTER (kind = 56002) AS phone_use
+    alarms AS (SELECT day, driver, plate, {_counts("category", ALARM_CATEGORIES)}, {_counts("kind", ALARM_TYPES)}
                FROM valid WHERE event_type = 'error' GROUP BY ALL),
     warned AS (SELECT day, driver, CAST(user_id % 30 AS VARCHAR) AS device, CASE 1 + k % 5 WHEN 1 THEN 'fcw' WHEN 2 THEN 'hmw' WHEN 3 THEN 'ldw'
                       ELSE ['no_brake', 'stereo_brake', 'radar_brake', 'ultrasonic_brake'][1 + k % 4] END AS class
                FROM e WHERE event_type = 'purchase' AND 1 + k % 5 <= 4),
-    warnings AS (SELECT day, driver, device, count(*) FILTER (class = 'fcw') AS fcw, count(*) FILTER (class = 'hmw') AS hmw,
-                        count(*) FILTER (class = 'stereo_brake') AS stereo_brake, count(*) FILTER (class = 'inactive_warning') AS inactive_warning FROM warned GROUP BY ALL),
+    warnings AS (SELECT day, driver, device, {_counts("class", {c: c for c in WARNING_CLASSES})} FROM warned GROUP BY ALL),
     violations AS (SELECT day, CAST(user_id % 40 AS VARCHAR) AS vehicle, e.driver, count(*) FILTER (1 + k % 3 = 1) AS traffic_violation, count(*) FILTER (1 + k % 3 = 2) AS rule_breach
                    FROM e JOIN people USING (driver) WHERE event_type = 'purchase' AND k % 4 < 2 GROUP BY ALL),
     login_days AS (SELECT DISTINCT driver, day FROM e WHERE event_type = 'click'),
@@ -100,3 +104,10 @@ PANEL_SQL = f"""
 def fleet_wide_panel(spark, sf_dir):
     """All feeds rolled up, joined behind the gate, typed by day and labelled."""
     return fleet.wide_panel(feeds(spark, sf_dir)).select(*OUT).withColumn("DriverID", F.col("DriverID").cast("string"))
+
+
+@query(PANEL_SQL)
+def fleet_panel_in_buckets(spark, sf_dir):
+    """The same panel from tables stored in buckets of driver and day."""
+    wide = fleet.wide_panel(feeds(spark, sf_dir), layout=Layout(("driver", "day"), 8))
+    return wide.select(*OUT).withColumn("DriverID", F.col("DriverID").cast("string"))

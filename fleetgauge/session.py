@@ -95,6 +95,13 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 _written: list[tuple[str, str]] = []
+_named: dict[str, str] = {}  # of interim tables that the catalogue knows: their names by path
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Note a stored table under a name as an interim one, for ``drop_hand_offs``."""
+    _written.append((spark.sparkContext.applicationId, path))
+    _named[path] = name
 
 
 def hand_off(df: DataFrame, label: str) -> DataFrame:
@@ -115,6 +122,8 @@ def drop_hand_offs(spark: SparkSession, since: int = 0) -> int:
     app = spark.sparkContext.applicationId
     mine = [path for owner, path in _written if owner == app][since:]
     for path in mine:
+        if path in _named:
+            spark.sql(f"DROP TABLE IF EXISTS {_named.pop(path)}")
         _delete(spark, path)
     _written[:] = [(owner, path) for owner, path in _written if owner != app or path not in set(mine)]
     return len(mine)
