@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.codes import ALARM_CATEGORIES, ALARM_TYPES, FLAGS, RUN_MEASURES, VIOLATION_TYPES, WARNING_CLASSES
+from .. import functions as fn
+from ..functions.codes import (
+    ALARM_CATEGORIES,
+    ALARM_TYPES,
+    DAY_TYPES,
+    FLAGS,
+    RUN_MEASURES,
+    UNIT_DIVISORS,
+    VIOLATION_TYPES,
+    WARNING_CLASSES,
+    WARNING_FIELDS,
+    ZERO_FILLED,
+)
 from ..operators.layout import Layout
+from ..session import hand_off
 from . import fleet
 from .dim_queries import ID_SQL, customer_ids
 from .registry import query, table
 
+# Counts that come with a driver, here a rest of the customer's number by each of these.
+DRIVER_COUNTS = {"ExamNum": 7, "TrainNum": 11, "ViolateNum": 3, "ViolationNum": 4, "AccidentNum": 13}
 OUT = [
     "day", "driver", "plate", *RUN_MEASURES, "NegativeReview", "CarryPassengerNum",
-    "DriverID", "in_region", "sex", "age", "driveAge", "EntryAge", "vehicle", "device", "TEM", *FLAGS, "totalmileage",
+    "DriverID", "DriverName", *DRIVER_COUNTS, "in_region", "sex", "age", "driveAge", "EntryAge", "vehicle", "device", "TEM", *FLAGS, "totalmileage",
     *ALARM_CATEGORIES.values(), *ALARM_TYPES.values(), *WARNING_CLASSES, *VIOLATION_TYPES.values(),
     "streak_before", "over_speed_cnt", "date_type", "target",
 ]
@@ -31,6 +46,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> fleet.Feeds:
     alarm = ["k % 3 AS handleStatus", "k % 2 AS handleTime", "secs AS alarmTime", "user_id AS jobNumber", "plate AS vehicleNumber"]
     people = customer_ids(spark, sf_dir).where("c_custkey % 5 <> 0").selectExpr(
         "c_custkey + 1000 AS DriverID", "cast(c_custkey AS double) AS Certified", "idn AS IDNumber", "'1' AS DriverTypeID", "c_name AS DriverName",
+        *[f"cast(c_custkey % {n} AS int) AS {c}" for c, n in DRIVER_COUNTS.items()],
         "date_add(date'2010-01-01', cast(c_custkey AS int)) AS DrivingLicenseStartDate", "date'2020-05-05' AS EntryDate",
     )
     cars = table(spark, sf_dir, "customer").where("c_custkey < 60").selectExpr(
@@ -66,10 +82,11 @@ PANEL_SQL = f"""
     spine AS (SELECT day, driver, plate, sum(k)::BIGINT AS freeMileage, sum(k * 2)::BIGINT AS mileage, sum(k)::BIGINT AS waitTime, sum(k * 10)::BIGINT AS money, sum(k)::BIGINT AS passengerTime,
                      count(*) FILTER (k % 5 IN (3, 4)) AS NegativeReview, count(*) FILTER (k % 3 > 0) AS CarryPassengerNum
               FROM e WHERE event_type IN ('view', 'click') GROUP BY ALL),
-    people AS (SELECT CAST(c_custkey AS VARCHAR) AS driver, CAST(c_custkey + 1000 AS VARCHAR) AS DriverID, CASE WHEN idn[1:2] = '44' THEN 1 ELSE 0 END AS in_region,
+    people AS (SELECT CAST(c_custkey AS VARCHAR) AS driver, CAST(c_custkey + 1000 AS VARCHAR) AS DriverID, c_name AS DriverName,
+                      {", ".join(f"CAST(c_custkey % {n} AS INTEGER) AS {c}" for c, n in DRIVER_COUNTS.items())}, CASE WHEN idn[1:2] = '44' THEN 1 ELSE 0 END AS in_region,
                       TRY_CAST(substr(idn, 17, 1) AS INTEGER) % 2 AS sex, CAST(try_strptime(substr(idn, 7, 8), '%Y%m%d') AS DATE) AS birthday,
                       DATE '2010-01-01' + CAST(c_custkey AS INTEGER) AS licensed
-               FROM ({ID_SQL}) WHERE length(idn) = 18 AND c_custkey % 5 <> 0),
+               FROM ({ID_SQL}) JOIN (SELECT c_custkey, c_name FROM customer) USING (c_custkey) WHERE length(idn) = 18 AND c_custkey % 5 <> 0),
     cars AS (SELECT 'P' || (c_custkey % 35) AS plate, CAST(c_custkey % 35 AS VARCHAR) AS vehicle, CAST(c_custkey % 30 AS VARCHAR) AS device,
                     CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS TEM
              FROM customer WHERE c_custkey < 60 QUALIFY row_number() OVER (PARTITION BY c_custkey % 35 ORDER BY c_custkey DESC) = 1),
@@ -111,3 +128,74 @@ def fleet_panel_in_buckets(spark, sf_dir):
     """The same panel from tables stored in buckets of driver and day."""
     wide = fleet.wide_panel(feeds(spark, sf_dir), layout=Layout(("driver", "day"), 8))
     return wide.select(*OUT).withColumn("DriverID", F.col("DriverID").cast("string"))
+
+
+def _each(cols, line: str) -> str:
+    """One line of SQL for each column, which stands for ``{c}``."""
+    return ", ".join(line.format(c=c) for c in cols)
+
+
+def _interval(c: str, of: str) -> str:
+    """Three deviations about the mean of an expression; a constant is its own interval."""
+    same = f"CASE WHEN count({of}) > 1 AND min({of}) = max({of}) THEN min({of}) ELSE avg({of})"
+    return f"{same} - 3 * stddev_samp({of}) END AS {c}_lo, {same} + 3 * stddev_samp({of}) END AS {c}_hi"
+
+
+def _rolled(c: str, func: str) -> str:
+    over = "OVER (PARTITION BY plate, DriverName ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)"
+    value = {
+        "sum": f"CASE WHEN count({c}) {over} > 1 THEN sum({c}) {over} - {c} END",
+        "mean": f"CASE WHEN count({c}) {over} > 1 THEN (sum({c}) {over} - {c}) / (count({c}) {over} - 1) END",
+        "std": f"stddev_samp({c}) {over}",
+    }[func]
+    return f"{value} AS {c}_8d_{func}"
+
+
+def _mean_filled(cols) -> tuple[str, str]:
+    """Lists for two steps: the mean of the group, then that of the column so filled."""
+    group = _each(cols, "coalesce({c}, CASE WHEN DriverName IS NOT NULL THEN avg({c}) OVER (PARTITION BY plate, DriverName) END) AS {c}")
+    return group, _each(cols, "coalesce({c}, avg({c}) OVER ()) AS {c}")
+
+
+COUNTS_FILLED, COUNTS_FULL = _mean_filled(fleet.COUNT_FIELDS)
+ROLLED_FILLED, ROLLED_FULL = _mean_filled(fleet.ROLLED)
+CLIPPED = _each(WARNING_FIELDS, "CASE WHEN {c} < {c}_lo THEN {c}_lo WHEN {c} > {c}_hi THEN {c}_hi ELSE CAST({c} AS DOUBLE) END AS {c}")
+CLIPPED_ALARMS = _each(
+    fleet.ALARM_FIELDS, "CASE WHEN {c} <> 0 AND {c} < {c}_lo THEN {c}_lo WHEN {c} <> 0 AND {c} > {c}_hi THEN {c}_hi ELSE CAST({c} AS DOUBLE) END AS {c}"
+)
+ORDERED = "PARTITION BY plate ORDER BY day, DriverName NULLS LAST, driver"
+
+
+@query(
+    f"""
+    WITH wide AS ({PANEL_SQL}),
+    valid AS (SELECT *, CASE WHEN totalmileage > 0 THEN totalmileage END AS v FROM wide),
+    mileage AS (SELECT * EXCLUDE (v) REPLACE (coalesce(last_value(v IGNORE NULLS) OVER ({ORDERED} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                  first_value(v IGNORE NULLS) OVER ({ORDERED} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), -1) AS totalmileage) FROM valid),
+    base AS (SELECT * REPLACE ({", ".join(f"{c} / CAST({n} AS DOUBLE) AS {c}" for c, n in UNIT_DIVISORS.items())}) FROM mileage
+             QUALIFY row_number() OVER (PARTITION BY day, plate, DriverName ORDER BY driver) = 1),
+    bounds AS (SELECT {", ".join([*[_interval(c, c) for c in WARNING_FIELDS], *[_interval(c, f"nullif({c}, 0)") for c in fleet.ALARM_FIELDS]])} FROM base),
+    clipped AS (SELECT base.* REPLACE ({CLIPPED}, {CLIPPED_ALARMS}, CASE WHEN IsAeb = 1 AND
+                  {" + ".join(f"(CASE WHEN {c} < {c}_lo OR {c} > {c}_hi THEN 1 ELSE 0 END)" for c in WARNING_FIELDS)} > 0 THEN 0 ELSE IsAeb END AS IsAeb)
+                FROM base, bounds),
+    flagged AS (SELECT * REPLACE ({_each(FLAGS, "last_value({c} IGNORE NULLS) OVER w AS {c}")}, {_each(ZERO_FILLED, "coalesce({c}, 0) AS {c}")}) FROM clipped
+                WINDOW w AS (ORDER BY plate, DriverName NULLS LAST, day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    grouped AS (SELECT * REPLACE ({COUNTS_FILLED}) FROM flagged),
+    filled AS (SELECT * REPLACE ({COUNTS_FULL}) FROM grouped),
+    rolled AS (SELECT *, {", ".join(_rolled(c, f) for c, fs in fleet.ROLLING.items() for f in fs)} FROM filled WHERE DriverName IS NOT NULL),
+    regrouped AS (SELECT * REPLACE ({ROLLED_FILLED}) FROM rolled),
+    complete AS (SELECT * REPLACE ({ROLLED_FULL}) FROM regrouped),
+    derived AS (SELECT *, freeMileage_8d_mean + mileage_8d_mean AS distance, passengerTime_8d_mean + waitTime_8d_mean AS duration,
+                       phone_use_8d_sum + smoking_8d_sum + distraction_8d_sum AS distraction_total,
+                       crosswalk_no_yield_8d_sum + physical_conflict_8d_sum + crosswalk_speeding_8d_sum AS dangerous_total,
+                       {", ".join(f"CASE WHEN date_type = '{d}' THEN 1 ELSE 0 END AS date_type_{d}" for d in DAY_TYPES)} FROM complete),
+    featured AS (SELECT *, freeMileage_8d_mean / nullif(distance, 0) AS empty_distance_ratio, waitTime_8d_mean / nullif(duration, 0) AS idle_time_ratio FROM derived),
+    scaled AS (SELECT * REPLACE ({_each(fleet.SCALED, "({c} - avg({c}) OVER ()) / CASE WHEN min({c}) OVER () = max({c}) OVER () THEN 1 ELSE stddev_pop({c}) OVER () END AS {c}")}) FROM featured)
+    SELECT day, plate, DriverName, target, {_each(fleet.FEATURES, "round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}")} FROM scaled
+    """
+)
+def fleet_features(spark, sf_dir):
+    """All features of the model, from raw feeds through panel, cleaning, windows and scaling."""
+    wide = hand_off(fleet.wide_panel(feeds(spark, sf_dir)), "wide")
+    rows = fleet.prepare_features(wide)
+    return rows.select("day", "plate", "DriverName", "target", *[fn.round_to(F.col(c).cast("double"), 6).alias(c) for c in fleet.FEATURES])
