@@ -129,23 +129,24 @@ def group_mean_fill(
     cols: Sequence[str],
     *,
     min_rows: int = HOT_ROWS,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Fill nulls with the mean of their group, then with the mean of the filled column.
 
-    One aggregation gives count and means per group. The mean of the filled
+    One aggregation gives count and means per group, unless ``stats`` brings them from a stored state
+    (``moments.group_means_of``), which may hold more rows than ``df``. The mean of the filled
     column follows from it without another pass: a group with a mean weighs all
     its rows. Rows with a null key get no group mean. NaN counts as null.
     """
     keys, cols = list(keys), list(cols)
     df = nan_to_null(df, cols)
-    stats = hand_off(
-        df.groupBy(*keys).agg(
+    if stats is None:
+        stats = df.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("__rows"),
             *[F.avg(c).alias(f"__mean_{c}") for c in cols],
             *[F.count(c).alias(f"__n_{c}") for c in cols],
-        ),
-        "group-means",
-    )
+        )
+    stats = hand_off(stats, "group-means")
 
     def overall(c):
         mean, seen = F.col(f"__mean_{c}"), F.col(f"__n_{c}")

@@ -104,6 +104,13 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
     _named[path] = name
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder for tables that are only needed until ``drop_hand_offs``."""
+    path = os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    _written.append((spark.sparkContext.applicationId, path))
+    return path
+
+
 def hand_off(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -111,9 +118,8 @@ def hand_off(df: DataFrame, label: str) -> DataFrame:
     checkpoint it stays columnar, so later scans still prune columns.
     """
     spark = df.sparkSession
-    path = os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, label)
     df.write.parquet(path)
-    _written.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
