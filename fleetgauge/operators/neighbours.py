@@ -2,46 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import hand_off
-from .sampling import exact_cuts, hash_order
+from .metric_tree import CELL, FAN, build, leaf_pairs
+from .sampling import exact_cuts
 from .skew import skew_join
 
-# Rows of one block: what one task holds of each side.
-BLOCK_ROWS = 100_000
-# Reference points of a class that needs several blocks.
-PIVOTS = 64
-# Queries measured at once against a block.
-TILE_ROWS = 512
+# A block is what one task holds of each side, a tile the distances it works on at once. A Python worker needs about
+# five blocks (both sides as they arrive and as matrices, and one copy) and three tiles: some 250 MB.
+BLOCK_BYTES = 32 << 20
+TILE_BYTES = 16 << 20
+# Values a label may have.
+MOST_CLASSES = 1_000
 
 
 def _kernel(k: int):
     # Everything a task needs is defined inside, so workers need no copy of this package.
-    def nearest(queries, ids, block, block_ids):
+    def nearest(queries, ids, limits, block, block_ids):
         """The k nearest block rows of every query, itself left out; ties go to the smaller id.
 
-        A product of matrices finds who may be among the k nearest, with room for
-        its rounding; only those are measured exactly.
+        Queries that already have k rows nearer than the block can offer, by its radius about its mean, are left out. A
+        product of matrices finds who may be among the k nearest, with room for its rounding; only those are
+        measured exactly.
         """
+        middle = block.mean(axis=0)
+        radius = np.sqrt(((block - middle) ** 2).sum(axis=1).max())
+        gaps = np.sqrt(((queries - middle) ** 2).sum(axis=1))
+        near = gaps - radius <= limits + 1e-9 * (1.0 + gaps + radius)
+        queries, ids = queries[near], ids[near]
         norms = np.einsum("ij,ij->i", block, block)
-        for start in range(0, len(queries), TILE_ROWS):
-            tile = queries[start : start + TILE_ROWS]
+        rows = max(1, TILE_BYTES // (8 * len(block)))
+        for start in range(0, len(queries), rows):
+            tile = queries[start : start + rows]
             own = np.einsum("ij,ij->i", tile, tile)
             rough = own[:, None] + norms[None, :] - 2.0 * (tile @ block.T)
             room = 1e-9 * (1.0 + own[:, None] + norms.max())
-            rough[ids[start : start + TILE_ROWS, None] == block_ids[None, :]] = np.inf
+            rough[ids[start : start + rows, None] == block_ids[None, :]] = np.inf
             kept = min(k, rough.shape[1])
             limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1 : kept] + room
             for i in range(len(tile)):
-                near = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
-                apart = np.sqrt(((block[near] - tile[i]) ** 2).sum(axis=1))
-                first = np.lexsort((block_ids[near], apart))[:k]
-                yield ids[start + i], block_ids[near[first]], apart[first]
+                close = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
+                apart = np.sqrt(((block[close] - tile[i]) ** 2).sum(axis=1))
+                first = np.lexsort((block_ids[close], apart))[:k]
+                yield ids[start + i], block_ids[close[first]], apart[first]
 
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -49,7 +55,7 @@ def _kernel(k: int):
             q = np.stack(queries["__x"].to_numpy()).astype("float64")
             b = np.stack(block["__of__x"].to_numpy()).astype("float64")
             q_ids, b_ids = queries["__id"].to_numpy(), block["__of__id"].to_numpy()
-            found = list(nearest(q, q_ids, b, b_ids))
+            found = list(nearest(q, q_ids, queries["__limit"].to_numpy(dtype="float64"), b, b_ids))
         if not found:
             return pd.DataFrame({"__id": [], "__nn": [], "distance": []})
         return pd.DataFrame(
@@ -63,54 +69,36 @@ def _kernel(k: int):
     return search
 
 
-def _place(pivots: dict[object, np.ndarray]):
-    """Nearest pivot of the row's class and the distance to it."""
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cell = np.zeros(len(batch), dtype="int32")
-            away = np.zeros(len(batch))
-            for label, at in batch.groupby("__class", dropna=False).indices.items():
-                points = pivots.get(label)
-                if points is None:
-                    continue
-                x = np.stack(batch["__x"].to_numpy()[at]).astype("float64")
-                for s in range(0, len(at), TILE_ROWS):
-                    gap = np.sqrt(((x[s : s + TILE_ROWS, None, :] - points[None]) ** 2).sum(axis=2))
-                    cell[at[s : s + TILE_ROWS]] = gap.argmin(axis=1)
-                    away[at[s : s + TILE_ROWS]] = gap.min(axis=1)
-            yield batch.assign(__cell=cell, __away=away)
-
-    return place
+def _search(queries: DataFrame, candidates: DataFrame, pairs: DataFrame, k: int, seed: int) -> DataFrame:
+    """__id, __nn, distance: the ``k`` best rows of each block of leaf ``c`` for each query of leaf ``q``.
 
+    ``pairs``: __class, q, c, q_blocks, c_blocks, least. Cells are cut into blocks by a hash of the identifier, so copies and
+    crowded cells are cut as well; one task compares one block with one block.
+    """
+    id_kind = queries.schema["__id"].dataType.simpleString()
+    part = F.xxhash64(F.lit(seed), F.col("__id"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    unit = ["__class", "q", "q_block", "c", "c_block"]
+    asked = (
+        queries.withColumnRenamed("__cell", "q").join(pairs, ["__class", "q"])
+        .withColumn("q_block", F.pmod(part, F.col("q_blocks")).cast("int"))
+        .withColumn("c_block", every("c_blocks"))
+        .select(*unit, "__id", "__x", "__limit")
+    )
+    blocks = (
+        candidates.withColumnRenamed("__cell", "c").join(pairs, ["__class", "c"])
+        .where(F.col("__away") >= F.col("least"))
+        .withColumn("c_block", F.pmod(part, F.col("c_blocks")).cast("int"))
+        .withColumn("q_block", every("q_blocks"))
+        .select(*[F.col(c).alias(f"__of{c}") for c in (*unit, "__id", "__x")])
+    )
+    grouped = asked.groupBy(*unit).cogroup(blocks.groupBy(*[f"__of{c}" for c in unit]))
+    return grouped.applyInPandas(_kernel(k), f"__id {id_kind}, __nn {id_kind}, distance double")
 
-def _cell_pairs(cells: pd.DataFrame, pivots: dict[object, np.ndarray], k: int) -> list[tuple]:
-    """Which cells must be searched for the queries of a cell, and at what distance from
-    their pivot.
 
-    A query of cell c lies within radius(c) of its pivot, so a row at distance a
-    from pivot j is at most radius(c) + |c j| + a away. The (k+1) smallest of
-    these bound the k-th neighbour of every query in c; a row that cannot come
-    that close by the triangle inequality need not be searched.
-    """
-    pairs = []
-    for label, group in cells.groupby("__class", dropna=False):
-        group = group.set_index("__cell")
-        points = pivots.get(label)
-        for c, mine in group.iterrows():
-            bounds = []
-            for j, theirs in group.iterrows():
-                gap = 0.0 if points is None else float(np.sqrt(((points[c] - points[j]) ** 2).sum()))
-                bounds += [mine.radius + gap + a for a in theirs.closest]
-            bounds.sort()
-            reach = bounds[k] if len(bounds) > k else float("inf")
-            # room for rounding in the distances themselves
-            reach = reach * (1 + 1e-9) + 1e-9
-            for j, theirs in group.iterrows():
-                gap = 0.0 if points is None else float(np.sqrt(((points[c] - points[j]) ** 2).sum()))
-                if gap - mine.radius - theirs.radius <= reach:
-                    pairs.append((label, int(c), int(j), int(mine.blocks), int(theirs.blocks), gap - mine.radius - reach))
-    return pairs
+def _best(found: DataFrame, k: int) -> DataFrame:
+    ranked = W.partitionBy("__id").orderBy("distance", "__nn")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
 
 def nearest_neighbours(
@@ -120,94 +108,44 @@ def nearest_neighbours(
     label: str,
     *,
     k: int = 5,
-    block_rows: int = BLOCK_ROWS,
-    pivots: int = PIVOTS,
+    block_rows: int | None = None,
+    fan: int = FAN,
     seed: int = 42,
 ) -> DataFrame:
     """The ``k`` nearest rows of the same class: ``ident, label, rank, neighbour, distance``.
 
-    Exact. A class is cut into cells around a few of its own rows, and cells into
-    blocks of about ``block_rows`` rows by a hash of the identifier, so copies
-    and crowded cells are cut as well. Cells that cannot hold a neighbour are
-    not searched. One task compares one block with one block and passes on only
-    ``k`` rows per query; the k best of those are the result.
+    Exact. Each class becomes a tree of cells of at most ``block_rows`` rows, by default as many as ``BLOCK_BYTES`` hold. The
+    search begins in the own cell; how far its k-th row is then bounds which other cells can hold a nearer one, and
+    only those are searched. A task passes on only ``k`` rows per query; the k best of those are the result. Rows without a
+    class or without features take no part; identifiers must be distinct.
     """
-    spark = df.sparkSession
-    kind = df.schema[label].dataType.simpleString()
-    id_kind = df.schema[ident].dataType.simpleString()
     rows = df.select(
         F.col(label).alias("__class"),
         F.col(ident).alias("__id"),
         F.col(features).cast("array<double>").alias("__x"),
-    ).where(F.col("__class").isNotNull())
-    sizes = {r["__class"]: r.n for r in rows.groupBy("__class").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wide = [c for c, n in sizes.items() if n > block_rows]
-    points: dict[object, np.ndarray] = {}
-    if wide:
-        # At most ``pivots`` rows per class of more than a block.
-        order = W.partitionBy("__class").orderBy(hash_order("__id", seed), "__id")
-        chosen = (
-            rows.where(F.col("__class").isin(*wide))
-            .withColumn("__r", F.row_number().over(order))
-            .where(F.col("__r") <= pivots)
-            .select("__class", "__x")
-            .collect()
-        )
-        for c in wide:
-            points[c] = np.array([r["__x"] for r in chosen if r["__class"] == c])
-        schema = f"__class {kind}, __id {id_kind}, __x array<double>, __cell int, __away double"
-        placed = hand_off(rows.mapInPandas(_place(points), schema), "neighbour-cells")
-    else:
-        placed = rows.withColumns({"__cell": F.lit(0), "__away": F.lit(0.0)})
-
-    # One row per cell, with its k + 1 rows closest to the pivot.
-    nearest_first = W.partitionBy("__class", "__cell").orderBy("__away", "__id")
-    closest = (
-        placed.select("__class", "__cell", "__away", "__id")
-        .withColumn("__r", F.row_number().over(nearest_first))
-        .where(F.col("__r") <= k + 1)
-        .groupBy("__class", "__cell")
-        .agg(F.array_sort(F.collect_list("__away")).alias("closest"))
-    )
-    cells = (
-        placed.groupBy("__class", "__cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("__away").alias("radius"))
-        .join(closest, ["__class", "__cell"])
-        .withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int"))
-    )
-    listed = [r.asDict() for r in cells.collect()]
-    pairs = spark.createDataFrame(
-        _cell_pairs(pd.DataFrame(listed), points, k),
-        f"__class {kind}, __q int, __c int, __q_blocks int, __c_blocks int, __from double",
-    )
-    part = F.xxhash64(F.lit(seed), F.col("__id"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    unit = ["__class", "__q", "__q_block", "__c", "__c_block"]
-    # The pair list has at most ``pivots`` squared rows per class.
-    queries = (
-        placed.join(F.broadcast(pairs.withColumn("__cell", F.col("__q"))), ["__class", "__cell"])
-        .withColumn("__q_block", F.pmod(part, F.col("__q_blocks")).cast("int"))
-        .withColumn("__c_block", every("__c_blocks"))
-        .select(*unit, "__id", "__x")
-    )
-    blocks = (
-        placed.join(F.broadcast(pairs.withColumn("__cell", F.col("__c"))), ["__class", "__cell"])
-        .where(F.col("__away") >= F.col("__from"))
-        .withColumn("__c_block", F.pmod(part, F.col("__c_blocks")).cast("int"))
-        .withColumn("__q_block", every("__q_blocks"))
-        .select(*[F.col(c).alias(f"__of{c}") for c in (*unit, "__id", "__x")])
-    )
-    found = (
-        queries.groupBy(*unit)
-        .cogroup(blocks.groupBy(*[f"__of{c}" for c in unit]))
-        .applyInPandas(_kernel(k), f"__id {id_kind}, __nn {id_kind}, distance double")
-    )
-    best = W.partitionBy("__id").orderBy("distance", "__nn")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select(F.col("__id").alias(ident), "rank", F.col("__nn").alias("neighbour"), "distance")
+    ).where(F.col("__class").isNotNull() & F.col("__x").isNotNull())
+    rows = hand_off(rows, "points")
+    if block_rows is None:
+        width = rows.agg(F.max(F.size("__x"))).first()[0] or 1
+        block_rows = max(1, BLOCK_BYTES // (8 * width))
+    tree = build(rows, block_rows, fan=fan, seed=seed)
+    placed = hand_off(tree.rows, "placed") if len(tree.levels) > 1 else tree.rows
+    blocks = F.ceil(F.col("n") / F.lit(block_rows)).cast("int")
+    leaves = hand_off(tree.leaves.select(*CELL, blocks.alias("blocks")), "leaves")
+    own = leaves.select(
+        "__class", F.col("__cell").alias("q"), F.col("__cell").alias("c"), F.col("blocks").alias("q_blocks"), F.col("blocks").alias("c_blocks"), F.lit(0.0).alias("least")
     )
+    found = _search(placed.withColumn("__limit", F.lit(float("inf"))), placed, own, k, seed)
+    if len(tree.levels) > 1:
+        found = hand_off(_best(found, k).drop("rank"), "own-cell")
+        known = found.groupBy("__id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("__limit"))
+        asked = hand_off(placed.join(known, "__id", "left").fillna(float("inf"), ["__limit"]), "limits")
+        reach = asked.groupBy(*CELL).agg(F.max("__limit").alias("reach"))
+        pairs = leaf_pairs(tree, reach, k)
+        for side in ("q", "c"):
+            pairs = pairs.join(leaves.select("__class", F.col("__cell").alias(side), F.col("blocks").alias(f"{side}_blocks")), ["__class", side])
+        found = found.unionByName(_search(asked, placed, hand_off(pairs, "leaf-pairs"), k, seed))
+    return _best(found, k).select(F.col("__id").alias(ident), "rank", F.col("__nn").alias("neighbour"), "distance")
 
 
 def _share(ident: str, copy: str, seed: int):
@@ -224,16 +162,19 @@ def smote(
     *,
     k: int = 5,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Oversample every class to the size of the largest: ``ident, label, features, synthetic``.
 
     Each row of a smaller class is the base of equally many new rows (one more
     for an exact share of them in hash order). A new row lies at a random place
     between its base and one of the base's ``k`` nearest neighbours. Identifiers
-    become text; new rows are named after their base and copy number.
+    become text; new rows are named after their base and copy number. A label of more than ``MOST_CLASSES``
+    values is refused.
     """
-    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().limit(MOST_CLASSES + 1).collect()}
+    if len(sizes) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} values: not a class")
     top = max(sizes.values(), default=0)
     small = {c: n for c, n in sizes.items() if c is not None and n < top}
     if any(n < 2 for n in small.values()):

@@ -30,6 +30,15 @@ def smote_neighbors(spark, sf_dir):
     return near.withColumn("distance", fn.round_to("distance", 6))
 
 
+@query(f"WITH {NEAREST} SELECT vec_id, rank, neighbour, round(distance, 6) AS distance FROM nearest")
+def smote_neighbors_by_tree(spark, sf_dir):
+    """The same through a tree of several levels; the small cells are what makes it deep."""
+    near = neighbours.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", k=5, block_rows=10, fan=3
+    )
+    return near.withColumn("distance", fn.round_to("distance", 6))
+
+
 def _share(seed: int) -> str:
     text = f"'{seed}|' || CAST(vec_id AS VARCHAR) || '|' || CAST(copy AS VARCHAR)"
     return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"

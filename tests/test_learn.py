@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from fleetgauge.operators import learn, neighbours
+from fleetgauge.operators import learn, metric_tree, neighbours
 
 
 def brute_force(points, k):
@@ -19,7 +19,7 @@ def brute_force(points, k):
     return want
 
 
-@pytest.mark.parametrize("block_rows", [10**6, 40])
+@pytest.mark.parametrize("block_rows", [None, 40, 7])
 def test_neighbours_equal_brute_force(spark, block_rows):
     rng = np.random.default_rng(7)
     # clusters, a third of all rows copies of one point, and a second small class
@@ -28,7 +28,7 @@ def test_neighbours_equal_brute_force(spark, block_rows):
     points += [(i, 1, centres[0]) for i in range(200, 300)]
     points += [(i, 2, rng.normal(size=3)) for i in range(300, 304)]
     df = spark.createDataFrame([(i, c, x.tolist()) for i, c, x in points], "id long, c int, x array<double>")
-    got = neighbours.nearest_neighbours(df, "id", "x", "c", k=5, block_rows=block_rows, pivots=6)
+    got = neighbours.nearest_neighbours(df, "id", "x", "c", k=5, block_rows=block_rows, fan=4)
     found = {(r.id, r["rank"]): (r.neighbour, r.distance) for r in got.collect()}
     want = brute_force(points, 5)
     assert found.keys() == want.keys()
@@ -36,15 +36,57 @@ def test_neighbours_equal_brute_force(spark, block_rows):
         assert found[key][0] == j and found[key][1] == pytest.approx(dist, abs=1e-12)
 
 
-def test_far_cells_are_not_searched():
-    import pandas as pd
-
-    centres = np.array([[0.0], [1000.0]])
-    cells = pd.DataFrame(
-        [dict(__class=1, __cell=c, n=50, radius=2.0, closest=[0.0, 0.1, 0.2], blocks=1) for c in (0, 1)]
-    )
-    pairs = neighbours._cell_pairs(cells, {1: centres}, 2)
-    assert [(p[1], p[2]) for p in pairs] == [(0, 0), (1, 1)]
+def clustered(spark, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = np.array([[x, y] for x in (0, 1000) for y in (0, 1000)], dtype=float)
+    points = [(i, 1, centres[i % 4] + rng.normal(size=2)) for i in range(400)]
+    return points, spark.createDataFrame([(c, i, x.tolist()) for i, c, x in points], "__class int, __id long, __x array<double>")
+
+
+def test_tree_of_several_levels(spark):
+    points, df = clustered(spark)
+    tree = metric_tree.build(df, 12, fan=3)
+    assert len(tree.levels) >= 4
+    at = {r["__id"]: np.array(r["__x"]) for r in df.collect()}
+    leaves = {r["__cell"]: r for r in tree.leaves.collect()}
+    placed = tree.rows.collect()
+    assert sorted(r["__id"] for r in placed) == sorted(at) and max(leaf.n for leaf in leaves.values()) <= 12
+    for r in placed:
+        leaf = leaves[r["__cell"]]
+        away = np.linalg.norm(at[r["__id"]] - np.array(leaf["__p"]))
+        assert r["__away"] == pytest.approx(away) and away <= leaf.radius + 1e-9
+    for level in tree.levels[1:]:
+        for node in level.collect():
+            inside = [at[r["__id"]] for r in placed if r["__cell"] == node["__cell"] or r["__cell"].startswith(node["__cell"] + "/")]
+            assert len(inside) == node.n
+            assert max(np.linalg.norm(x - np.array(node["__p"])) for x in inside) == pytest.approx(node.radius)
+
+
+def test_far_cells_are_not_searched(spark):
+    points, df = clustered(spark)
+    tree = metric_tree.build(df, 12, fan=3)
+    leaves = {r["__cell"]: r for r in tree.leaves.collect()}
+    gap = lambda a, b: np.linalg.norm(np.array(leaves[a]["__p"]) - np.array(leaves[b]["__p"])) - leaves[a].radius - leaves[b].radius
+    at = {}
+    for r in tree.rows.collect():
+        at.setdefault(r["__cell"], []).append(r["__x"])
+    nearest = lambda a, b: np.sqrt(((np.array(at[a])[:, None] - np.array(at[b])[None]) ** 2).sum(axis=2)).min()
+    near = {(a, b) for a in leaves for b in leaves if a != b and nearest(a, b) <= 0.5}
+    far = {(a, b) for a in leaves for b in leaves if a != b and gap(a, b) > 100}
+    assert near and len(far) > 500
+    reach = tree.leaves.select("__class", "__cell", F.lit(0.5).alias("reach"))
+    pairs = [(r.q, r.c) for r in metric_tree.leaf_pairs(tree, reach, 5).collect()]
+    assert len(pairs) == len(set(pairs)) and near <= set(pairs) and not far & set(pairs)
+    # nothing known of the leaves: bounded by nodes of more than k rows
+    blind = tree.leaves.select("__class", "__cell", F.lit(float("inf")).alias("reach"))
+    loose = {(r.q, r.c) for r in metric_tree.leaf_pairs(tree, blind, 5).collect()}
+    assert set(pairs) <= loose and not far & loose
+
+
+def test_labels_of_many_values_are_refused(spark):
+    df = spark.range(1100).selectExpr("id", "id AS y", "array(1.0D) AS x")
+    with pytest.raises(ValueError):
+        neighbours.smote(df, "id", "x", "y")
 
 
 def test_smote_balances_and_stays_between(spark):
