@@ -79,17 +79,18 @@ def day_type(
 
 
 def label_from_events(
-    spine: DataFrame, events: DataFrame, on: Sequence[str], *, output: str = "target"
+    spine: DataFrame, events: DataFrame, on: Sequence[str], *, output: str = "target", skewed: bool = True
 ) -> DataFrame:
     """1 where an event exists for the spine row, else 0.
 
     Events are reduced to one row per key first, so the spine never multiplies. Spine rows of
-    a hot key, such as a null, are spread.
+    a hot key, such as a null, are spread; this counts the keys of the spine, which ``skewed=False`` saves where
+    they are known to be spread.
     """
     keys = list(on)
     seen = events.select(*keys).dropna().distinct().withColumn("__seen", F.lit(1))
     return (
-        skew_join(spine, seen, keys)
+        (skew_join(spine, seen, keys) if skewed else spine.join(seen, keys, "left"))
         .withColumn(output, flag(F.col("__seen").isNotNull()))
         .drop("__seen")
     )

@@ -68,6 +68,11 @@ def fans_out(
     return not met.where("__met = 1").isEmpty()
 
 
+def may_be_hot(spine: DataFrame) -> bool:
+    """Whether a key can have more rows than one task takes: the spine has more."""
+    return spine.limit(HOT_ROWS + 1).count() > HOT_ROWS
+
+
 def _checked(out: DataFrame, dim: Dim, gate: bool) -> tuple[list[str], DataFrame]:
     on, table = dim.keyed()
     if gate and not dim.unique and fans_out(out, table, on, null_safe=dim.null_safe):
@@ -94,7 +99,7 @@ def wide_join(
     if layout is not None:
         return _join_in_buckets(spine, dims, gate, layout)
     out = spine
-    small = not any(dim.skewed for dim in dims) or spine.limit(HOT_ROWS + 1).count() <= HOT_ROWS
+    small = not any(dim.skewed for dim in dims) or not may_be_hot(spine)
     counted: dict[tuple[str, ...], DataFrame] = {}
     for dim in dims:
         on, table = _checked(out, dim, gate)

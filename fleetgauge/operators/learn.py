@@ -6,19 +6,22 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import hand_off, interim
 from ..functions import nan_to_null
 from .clean import fit_scaler
+from .fit_ledger import LAST_FIT, LINE, FitLedger, leaderboard, mean_scores
 from .neighbours import smote
 from .sampling import flip_labels, hash_split, stratified_folds
 
@@ -54,6 +57,11 @@ BOOSTING_B_GRID = {
 }
 
 
+# Added to the seed, so that label noise, test rows and folds are cut in orders of their own: in one and the same
+# order the flipped labels would all be test rows, or all in the first fold.
+SPLIT_SEED, FOLD_SEED = 2, 3
+
+
 @dataclass(frozen=True)
 class Spec:
     """A named estimator with its grid.
@@ -83,10 +91,11 @@ def default_specs(seed: int = 42) -> list[Spec]:
 
 @dataclass(frozen=True)
 class Tuned:
-    """Fitted models by name and their leaderboard, best first."""
+    """Fitted models by name, their leaderboard, best first, and the lines of all fits."""
 
     models: dict[str, PipelineModel]
     leaderboard: DataFrame
+    lines: DataFrame
 
 
 def _weight_name(weight: object) -> str:
@@ -110,6 +119,24 @@ def _param_map(spec: Spec, point: Mapping, rows: float) -> dict:
     return out
 
 
+def _setting(point: Mapping) -> str:
+    return ", ".join(f"{name}={point[name]}" for name in sorted(point))
+
+
+def _signature(estimator: Estimator) -> str:
+    """The kind of an estimator and what was set on it."""
+    chosen = {p.name: estimator.getOrDefault(p) for p in estimator.params if estimator.isSet(p)}
+    return f"{type(estimator).__name__}{sorted(chosen.items())}"
+
+
+def _fit(spec: Spec, params: Mapping, rows: DataFrame):
+    return spec.estimator.fit(rows, dict(params))
+
+
+# Rows of one task of a fit: small sets are fitted by few tasks, as a fit is a long chain of short jobs.
+FIT_TASK_ROWS = 50_000
+
+
 def grid_search(
     train: DataFrame,
     test: DataFrame,
@@ -122,6 +149,7 @@ def grid_search(
     parallelism: int = 8,
     seed: int = 42,
     stages: Sequence[Transformer] = (),
+    ledger: str | None = None,
 ) -> Tuned:
     """Cross-validated grid search by accuracy over stratified folds; refits the best of
     each spec on all training rows and measures it on ``test``.
@@ -129,7 +157,12 @@ def grid_search(
     Of equal scores the first setting of the grid wins. ``inverseStrength`` is taken relative to the rows that
     a fit sees: two thirds of them in three folds, all of them in the last fit. ``stages`` are
     fitted steps, such as ``fit_preprocessing`` gives, that every stored model begins with. Interim tables are
-    dropped at the end.
+    dropped at the end. Fits of all specs and folds run side by side, ``parallelism`` at a time; each fold is stored
+    as a folder of its own, so a fit reads the rows it needs.
+
+    ``ledger`` is a folder in which every finished fit leaves a line and every last fit its model. A search that was stopped
+    and is started again with the same rows, features, folds and estimators runs only the fits that are missing; one over a larger
+    grid only the new ones.
     """
     accuracy = MulticlassClassificationEvaluator(
         labelCol="label", predictionCol="prediction", metricName="accuracy"
@@ -146,45 +179,55 @@ def grid_search(
     keep = ["label", "features", *map(_weight_name, sorted(weights))]
     before = PipelineModel([*stages])
     spark = train.sparkSession
-    models, lines = {}, []
     with interim(spark):
         # Read by the cuts of the folds and by the fold numbers.
         balanced = hand_off(train, "balanced")
-        folded = stratified_folds(balanced, ident, label, folds=folds, seed=seed, output="fold")
-        training = hand_off(prepared(before.transform(folded)).select("fold", *keep), "training")
-        n = training.count()
+        folded = before.transform(stratified_folds(balanced, ident, label, folds=folds, seed=seed + FOLD_SEED, output="fold"))
+        folded = hand_off(folded.select("fold", label, *features), "folded")
+        held = hand_off(before.transform(test).select(label, *features), "test-rows")
+        digest = [F.count(F.lit(1)), F.sum(F.xxhash64("fold", label, *features).cast("decimal(38,0)"))]
+        n, total = folded.agg(*digest).first()
         if n == 0:
             raise ValueError("no training rows")
-        testing = hand_off(prepared(before.transform(test)).select(*keep), "testing")
-        for spec in specs:
-            points = _grid_points(spec)
-            search = CrossValidator(
-                estimator=spec.estimator,
-                estimatorParamMaps=[_param_map(spec, p, n * (folds - 1) / folds) for p in points],
-                evaluator=accuracy,
-                numFolds=folds,
-                foldCol="fold",
-                parallelism=parallelism,
-                seed=seed,
-            ).fit(training)
-            best = max(range(len(points)), key=lambda i: search.avgMetrics[i])
-            model = search.bestModel
-            if "inverseStrength" in spec.grid:  # the search refits with the strength of a fold
-                model = spec.estimator.fit(training, _param_map(spec, points[best], n))
-            models[spec.name] = PipelineModel([*stages, assembler, model])
-            lines.append(
-                (
-                    spec.name,
-                    float(search.avgMetrics[best]),
-                    float(accuracy.evaluate(model.transform(testing))),
-                    ", ".join(f"{name}={points[best][name]}" for name in sorted(points[best])),
-                )
-            )
-    lines.sort(key=lambda line: (-line[1], line[0]))
-    board = train.sparkSession.createDataFrame(
-        lines, "model string, best_cv_score double, test_accuracy double, best_parameters string"
-    )
-    return Tuned(models, board)
+        digest = held.agg(F.count(F.lit(1)), F.sum(F.xxhash64(label, *features).cast("decimal(38,0)"))).first()
+        run = f"{n}|{total}|{tuple(digest)}|{list(features)}|{folds}|{seed}"
+        tasks = max(1, -(-n // FIT_TASK_ROWS))
+        part = lambda rows: hand_off(prepared(rows).select(*keep).coalesce(tasks), "fit-rows")
+        by_fold = [part(folded.where(F.col("fold") == k)) for k in range(folds)]
+        testing = part(held)
+        books = {s.name: FitLedger(ledger, f"{run}|{_signature(s.estimator)}") for s in specs} if ledger else {}
+        done = {(r.family, r.setting, r.fold): r.score for book in books.values() for r in book.lines(spark).collect()}
+
+        def fit(spec: Spec, place: int, fold: int):
+            """The line of one fit; that of the ledger if it is there."""
+            point, book = _grid_points(spec)[place], books.get(spec.name)
+            setting, model = _setting(point), None
+            score = done.get((spec.name, setting, fold))
+            if score is None:
+                others = [rows for k, rows in enumerate(by_fold) if k != fold]
+                params = _param_map(spec, point, n if fold == LAST_FIT else n * (folds - 1) / folds)
+                model = _fit(spec, params, reduce(DataFrame.unionByName, others).coalesce(tasks))
+                score = float(accuracy.evaluate(model.transform(testing if fold == LAST_FIT else by_fold[fold])))
+                if fold == LAST_FIT:
+                    model = PipelineModel([*stages, assembler, model])
+                    if book:
+                        book.keep_model(spec.name, setting, model)
+                if book:
+                    book.add(spark, spec.name, place, setting, fold, score)
+            elif fold == LAST_FIT:
+                model = book.model(spec.name, setting)
+            return (run, spec.name, place, setting, fold, score), model
+
+        with ThreadPool(max(1, parallelism)) as pool:
+            several = lambda jobs: pool.starmap(inheritable_thread_target(spark)(fit), jobs, chunksize=1)
+            crossed = [(s, p, k) for s in specs for p in range(len(_grid_points(s))) for k in range(folds)]
+            lines = [line for line, _ in several(crossed)]
+            means = mean_scores(spark.createDataFrame(lines, LINE)).collect()
+            best = {s.name: min((-m.cv_score, m.place) for m in means if m.family == s.name)[1] for s in specs}
+            last = several([(s, best[s.name], LAST_FIT) for s in specs])
+    models = {line[1]: model for line, model in last}
+    lines = spark.createDataFrame([*lines, *(line for line, _ in last)], LINE)
+    return Tuned(models, leaderboard(lines), lines)
 
 
 def feature_columns(df: DataFrame, drop: Sequence[str], label: str = "target") -> list[str]:
@@ -239,7 +282,7 @@ def training_sets(
         raise ValueError("no complete rows in the training range")
     if reference_order:
         rows = hand_off(_oversampled(rows, ident, features, label, k, seed), "balanced")
-    split = hand_off(hash_split(rows, ident, test_fraction, seed=seed, output="__test"), "split")
+    split = hand_off(hash_split(rows, ident, test_fraction, seed=seed + SPLIT_SEED, output="__test"), "split")
     train = split.where("__test = 0").drop("__test")
     test = split.where("__test = 1").drop("__test")
     if not reference_order:

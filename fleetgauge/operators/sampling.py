@@ -13,6 +13,8 @@ BUCKET_DIGITS = 4
 # A bucket above this many rows is refined before its rows are ranked.
 RANKED_ROWS = 200_000
 HASH_DIGITS = 32
+# Values a label may have; the cuts of each are sent to every executor.
+MOST_STRATA = 10_000
 
 
 def hash_order(ident: str, seed: int) -> Column:
@@ -37,7 +39,8 @@ def exact_cuts(
     per stratum) shows which bucket holds each position. A bucket above
     ``RANKED_ROWS`` rows is split by further digits of the hash, so that the rows ranked in
     one task do not grow with the table; the rows are then compared with the resulting
-    thresholds. The table itself is not shuffled. ``strata`` is a label column with few values.
+    thresholds. The table itself is not shuffled. ``strata`` is a label column; more than ``MOST_STRATA``
+    values are refused.
     """
     by = [strata] if strata else []
     keyed = df.select(*by, F.col(ident).alias("__id"), hash_order(ident, seed).alias("__h"))
@@ -66,6 +69,8 @@ def exact_cuts(
         return match
 
     sought, digits = sought_of(placed), BUCKET_DIGITS
+    if strata and sought.limit(MOST_STRATA * len(cuts) + 1).count() > MOST_STRATA * len(cuts):
+        raise ValueError(f"{strata} has more than {MOST_STRATA} values: not a label")
     while digits < HASH_DIGITS and (sought.agg(F.max("__rows")).first()[0] or 0) > RANKED_ROWS:
         finer = F.substring("__h", 1, digits + BUCKET_DIGITS)
         found = keyed.join(F.broadcast(sought.withColumnRenamed("__need", "__at").drop("__rows")), match_on(digits))

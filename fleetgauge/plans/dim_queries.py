@@ -326,7 +326,8 @@ def panel_dims(spark: SparkSession, sf_dir: str) -> list[join.Dim]:
 )
 def wide_join(spark, sf_dir):
     joined = join.wide_join(user_days(spark, sf_dir), panel_dims(spark, sf_dir))
-    return dims.label_from_events(joined, big_purchases(spark, sf_dir), ["user_id", "day"])
+    # the spine has one row per user and day
+    return dims.label_from_events(joined, big_purchases(spark, sf_dir), ["user_id", "day"], skewed=False)
 
 
 @query(

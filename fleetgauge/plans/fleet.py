@@ -279,7 +279,7 @@ def wide_panel(
     ).drop(*starts.values())
     typed = dims.day_type(joined, "day", feeds.holidays)
     labelled = dims.label_from_events(
-        typed, accident_days(feeds.accidents), ["day", "DriverID", "vehicle"]
+        typed, accident_days(feeds.accidents), ["day", "DriverID", "vehicle"], skewed=join.may_be_hot(spine)
     )
     return fn.exclude(labelled, excluded) if excluded else labelled
 
@@ -406,9 +406,12 @@ def train_models(
     parallelism: int = 8,
     scaled: Sequence[str] = (),
     max_fit_rows: int | None = None,
+    ledger: str | None = None,
 ) -> learn.Tuned:
     """Fit every spec on the days from ``start`` to ``end``.
 
+    With a folder as ``ledger`` a search that was stopped goes on with the fits that are missing.
+
     The means for empty cells, and the scale of the columns ``scaled``, are fitted on the training rows and stored with
     each model. Pass ``scaled=SCALED`` for features prepared with ``scale=False``.
     """
@@ -420,7 +423,7 @@ def train_models(
         train = hand_off(train, "train")
         return learn.grid_search(
             train, test, specs or learn.default_specs(seed), features=FEATURES, ident="ident",
-            parallelism=parallelism, seed=seed, stages=learn.fit_preprocessing(train, FEATURES, scaled),
+            parallelism=parallelism, seed=seed, stages=learn.fit_preprocessing(train, FEATURES, scaled), ledger=ledger,
         )
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
-from ..operators import learn, neighbours
-from ..session import hand_off
+from ..operators import learn, neighbours, sampling
+from ..session import hand_off, work_folder
 from ..sources import union_all
 from .registry import query, table
 
@@ -111,11 +112,16 @@ def _tuned(panel: DataFrame) -> learn.Tuned:
         learn.Spec("boosting_a", GBTClassifier(seed=42), {"maxDepth": [3, 5], "minInfoGain": [0.0]}),
         learn.Spec("boosting_b", GBTClassifier(seed=42), {"maxDepth": [3, 5], "positiveWeight": [3]}),
     ]
+    # Two queries use these models; the second finds the fits of the first.
     return learn.grid_search(
-        train, test, specs, features=FEATURES, ident="ident", stages=learn.fit_preprocessing(train, FEATURES, FEATURES)
+        train, test, specs, features=FEATURES, ident="ident", stages=learn.fit_preprocessing(train, FEATURES, FEATURES), ledger=_ledger(panel.sparkSession)
     )
 
 
+def _ledger(spark: SparkSession) -> str:
+    return os.path.join(work_folder(spark), "fit-ledger")
+
+
 @query(
     """
     SELECT * FROM (VALUES
@@ -150,3 +156,53 @@ def score_day(spark, sf_dir):
         return rows.select("user_id", "day", F.lit(name).alias("model"), "predicted_risk", (F.col("risk_probability") > 0.5).alias("likely"))
 
     return union_all([scored(name) for name in tuned.models])
+
+
+NOISY = f"""d AS (SELECT user_id || '|' || strftime(day, '%Y-%m-%d') AS ident, CASE WHEN purchases >= 1 THEN 1 ELSE 0 END AS truth, day FROM ({DAY_PURCHASES})),
+    z AS (SELECT *, row_number() OVER (PARTITION BY truth ORDER BY md5('42|' || ident), ident) AS r, count(*) OVER (PARTITION BY truth) AS c FROM d),
+    y AS (SELECT ident, truth, day, CASE WHEN truth = 0 AND r <= floor(c * CAST(0.1 AS DOUBLE)) THEN 1 ELSE truth END AS target FROM z),
+    train AS (SELECT ident, truth, target, row_number() OVER (PARTITION BY target ORDER BY md5('45|' || ident), ident) AS r, count(*) OVER (PARTITION BY target) AS c
+              FROM y WHERE day < DATE '2024-01-25'),
+    folded AS (SELECT truth, target, CAST((r > floor(c / 3)) AS INTEGER) + CAST((r > floor(c * 2 / 3)) AS INTEGER) AS fold FROM train
+               UNION ALL SELECT truth, target, -1 FROM y WHERE day >= DATE '2024-01-25')"""
+# What the settings come to on these labels: the rule itself, the larger class, or always 1.
+SETTINGS = [
+    ("random_forest", "maxDepth=1, minInfoGain=0.0, subsamplingRate=0.8", "truth"),
+    ("random_forest", "maxDepth=1, minInfoGain=0.6, subsamplingRate=0.8", "0"),
+    ("logistic_regression", "inverseStrength=1e-09", "0"),
+    ("logistic_regression", "inverseStrength=10", "truth"),
+    ("boosting_a", "minInfoGain=0.0, stepSize=0.05, subsamplingRate=0.7", "truth"),
+    ("boosting_a", "minInfoGain=0.0, stepSize=0.05, subsamplingRate=0.8", "truth"),
+    ("boosting_a", "minInfoGain=5.0, stepSize=0.05, subsamplingRate=0.7", "0"),
+    ("boosting_a", "minInfoGain=5.0, stepSize=0.05, subsamplingRate=0.8", "0"),
+    ("boosting_b", "positiveWeight=1, stepSize=0.1", "truth"),
+    ("boosting_b", "positiveWeight=50, stepSize=0.1", "1"),
+]
+
+
+@query(
+    f"""
+    WITH {NOISY},
+    settings AS (SELECT * FROM (VALUES {", ".join(f"('{f}', '{s}', '{k}')" for f, s, k in SETTINGS)}) AS t(family, setting, says)),
+    scored AS (SELECT family, setting, fold, CASE says WHEN 'truth' THEN truth ELSE CAST(says AS INTEGER) END = target AS hit FROM folded, settings),
+    lines AS (SELECT family, setting, fold, avg(CASE WHEN hit THEN 1 ELSE 0 END) AS score FROM scored GROUP BY ALL),
+    best AS (SELECT family, setting FROM lines WHERE fold >= 0 GROUP BY family, setting QUALIFY row_number() OVER (PARTITION BY family ORDER BY round(avg(score), 9) DESC, setting) = 1)
+    SELECT family, setting, fold, round(score, 6) AS score FROM lines WHERE fold >= 0 OR (family, setting) IN (SELECT (family, setting) FROM best)
+    """
+)
+def search_ledger(spark, sf_dir):
+    """Every fit of a search over noisy labels, as the ledger has it; fold -1 is the last fit, scored on the test days."""
+    panel = labelled_panel(spark, sf_dir)
+    noisy = hand_off(sampling.flip_labels(panel, "ident", "target", ratio=0.1), "noisy")
+    split = F.col("day") >= F.lit(date(2024, 1, 25))
+    specs = [
+        learn.Spec("random_forest", RandomForestClassifier(seed=42, numTrees=5, featureSubsetStrategy="all"), {"maxDepth": [1], "minInfoGain": [0.0, 0.6], "subsamplingRate": [0.8]}),
+        learn.Spec("logistic_regression", LogisticRegression(maxIter=1000, standardization=False), {"inverseStrength": [1e-9, 10]}),
+        learn.Spec("boosting_a", GBTClassifier(seed=42, maxIter=3, maxDepth=1), {"minInfoGain": [0.0, 5.0], "stepSize": [0.05], "subsamplingRate": [0.7, 0.8]}),
+        learn.Spec("boosting_b", GBTClassifier(seed=42, maxIter=3, maxDepth=1), {"positiveWeight": [1, 50], "stepSize": [0.1]}),
+    ]
+    folder = os.path.join(work_folder(spark), "noisy-ledger")
+    train, test = noisy.where(~split), noisy.where(split)
+    stages = learn.fit_preprocessing(train, FEATURES, FEATURES)
+    tuned = learn.grid_search(train, test, specs, features=FEATURES, ident="ident", stages=stages, ledger=folder)
+    return tuned.lines.select("family", "setting", "fold", fn.round_to("score", 6).alias("score"))

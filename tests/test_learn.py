@@ -7,6 +7,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import learn, metric_tree, neighbours
+from fleetgauge.session import hand_off
 
 
 def brute_force(points, k):
@@ -213,3 +214,40 @@ def test_models_bring_their_preprocessing(spark, labelled, tmp_path):
 def test_bounded_fit(spark, labelled):
     train, test = learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0, max_fit_rows=100, test_fraction=0.2)
     assert test.count() == 20 and train.where("target = 0").count() == train.where("target = 1").count()
+
+
+def test_a_stopped_search_goes_on(spark, labelled, tmp_path, monkeypatch):
+    train, test = learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0)
+    train, test = hand_off(train, "train"), hand_off(test, "test")
+    forest = RandomForestClassifier(seed=1, numTrees=3)
+    specs = [
+        learn.Spec("forest", forest, {"maxDepth": [2, 3]}),
+        learn.Spec("logistic", LogisticRegression(maxIter=5), {"inverseStrength": [1]}),
+    ]
+    search = lambda s: learn.grid_search(train, test, s, features=["a", "b"], ident="id", parallelism=1, ledger=str(tmp_path))
+    plain, fits = learn._fit, []
+
+    def stopping(spec, params, rows):
+        if len(fits) == 5:
+            raise RuntimeError("stopped")
+        fits.append(spec.name)
+        return plain(spec, params, rows)
+
+    monkeypatch.setattr(learn, "_fit", stopping)
+    with pytest.raises(RuntimeError):
+        search(specs)
+    monkeypatch.setattr(learn, "_fit", lambda *args: fits.append(args[0].name) or plain(*args))
+    tuned = search(specs)
+    assert len(fits) == 3 * 3 + 2  # each fit once over both runs
+    board, lines = rows(tuned.leaderboard), rows(tuned.lines)
+    assert len(lines) == 11 and rows(learn.grid_search(train, test, specs, features=["a", "b"], ident="id").leaderboard) == board
+    del fits[:]
+    again = search(specs)  # nothing is left to fit; models come from the ledger
+    assert fits == [] and rows(again.leaderboard) == board
+    scored = [rows(learn.score(labelled, t.models["forest"], ["id"], features=["a", "b"]), "id", "risk_probability") for t in (tuned, again)]
+    assert scored[0] == scored[1]
+    search([learn.Spec("forest", forest, {"maxDepth": [1, 2, 3]}), specs[1]])
+    assert len(fits) in (3, 4)  # the new setting, and a last fit if it is the best
+    del fits[:]
+    search([learn.Spec("forest", RandomForestClassifier(seed=2, numTrees=3), {"maxDepth": [2]})])
+    assert len(fits) == 4  # another estimator under the same name
