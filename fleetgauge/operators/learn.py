@@ -16,9 +16,10 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import hand_off, interim
+from ..sources.published import Versions, observed_write
 from ..functions import nan_to_null
 from .clean import fit_scaler
 from .fit_ledger import LAST_FIT, LINE, FitLedger, leaderboard, mean_scores
@@ -360,3 +361,25 @@ def save_models(tuned: Tuned, folder: str) -> None:
 
 def load_model(folder: str, name: str) -> PipelineModel:
     return PipelineModel.load(os.path.join(folder, name))
+
+
+def save_version(tuned: Tuned, folder: str) -> int:
+    """Store all models with their leaderboard as the next version of ``folder``; gives its number.
+
+    Models bring their preprocessing along. A version is shown by a file that is written last: a save that stops midway leaves the
+    one before it the current one.
+    """
+    spark, versions = tuned.leaderboard.sparkSession, Versions(folder)
+    place = versions.new_place()
+    save_models(tuned, os.path.join(place, "models"))
+    facts = observed_write(tuned.lines.coalesce(1), os.path.join(place, "lines"))
+    return versions.show(spark, place, facts)
+
+
+def load_version(spark: SparkSession, folder: str, version: int | None = None) -> Tuned:
+    """Models, leaderboard and lines of the current version, or of a numbered one."""
+    place = Versions(folder).place(spark, version)
+    lines = spark.read.schema(LINE).parquet(os.path.join(place, "lines"))
+    board = leaderboard(lines)
+    models = {r.model: load_model(os.path.join(place, "models"), r.model) for r in board.collect()}
+    return Tuned(models, board, lines)

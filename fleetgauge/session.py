@@ -78,13 +78,13 @@ def _check_shared(spark: SparkSession, folder: str) -> None:
     except Exception as error:
         raise ValueError(f"{folder} is not readable from every executor") from error
     finally:
-        _delete(spark, probe)
+        delete_folder(spark, probe)
     if found != n:
         raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a shared one")
     _shared.add(key)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a stored table; in a store that only Spark opens an empty table is left in its place."""
     try:
         files, folder = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
@@ -130,7 +130,7 @@ def drop_hand_offs(spark: SparkSession, since: int = 0) -> int:
     for path in mine:
         if path in _named:
             spark.sql(f"DROP TABLE IF EXISTS {_named.pop(path)}")
-        _delete(spark, path)
+        delete_folder(spark, path)
     _written[:] = [(owner, path) for owner, path in _written if owner != app or path not in set(mine)]
     return len(mine)
 

@@ -251,3 +251,26 @@ def test_a_stopped_search_goes_on(spark, labelled, tmp_path, monkeypatch):
     del fits[:]
     search([learn.Spec("forest", RandomForestClassifier(seed=2, numTrees=3), {"maxDepth": [2]})])
     assert len(fits) == 4  # another estimator under the same name
+
+
+def test_versions_of_models(spark, labelled, tmp_path, monkeypatch):
+    train, test = (hand_off(df, "rows") for df in learn.training_sets(labelled, ident="id", features=["a", "b"], noise=0))
+    stages = learn.fit_preprocessing(train, ["a", "b"], ["b"])
+    specs = [learn.Spec(name, RandomForestClassifier(seed=1, numTrees=2), {"maxDepth": [depth]}) for name, depth in (("flat", 1), ("deep", 4))]
+    tuned = learn.grid_search(train, test, specs, features=["a", "b"], ident="id", stages=stages)
+    folder = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        learn.load_version(spark, folder)
+    assert learn.save_version(tuned, folder) == 1
+    other = learn.grid_search(train, test, specs[:1], features=["a", "b"], ident="id", stages=stages)
+    plain = learn.observed_write
+    monkeypatch.setattr(learn, "observed_write", lambda *_: 1 / 0)  # stops after the models, before the version is shown
+    with pytest.raises(ZeroDivisionError):
+        learn.save_version(other, folder)
+    now = learn.load_version(spark, folder)
+    assert set(now.models) == {"flat", "deep"} and rows(now.leaderboard) == rows(tuned.leaderboard)
+    score = lambda t, name: rows(learn.score(labelled, learn.choose(t, name), ["id"], features=["a", "b"]), "id", "risk_probability")
+    assert score(now, "best") == score(tuned, "best") and score(now, "flat") == score(tuned, "flat")
+    monkeypatch.setattr(learn, "observed_write", plain)
+    assert learn.save_version(other, folder) == 2
+    assert set(learn.load_version(spark, folder).models) == {"flat"} and set(learn.load_version(spark, folder, 1).models) == {"flat", "deep"}
