@@ -17,13 +17,13 @@ URL_RULES = [
 
 @query(
     """
-    WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT))) AS vec
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS vec
                FROM embeddings
                WHERE vec_id IS NOT NULL AND len(embedding) > 0
-                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec::DOUBLE[], c.vec::DOUBLE[]) AS BIGINT) AS score
-          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0)
-    SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec::DOUBLE[], c.vec::DOUBLE[]) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.r <> c.r AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0)
+    SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                           vec_id, score FROM s) WHERE rank <= 5
     """
 )

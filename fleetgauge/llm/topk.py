@@ -18,18 +18,12 @@ def quantise(df: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> Data
     """(id, vec): every component x as ``floor(scale * x)``.
 
     Rows whose id or vector is null, or whose vector is empty or holds a null or
-    non-finite component, take no part. An id that occurs more than once counts
-    once, with the smallest of its vectors.
+    non-finite component, take no part. An id may stand in several rows.
     """
     finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
-        df.where(F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & finite)
-        .select(
-            F.col(id_col).alias("id"),
-            F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("vec"),
-        )
-        .groupBy("id")
-        .agg(F.min("vec").alias("vec"))
+    return df.where(F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & finite).select(
+        F.col(id_col).alias("id"),
+        F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("vec"),
     )
 
 
@@ -39,7 +33,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     ``vectors`` is (id, vec) as ``quantise`` gives it, ``is_query`` a condition on
     ``id``. Returns (query_id, rank, id, score); equal scores go by the smaller id,
     and a query with fewer than k other rows of its length gets all of them.
-    Vectors of unequal length have no inner product and do not meet.
+    Vectors of unequal length have no inner product and do not meet. Rows that share an id, or are equal, are rows of their own: each
+    is a candidate for all others, and each that is a query has its own result.
 
     Rows and queries are packed into blocks of about ``BLOCK_ROWS``. Each pass scores every
     pair of a query block with a row block and counts the scores of each query in
@@ -49,25 +44,28 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     task sees more than two blocks and one histogram for each query of a block, and
     however many rows tie, a block passes on at most 2 k rows a query.
 
-    Scores beyond the signed 64-bit range are held at its ends.
+    Vectors so long that a score might pass 2**62 are refused.
     """
-    vectors = hand_off(vectors, "vectors")
+    # The number of a row is stored with it: it must be the same in every pass.
+    vectors = hand_off(vectors.select("id", "vec").withColumn("row", F.monotonically_increasing_id()), "vectors")
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     sizes = vectors.agg(
         F.count("*").alias("n"), F.sum(F.when(is_query, 1)).alias("q"), F.max(norm).alias("norm")
     ).first()
     n_blocks = max(1, math.ceil(sizes["n"] / BLOCK_ROWS))
     n_query_blocks = max(1, math.ceil((sizes["q"] or 0) / BLOCK_ROWS))
-    bound = min(int((sizes["norm"] or 0) * 1.000001) + 1, 2**62)
+    bound = int((sizes["norm"] or 0) * 1.000001) + 1
+    if bound > 2**62:
+        raise ValueError("inner products may pass the range of 64-bit integers")
 
     def blocks(rows, count, *cols):
-        return rows.groupBy(F.size("vec").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(count)).alias("block")).agg(
-            F.collect_list(F.struct("id", "vec", *cols)).alias("rows")
+        return rows.groupBy(F.size("vec").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(count)).alias("block")).agg(
+            F.collect_list(F.struct("row", "id", "vec", *cols)).alias("rows")
         )
 
     rows = blocks(vectors, n_blocks).select("dim", "block", F.col("rows").alias("c"))
     state = vectors.where(is_query).select(
-        "id", "vec", F.lit(-bound).cast("long").alias("lo"), F.lit(0).cast("long").alias("above")
+        "row", "id", "vec", F.lit(-bound).cast("long").alias("lo"), F.lit(0).cast("long").alias("above")
     )
     span = 2 * bound + 1
 
@@ -78,18 +76,19 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
 
     while span > 1:
         width = -(-span // BINS)
-        counts = paired(state).mapInArrow(_histograms(span, width), "query_id long, bin int, n long")
-        counts = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        higher = F.sum("n").over(Window.partitionBy("query_id").orderBy(F.desc("bin")))
+        counts = paired(state).mapInArrow(_histograms(span, width), "query bigint, bin int, n long")
+        counts = counts.groupBy("query", "bin").agg(F.sum("n").alias("n"))
+        higher = F.sum("n").over(Window.partitionBy("query").orderBy(F.desc("bin")))
         found = (
             counts.withColumn("upto", higher)
-            .join(state.select(F.col("id").alias("query_id"), "above"), "query_id")
+            .join(state.select(F.col("row").alias("query"), "above"), "query")
             .where((F.col("above") + F.col("upto") >= k) & (F.col("above") + F.col("upto") - F.col("n") < k))
-            .select(F.col("query_id").alias("id"), "bin", (F.col("upto") - F.col("n")).alias("more"))
+            .select(F.col("query").alias("row"), "bin", (F.col("upto") - F.col("n")).alias("more"))
         )
         # A query with fewer than k other rows keeps the lowest bin: every score is then at or above it.
         state = hand_off(
-            state.join(found, "id", "left").select(
+            state.join(found, "row", "left").select(
+                "row",
                 "id",
                 "vec",
                 (F.col("lo") + F.coalesce("bin", F.lit(0)) * F.lit(width).cast("long")).alias("lo"),
@@ -98,8 +97,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
             "topk-state",
         )
         span = width
-    hits = paired(state).mapInArrow(_survivors(k), "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    hits = paired(state).mapInArrow(_survivors(k), "query long, query_id long, id long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     return (
         hits.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
@@ -108,19 +107,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
 
 
 def _block_scores(batches):
-    """For each pair of blocks: query ids, their state, row ids and the integer scores."""
+    """For each pair of blocks: the query rows, their state, row ids, the integer scores, and where rows are not the query's own."""
     for batch in batches:
         for q, c in zip(batch.column(0), batch.column(1), strict=True):
             q, c = q.values, c.values
             q_vec, c_vec = _matrix(q.field("vec"), len(q)), _matrix(c.field("vec"), len(c))
-            q_ids, c_ids = q.field("id").to_numpy(), c.field("id").to_numpy()
+            q_rows, c_rows = q.field("row").to_numpy(), c.field("row").to_numpy()
             limit = float(np.abs(q_vec).max(initial=0)) * float(np.abs(c_vec).max(initial=0)) * q_vec.shape[1]
             if limit < 2**53:  # float products and sums are exact
                 scores = (q_vec.astype(np.float64) @ c_vec.astype(np.float64).T).astype(np.int64)
             else:
-                exact = q_vec.astype(object) @ c_vec.astype(object).T
-                scores = np.clip(exact, -(2**62), 2**62).astype(np.int64)
-            yield q_ids, q.field("lo").to_numpy(), c_ids, scores, q_ids[:, None] != c_ids[None, :]
+                scores = (q_vec.astype(object) @ c_vec.astype(object).T).astype(np.int64)
+            yield q, q_rows, c.field("id").to_numpy(), scores, q_rows[:, None] != c_rows[None, :]
 
 
 def _matrix(column, n):
@@ -130,11 +128,11 @@ def _matrix(column, n):
 def _histograms(span, width):
     def run(batches):
         held = {}
-        for q_ids, lo, _, scores, other in _block_scores(batches):
-            offset = scores - lo[:, None]
+        for q, q_rows, _, scores, other in _block_scores(batches):
+            offset = scores - q.field("lo").to_numpy()[:, None]
             row, col = np.nonzero(other & (offset >= 0) & (offset < span))
-            counts = np.bincount(row * BINS + offset[row, col] // width, minlength=len(q_ids) * BINS)
-            key = q_ids.tobytes()
+            counts = np.bincount(row * BINS + offset[row, col] // width, minlength=len(q_rows) * BINS)
+            key = q_rows.tobytes()
             held[key] = held[key] + counts if key in held else counts
             if len(held) >= 64:
                 yield _count_rows(held)
@@ -145,29 +143,28 @@ def _histograms(span, width):
 
 
 def _count_rows(held):
-    ids, bins, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    rows, bins, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for key, counts in held.items():
         at = np.flatnonzero(counts)
-        ids.append(np.frombuffer(key, np.int64)[at // BINS])
+        rows.append(np.frombuffer(key, np.int64)[at // BINS])
         bins.append((at % BINS).astype(np.int32))
         n.append(counts[at].astype(np.int64))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(x)) for x in (ids, bins, n)], names=["query_id", "bin", "n"]
-    )
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, bins, n)], names=["query", "bin", "n"])
 
 
 def _survivors(k):
     def run(batches):
-        for q_ids, lo, c_ids, scores, other in _block_scores(batches):
-            row, col = np.nonzero(other & (scores >= lo[:, None]))
+        for q, q_rows, c_ids, scores, other in _block_scores(batches):
+            row, col = np.nonzero(other & (scores >= q.field("lo").to_numpy()[:, None]))
             score, found = scores[row, col], c_ids[col]
             order = np.lexsort((found, -score, row))
             row, score, found = row[order], score[order], found[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)  # within the query, best first
             keep = place < k
+            q_ids = q.field("id").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(q_ids[row[keep]]), pa.array(found[keep]), pa.array(score[keep])],
-                names=["query_id", "id", "score"],
+                [pa.array(q_rows[row[keep]]), pa.array(q_ids[row[keep]]), pa.array(found[keep]), pa.array(score[keep])],
+                names=["query", "query_id", "id", "score"],
             )
 
     return run

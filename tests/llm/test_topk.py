@@ -8,18 +8,17 @@ SCHEMA = "vec_id long, embedding array<float>, label int, id string, vec string,
 
 
 def brute(rows, k):
-    """Scores of every query with every other row, straight from the definition."""
-    found = {}
+    """Scores of every query row with every other row, straight from the definition."""
+    found = []
     for vec_id, vec in rows:
-        if vec_id is None or not vec or any(x is None or not np.isfinite(x) for x in vec):
-            continue
-        q = [int(np.floor(256 * float(np.float32(x)))) for x in vec]
-        found[vec_id] = min(found.get(vec_id, q), q)
+        if vec_id is not None and vec and not any(x is None or not np.isfinite(x) for x in vec):
+            found.append((vec_id, [int(np.floor(256 * float(np.float32(x)))) for x in vec]))
     out = []
-    for a, x in found.items():
+    for n, (a, x) in enumerate(found):
         if a % 50 == 0:
-            scored = sorted((-sum(i * j for i, j in zip(x, y, strict=True)), b) for b, y in found.items() if b != a and len(x) == len(y))
-            out += [(a, n + 1, b, -s) for n, (s, b) in enumerate(scored[:k])]
+            others = [r for m, r in enumerate(found) if m != n and len(r[1]) == len(x)]
+            scored = sorted((-sum(i * j for i, j in zip(x, y, strict=True)), b) for b, y in others)
+            out += [(a, m + 1, b, -s) for m, (s, b) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -53,3 +52,14 @@ def test_several_blocks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 4) / 2]) for i in range(0, 300)]
     assert search(spark, rows) == brute(rows, 5)
+
+
+def test_rows_of_one_id_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (7, [0.5, 0.5]), (7, [0.9, 0.9])]
+    got = search(spark, rows, 3)
+    assert got == brute(rows, 3) and len(got) == 9 and {r[2] for r in got} == {0, 7}
+
+
+def test_scores_beyond_the_range_are_refused(spark):
+    with pytest.raises(ValueError):
+        search(spark, [(0, [1e8, 1e8]), (1, [1e8, 2.0])])
