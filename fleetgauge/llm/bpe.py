@@ -148,6 +148,37 @@ class Automaton:
         return out
 
 
+# The rules of a vocabulary file that ``Encoder`` follows.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def other_rules(spec: dict) -> list[str]:
+    """What in a vocabulary file differs from the rules that are built in here; nothing if they are its own."""
+    found = [name for name, rule in RULES.items() if spec.get(name) != rule]
+    found += [f"model.{name}" for name, value in MODEL.items() if spec["model"].get(name, value) != value]
+    flags = ("single_word", "lstrip", "rstrip", "normalized")
+    return found + [f"added token {t['content']}" for t in spec["added_tokens"] if any(t.get(f) for f in flags)]
+
+
 def _by_id(spec: dict) -> np.ndarray:
     labels = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
     return np.array([labels.get(i, "") for i in range(max(labels) + 1)], dtype=object)
@@ -163,12 +194,15 @@ class Encoder:
     """Texts to ids and back for a vocabulary file of byte-level words with an end mark.
 
     The text is split at the special tokens, composed (NFC), put in lower case
-    character by character and split into words; each word goes through the automaton.
+    character by character and split into words; each word goes through the automaton. A file with other rules is
+    refused with a ValueError.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if other_rules(spec):
+            raise ValueError(f"{path}: not supported: " + ", ".join(other_rules(spec)))
         model = spec["model"]
         self.end = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]

@@ -27,7 +27,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import LATIN, beyond_latin, word_pattern
+from .bpe import LATIN, beyond_latin, other_rules, word_pattern
 from .worker import per_worker
 
 # Fixed values of the seekable format.
@@ -43,7 +43,8 @@ class LibraryEncoder:
     """Packed ids as the tokenizers library gives them, asking it for each word only once.
 
     Texts within U+017F are split as the vocabulary's own pre-tokenizer does and the library encodes the
-    words not met before; any other text, and one that holds a special token, goes to the library whole.
+    words not met before; any other text, and one that holds a special token, goes to the library whole. So does every text if
+    the file's rules are not those that ``bpe`` knows.
     """
 
     def __init__(self, path: str):
@@ -53,6 +54,8 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            self.whole = bool(other_rules(json.load(f)))
         self.words = word_pattern(LATIN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         end = self.tokenizer.model.end_of_word_suffix
@@ -75,6 +78,8 @@ class LibraryEncoder:
                 self.young[word] = array("I", enc.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if self.whole:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         plain = [not beyond_latin(t) and "İ" not in t and not any(s in t for s in self.special) for t in texts]
         split = [self.words(t.lower()) if p else None for t, p in zip(texts, plain, strict=True)]
         if len(self.young) > CACHE_WORDS:

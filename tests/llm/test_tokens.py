@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -157,3 +158,26 @@ def test_only_wanted_frames_are_inflated(tmp_path, monkeypatch):
     open(name, "wb").write(raw)
     with fs.open_input_file(name) as f, pytest.raises((ValueError, zstandard.ZstdError)):
         list(token_files.FrameReader(f).documents())
+
+
+@pytest.mark.parametrize("change", [{"normalizer": None}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}])
+def test_other_rules_are_obeyed_or_refused(tmp_path, texts, change):
+    """The same vocabulary with other rules: the files hold the library's ids, the automaton says what it does not do."""
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump({**spec, **change}, f)
+    with pytest.raises(ValueError, match=next(iter(change))):
+        bpe.Encoder(path)
+    own = tokenizers.Tokenizer.from_file(path)
+    some = ["Hello World ABC", *texts[:300]]
+    assert [np.frombuffer(p, "<u4").tolist() for p in token_files.LibraryEncoder(path)(some)] == [ids_of(own, t) for t in some]
+
+
+def test_other_vocabulary_files():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with pytest.raises(ValueError, match="pre_tokenizer"):
+        bpe.Encoder(path)
+    own = tokenizers.Tokenizer.from_file(path)
+    assert np.frombuffer(token_files.LibraryEncoder(path)(["Hello World  ABC"])[0], "<u4").tolist() == ids_of(own, "Hello World  ABC")
