@@ -177,18 +177,20 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return joined[starts[:, None] + np.arange(STEPS)], np.concatenate(owner), np.concatenate(fresh)
 
 
-def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = FIT_DOCS) -> Network | None:
-    """Train on at most ``per_language`` documents of each language, chosen by the hash of their id.
-
-    Of each document up to ``FIT_PIECES`` pieces of ``PIECE_CHARS`` characters, spread over the whole text, are taken. Rows with a null text or
-    language are left out; without any row there is no network. One task trains on the
-    sample and the driver gets the weights.
+def fit(
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = FIT_DOCS, pieces: int = FIT_PIECES, piece_chars: int = PIECE_CHARS
+) -> Network | None:
+    """Train on at most ``per_language`` documents of each language, chosen by the hash of id and text.
+
+    Of each document up to ``pieces`` pieces of ``piece_chars`` characters, spread over the whole text, are taken: these three numbers bound the
+    sample. Rows that repeat id, text and language count once; rows with a null text or language are left out, and
+    without any row there is no network. One task trains on the sample and the driver gets the weights.
     """
     usable = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     named = usable.select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("place"), F.xxhash64(text_col).alias("whole")
-    )
-    # Ids whose hash lies in a share of its range that holds some times the wanted number; only these are ranked.
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("place"), F.xxhash64(text_col).alias("whole")
+    ).distinct()
+    # Texts whose hash lies in a share of its range that holds some times the wanted number; only these are ranked.
     sizes = named.groupBy("lang").agg(F.count("*").alias("n"))
     inside = (F.col("place").bitwiseAND((1 << 31) - 1) / 2.0**31) * F.col("n") <= 8 * per_language
     order = Window.partitionBy("lang").orderBy("place", "id", "whole")
@@ -198,12 +200,12 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     if not n_chosen:
         return None
     n = F.length("text")
-    step = F.greatest(F.lit(PIECE_CHARS), F.ceil(n / FIT_PIECES)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(FIT_PIECES - 1)), lambda i: F.substring("text", i * step + 1, F.lit(PIECE_CHARS)))
+    step = F.greatest(F.lit(piece_chars), F.ceil(n / pieces)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring("text", i * step + 1, F.lit(piece_chars)))
     texts = usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).alias("t")
     small = (F.broadcast(chosen) if n_chosen <= MOST_BROADCAST else chosen).alias("c")
     same = F.col("t.id").eqNullSafe(F.col("c.id")) & (F.xxhash64("t.text") == F.col("c.whole")) & (F.col("t.lang") == F.col("c.lang"))
-    sample = texts.join(small, same).select("t.lang", "c.at", pieces.alias("pieces")).dropDuplicates(["lang", "at"])
+    sample = texts.join(small, same).select("t.lang", "c.at", cut.alias("pieces")).dropDuplicates(["lang", "at"])
     found = sample.repartition(1).mapInArrow(_trained, "network binary").collect()
     return Network.of(*pickle.loads(found[0][0])) if found else None
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -63,3 +65,52 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in langid.predict(df, "text", None, ["doc_id"]).collect()} == {"und"}
     one = spark.createDataFrame([(1, "some text " * 9, "en")], df.schema)
     assert [r.lang_pred for r in langid.predict(one, "text", langid.fit(one, "doc_id", "text", "lang"), ["doc_id"]).collect()] == ["en"]
+
+
+def step_by_step(network, text):
+    """Mean probabilities over all bytes, one window, byte and unit after the other in plain Python."""
+    h, k = network.hidden, len(network.languages)
+    w = {name: v.astype(float).tolist() for name, v in network.weights.items()}
+    squash = lambda v: 1 / (1 + math.exp(-v))
+
+    def states(side, window):
+        state, out = [0.0] * h, {}
+        places = range(len(window)) if side == "f" else range(len(window) - 1, -1, -1)
+        for t in places:
+            x = [row[window[t]] for row in w["table" + side]]
+            g = [sum(a * b for a, b in zip(row, state, strict=True)) for row in w["state" + side]]
+            reset, update = ([squash(x[u * h + i] + g[u * h + i]) for i in range(h)] for u in (0, 1))
+            cand = [math.tanh(x[2 * h + i] + reset[i] * g[2 * h + i]) for i in range(h)]
+            state = [cand[i] + update[i] * (state[i] - cand[i]) for i in range(h)]
+            out[t] = state
+        return out
+
+    total = [0.0] * k
+    for start in range(0, len(text), langid.STEPS):
+        begin = start if start + langid.STEPS <= len(text) else max(0, len(text) - langid.STEPS)
+        window = text[begin : begin + langid.STEPS].ljust(langid.STEPS)
+        f, b = states("f", window), states("b", window)
+        for t in range(start - begin, min(langid.STEPS, len(text) - begin)):
+            logits = [w["bias"][j][0] + sum(w["outf"][j][i] * f[t][i] + w["outb"][j][i] * b[t][i] for i in range(h)) for j in range(k)]
+            parts = [math.exp(v - max(logits)) for v in logits]
+            total = [a + p / sum(parts) for a, p in zip(total, parts, strict=True)]
+    return [a / max(1, len(text)) for a in total]
+
+
+def test_probabilities_step_by_step():
+    network = langid.Network(["de", "en", "fr"], hidden=5, seed=3)
+    texts = [b"", b"short", b"x" * 64, "Straße und Öl, ".encode() * 9, bytes(range(256))]
+    got = network.documents(texts)
+    for text, row in zip(texts, got, strict=True):
+        assert row.tolist() == pytest.approx(step_by_step(network, text), abs=1e-5)
+
+
+def test_rows_that_repeat_an_id(spark):
+    """Two languages of one id, thousands of rows each, and one language among many that has few rows."""
+    same = spark.range(6000).selectExpr("1L AS id", "concat(repeat('the ting of and this ', 40), id % 50) AS text", "'en' AS lang")
+    same = same.unionByName(spark.range(6000).selectExpr("1L AS id", "concat(repeat('der die das und nicht ', 40), id % 50) AS text", "'de' AS lang"))
+    few = spark.range(3).selectExpr("id + 10 AS id", "concat(repeat('que la mentre les éç ', 40), id) AS text", "'fr' AS lang")
+    network = langid.fit(same.unionByName(few), "id", "text", "lang", per_language=40)
+    assert network.languages == ["de", "en", "fr"]
+    df = spark.createDataFrame([("the ting and of this the ting",), ("der die das und nicht der die das und",), ("que la mentre les éç que la mentre",)], "text string")
+    assert [r.lang_pred for r in langid.predict(df, "text", network, ["text"]).collect()] == ["en", "de", "fr"]
