@@ -48,7 +48,8 @@ def _level(name: str, of: str) -> str:
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
     counted AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x FROM rows LEFT JOIN marks ON id = page_id GROUP BY host),
-    split AS (SELECT *, string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') AS parts FROM counted),
+    bare AS (SELECT *, regexp_replace(host, '^.*@|\.?(:[0-9]*)?$', '', 'g') AS bare FROM counted),
+    split AS (SELECT *, CASE WHEN regexp_matches(bare, '{urls.ADDRESS}') THEN [bare] ELSE string_split(bare, '.') END AS parts FROM bare),
     named AS (SELECT *, array_to_string(parts[greatest(len(parts) - 1, 1):], '.') AS two,
                      array_to_string(parts[greatest(len(parts) - 2, 1):], '.') AS three FROM split),
     hosts AS (SELECT host, n, x, CASE WHEN two IN ({", ".join(f"'{s}'" for s in urls.TWO_LABEL_SUFFIXES)}) THEN three ELSE two END AS domain,

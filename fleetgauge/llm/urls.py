@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Suffixes of two labels under which names are registered. Others have one label.
+# Some suffixes of two labels under which names are registered; callers bring their own list. Others have one label.
 TWO_LABEL_SUFFIXES = ["ac.uk", "co.jp", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "gov.uk", "org.uk"]
 
 
@@ -19,13 +21,21 @@ def path_of(url: str | Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_and_suffix(host: str | Column) -> tuple[Column, Column]:
-    """The registered domain and its suffix; a host without a dot is both."""
-    labels = F.split(F.regexp_replace(host, r"^.*@|:[0-9]*$", ""), r"\.")
+ADDRESS = r"^(\[.*|[0-9]{1,3}(\.[0-9]{1,3}){3})$"
+
+
+def domain_and_suffix(host: str | Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
+    """The registered domain and its suffix, without user, port and a last dot; a host without a dot, and an address, is both.
+
+    ``suffixes`` are those of two labels.
+    """
+    name = F.regexp_replace(host, r"^.*@|\.?(:[0-9]*)?$", "")
+    labels = F.split(name, r"\.")
     two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
     three = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), 3), ".")
-    wide = two.isin(TWO_LABEL_SUFFIXES)
-    return F.when(wide, three).otherwise(two), F.when(wide, two).otherwise(F.element_at(labels, -1))
+    wide, address = two.isin(list(suffixes)), name.rlike(ADDRESS)
+    domain = F.when(address, name).when(wide, three).otherwise(two)
+    return domain, F.when(address, name).when(wide, two).otherwise(F.element_at(labels, -1))
 
 
 def rule_of(host: str, path: str, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -63,7 +73,9 @@ def _strength(groups: DataFrame) -> DataFrame:
     return s.select(p.alias("rate"), ((1 - held) / held).alias("strength"))
 
 
-def host_reputation(pages: DataFrame, url_col: str, id_col: str, outcomes: DataFrame) -> DataFrame:
+def host_reputation(
+    pages: DataFrame, url_col: str, id_col: str, outcomes: DataFrame, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES
+) -> DataFrame:
     """Posterior of each host's rate of bad pages: (host, n_labelled, n_bad, bad_rate, bad_sd).
 
     ``outcomes`` is (id, bad): 0 or 1 for pages with a label; null ids or outcomes are
@@ -79,18 +91,18 @@ def host_reputation(pages: DataFrame, url_col: str, id_col: str, outcomes: DataF
     marks = outcomes.where("id IS NOT NULL AND bad IS NOT NULL").groupBy("id").agg(F.max("bad").alias("bad"))
     seen = pages.select(F.col(id_col).alias("id"), host_of(url_col).alias("host")).join(marks, "id", "left")
     hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("x"))
-    domain, suffix = domain_and_suffix("host")
+    domain, suffix = domain_and_suffix("host", suffixes)
     hosts = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "x")
     total = [F.sum("n").alias("n"), F.sum("x").alias("x")]
     domains = hosts.groupBy("domain", "suffix").agg(*total)
-    suffixes = domains.groupBy("suffix").agg(*total)
-    k_suffix, k_domain, k_host = ((_strength(x).alias(a)) for x, a in ((suffixes, "ks"), (domains, "kd"), (hosts, "kh")))
+    tops = domains.groupBy("suffix").agg(*total)
+    k_suffix, k_domain, k_host = ((_strength(x).alias(a)) for x, a in ((tops, "ks"), (domains, "kd"), (hosts, "kh")))
     mean_s = F.expr("(x + ks.strength * ks.rate) / (n + ks.strength)")
     mean_d = F.expr("(x + kd.strength * prior) / (n + kd.strength)")
     one_row = F.lit(1)  # each strength is a single row
-    suffixes = suffixes.withColumn("one", one_row).join(F.broadcast(k_suffix.withColumn("one", one_row).alias("ks")), "one")
-    suffixes = suffixes.select("suffix", mean_s.alias("prior"))
-    domains = domains.join(suffixes, "suffix").withColumn("one", one_row)
+    tops = tops.withColumn("one", one_row).join(F.broadcast(k_suffix.withColumn("one", one_row).alias("ks")), "one")
+    tops = tops.select("suffix", mean_s.alias("prior"))
+    domains = domains.join(tops, "suffix").withColumn("one", one_row)
     domains = domains.join(F.broadcast(k_domain.withColumn("one", one_row).alias("kd")), "one").select("domain", "suffix", mean_d.alias("prior"))
     hosts = hosts.join(domains, ["domain", "suffix"]).withColumn("one", one_row)
     hosts = hosts.join(F.broadcast(k_host.withColumn("one", one_row).alias("kh")), "one")
@@ -108,6 +120,7 @@ def judge_urls(
     url_col: str = "url",
     max_bad: float = 0.3,
     z: float = 1.645,
+    suffixes: Sequence[str] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """One row per page: id, host, path, rule, verdict and the host's posterior.
 
@@ -117,7 +130,7 @@ def judge_urls(
     host and path; repeated rows are judged each; other columns are not looked at.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
-    known = host_reputation(pages, url_col, id_col, outcomes)
+    known = host_reputation(pages, url_col, id_col, outcomes, suffixes)
     rule, action = rule_of("host", "path", rules)
     sure = F.col("bad_rate") - z * F.col("bad_sd") > max_bad
     return rows.join(known, "host", "left").select(

@@ -45,3 +45,16 @@ def test_empty_tables_and_repeated_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.com/", "", "", 0)] * 3, SCHEMA)
     none = spark.createDataFrame([], "id long, bad int")
     assert [r.verdict for r in urls.judge_urls(pages, none, URL_RULES).collect()] == ["allow"] * 3
+
+
+def test_addresses_last_dots_and_own_suffixes(spark):
+    hosts = ["10.0.0.1", "192.168.0.1:80", "example.com.", "a.example.com.:8080", "[::1]:80", "[2001:db8::1]", "1.2.3", "x.y.co.kr", "300.1.1.1.de"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r) for r in df.select(*urls.domain_and_suffix("host", ["co.kr"])).collect()]
+    assert got == [
+        ("10.0.0.1", "10.0.0.1"), ("192.168.0.1", "192.168.0.1"), ("example.com", "com"), ("example.com", "com"), ("[::1]", "[::1]"),
+        ("[2001:db8::1]", "[2001:db8::1]"), ("2.3", "3"), ("y.co.kr", "co.kr"), ("1.de", "de"),
+    ]
+    rows = [(i, "http://10.0.0.1/x") for i in range(50)] + [(100 + i, "http://192.168.0.1/") for i in range(50)] + [(200 + i, f"http://ok{i}.net.x/") for i in range(50)]
+    got = judged(spark, rows, [(i, 1) for i in range(50)] + [(200 + i, 0) for i in range(50)])
+    assert got[1].verdict == "block" and got[101].verdict == "allow"
