@@ -12,6 +12,8 @@ from ..session import hand_off
 HOT_ROWS = 1_000_000
 # Hot keys that are sent to every executor; a longer list is joined as a table.
 MOST_LISTED = 50_000
+# Places that rows of one key of such a table are spread over.
+SPREAD = 64
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,7 +31,8 @@ def hot_keys(
 
     ``counts`` may bring existing row counts per key in a column ``__rows``.
     Counting is one partial aggregation over the key columns only; the list is
-    stored, and marked for broadcast unless it has more than ``MOST_LISTED`` rows. ``__salts`` (at
+    stored, and marked for broadcast unless it has more than ``MOST_LISTED`` rows: then each key stands in it ``SPREAD``
+    times, numbered by ``__place``, so that looking up the rows of one key is no single task either. ``__salts`` (at
     least 2) says over how many tasks of about ``min_rows`` rows a key should be spread.
     """
     counts = key_counts(df, keys) if counts is None else counts
@@ -38,7 +41,9 @@ def hot_keys(
     n = found.count()
     if n == 0:
         return None
-    return F.broadcast(found) if n <= MOST_LISTED else found
+    if n <= MOST_LISTED:
+        return F.broadcast(found)
+    return found.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,22 +51,29 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Null keys are found like any other.
     """
-    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__salts")
+    places = ["__place"] if "__place" in hot.columns else []
+    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in [*keys, *places]], "__salts")
+    if places:
+        df = df.withColumn("__place", F.pmod(_row_hash(df), F.lit(SPREAD)).cast("int"))
     match = F.lit(True)
-    for k in keys:
+    for k in [*keys, *places]:
         match = match & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
     joined = df.join(renamed, match, "left")
-    return joined.drop(*[f"__hot_{k}" for k in keys]).withColumn(
+    return joined.drop(*[f"__hot_{k}" for k in [*keys, *places]], *places).withColumn(
         "__salts", F.coalesce(F.col("__salts"), F.lit(1))
     )
 
 
-def _row_salt(df: DataFrame) -> Column:
+def _row_hash(df: DataFrame) -> Column:
     # Value and input partition only: the same on every retry of a task, and
     # copies of one row still spread because they lie in different partitions.
     hashable = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, hashable)]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.col("__salts")).cast("int")
+    return F.xxhash64(F.spark_partition_id(), *plain)
+
+
+def _row_salt(df: DataFrame) -> Column:
+    return F.pmod(_row_hash(df), F.col("__salts")).cast("int")
 
 
 def skew_join(

@@ -35,7 +35,8 @@ from ..functions.codes import (
 from ..operators import clean, dims, fill, join, learn, panel, rollup
 from ..operators.layout import Layout
 from ..session import hand_off, interim
-from ..sources import scan_days
+from ..sources import Gate, publish, scan_days
+from ..sources.published import Facts
 
 # ---- daily tables from event feeds --------------------------------------------
 
@@ -237,17 +238,18 @@ def wide_panel(
     excluded: Mapping[str, Sequence[str]] | None = None,
     gate: bool = True,
     layout: Layout | None = None,
+    spine: DataFrame | None = None,
 ) -> DataFrame:
     """One row per driver, day and plate with everything known about it and the accident label.
 
     With a ``layout``, such as ``PANEL_LAYOUT``, the daily tables of a driver are stored in buckets and joined
-    without another shuffle of the panel. ``excluded`` lists values of ``driver``, ``plate`` or ``vehicle`` to leave out
+    without another shuffle of the panel. ``spine`` may bring the stored run totals. ``excluded`` lists values of ``driver``, ``plate`` or ``vehicle`` to leave out
     of the result, such as test vehicles.
     """
     excluded = dict(excluded or {})
     drivers = clean_drivers(feeds.drivers, excluded=excluded.get("driver", ()))
     # Read by the checks of the join and by the join itself.
-    spine = hand_off(run_totals(feeds.trips, day_tz), "spine")
+    spine = hand_off(run_totals(feeds.trips, day_tz), "spine") if spine is None else spine
     day_keys = ["day", "driver", "plate"]
 
     def rolled_up(name, df, on, drop=(), skewed=False):
@@ -284,6 +286,20 @@ def wide_panel(
     return fn.exclude(labelled, excluded) if excluded else labelled
 
 
+def publish_panel(
+    feeds: Feeds, folder: str, *, most_nulls: Mapping[str, float] | None = None, day_tz: str = "UTC", **options
+) -> tuple[int, Facts]:
+    """Write the panel as the next version of ``folder``; gives its number, and its rows and the nulls of each column.
+
+    Counted while it is written, the panel must not have more rows than the run totals, nor more nulls than the shares in ``most_nulls``. One
+    that does is refused, and the version before it stays the current one. ``options`` are those of ``wide_panel``.
+    """
+    with interim(feeds.trips.sparkSession):
+        spine = hand_off(run_totals(feeds.trips, day_tz), "spine")
+        wide = wide_panel(feeds, day_tz=day_tz, spine=spine, **options)
+        return publish(wide, folder, Gate(most_rows=spine.count(), most_nulls=most_nulls or {}))
+
+
 # ---- features ------------------------------------------------------------------------
 
 PANEL_KEYS = ["plate", "DriverName"]

@@ -124,6 +124,18 @@ def test_skew_join_equals_plain_join(spark, how):
     assert salted.exceptAll(plain).count() == 0
 
 
+def test_many_hot_keys_are_joined_as_a_spread_table(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MOST_LISTED", 1)
+    monkeypatch.setattr(skew, "SPREAD", 5)
+    left = spark.range(6000).select((F.col("id") % 6).alias("k"), "id").withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    right = spark.range(0, 6, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    hot = skew.hot_keys(left, ["k"], min_rows=500)
+    assert hot.count() == 6 * 5 and "__place" in hot.columns
+    marked = skew.mark_hot(left, hot, ["k"])
+    assert marked.columns == ["k", "id", "__salts"] and rows(marked.groupBy("__salts").count()) == [(3, 6000)]
+    assert rows(skew.skew_join(left, right, ["k"], min_rows=500)) == rows(left.join(right, ["k"], "left"))
+
+
 def test_null_safe_dimension(spark):
     spine = spark.createDataFrame([("a",), (None,)], "k string")
     one = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")

@@ -4,15 +4,17 @@ import datetime as dt
 import os
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
+from conftest import rows
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import join, learn
 from fleetgauge.plans import fleet
 from fleetgauge.session import work_folder
-from fleetgauge.sources import write_parquet
+from fleetgauge.sources import RefusedError, read_published, write_parquet
 
 START = dt.date(2024, 3, 1)
 DAYS = 20
@@ -126,12 +128,31 @@ def test_wide_panel(raw, wide):
 
 def test_wide_panel_refuses_repeated_certificates(spark, feeds, raw):
     twice = raw["drivers"] + [(77, "other", "440301198001011234", "1001", "1", None, None, 0, 0, 0, 0, 0)]
-    from dataclasses import replace
-
     with pytest.raises(join.FanOutError):
         fleet.wide_panel(replace(feeds, drivers=spark.createDataFrame(twice, SCHEMAS["drivers"])))
 
 
+def test_a_panel_that_grew_is_not_published(spark, feeds, raw, wide, tmp_path):
+    folder = str(tmp_path / "panel")
+    version, facts = fleet.publish_panel(feeds, folder, most_nulls={"target": 0.0})
+    stored = read_published(spark, folder)
+    assert version == 1 and facts.rows == stored.count() and facts.nulls["target"] == 0
+    assert facts.nulls["TEM"] == stored.where("TEM IS NULL").count() > 0
+    twice = raw["drivers"] + [(77, "other", "440301198001011234", "1001", "1", None, None, 0, 0, 0, 0, 0)]
+    grown = replace(feeds, drivers=spark.createDataFrame(twice, SCHEMAS["drivers"]))
+    with pytest.raises(RefusedError) as refused:
+        fleet.publish_panel(grown, folder, gate=False)
+    assert refused.value.facts.rows > facts.rows
+    with pytest.raises(RefusedError, match="TEM"):
+        fleet.publish_panel(feeds, folder, most_nulls={"TEM": 0.0})
+    assert rows(read_published(spark, folder)) == rows(stored)
+
+
+def test_the_panel_in_buckets_is_the_same(feeds, wide):
+    got = fleet.wide_panel(feeds, excluded={"driver": ["1009"], "plate": ["none"]}, layout=fleet.Layout(("driver", "day"), 4))
+    assert rows(got, *wide.columns) == rows(wide)
+
+
 def test_speed_and_violations(feeds, raw):
     speed = {(r.day, r.driver): r for r in fleet.driver_speed(feeds.positions).collect()}
     moving = Counter((utc_day(p[0]), p[2]) for p in raw["positions"] if p[4] > 5)
