@@ -34,23 +34,23 @@ def _listed(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.limit(MOST_LISTED + 1).count() <= MOST_LISTED else table
 
 
-def _apart(points: np.ndarray, fan: int) -> list[int]:
-    """Up to ``fan`` of the points, each as far as can be from those before it; no point twice."""
-    chosen, gaps = [0], np.sqrt(((points - points[0]) ** 2).sum(axis=1))
-    while len(chosen) < fan and gaps.max() > 0:
-        chosen.append(int(gaps.argmax()))
-        gaps = np.minimum(gaps, np.sqrt(((points - points[chosen[-1]]) ** 2).sum(axis=1)))
-    return chosen
-
-
 def _splitter(fan: int):
+    # Everything a task needs is defined inside, so workers need no copy of this package.
+    def apart(points: np.ndarray) -> list[int]:
+        """Up to ``fan`` of the points, each as far as can be from those before it; no point twice."""
+        chosen, gaps = [0], np.sqrt(((points - points[0]) ** 2).sum(axis=1))
+        while len(chosen) < fan and gaps.max() > 0:
+            chosen.append(int(gaps.argmax()))
+            gaps = np.minimum(gaps, np.sqrt(((points - points[chosen[-1]]) ** 2).sum(axis=1)))
+        return chosen
+
     def split(rows: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         columns = ["__class", "__id", "__x", "__cell", "__away"]
         if not len(rows):
             return pd.DataFrame({c: [] for c in columns})
         points = points.sort_values("__rank")
         p = np.stack(points["__p"].to_numpy()).astype("float64")
-        chosen = _apart(p, fan)  # the same in every part of the cell
+        chosen = apart(p)  # the same in every part of the cell
         p, names = p[chosen], ("/" + points["__rank"].astype(str)).to_numpy()[chosen]
         x = np.stack(rows["__x"].to_numpy()).astype("float64")
         step = max(1, (1 << 21) // p.size)  # 16 MB of differences at once

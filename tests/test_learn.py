@@ -40,14 +40,14 @@ def test_neighbours_equal_brute_force(spark, block_rows):
 def clustered(spark, seed=3):
     rng = np.random.default_rng(seed)
     centres = np.array([[x, y] for x in (0, 1000) for y in (0, 1000)], dtype=float)
-    points = [(i, 1, centres[i % 4] + rng.normal(size=2)) for i in range(400)]
+    points = [(i, 1, centres[i % 4] + rng.normal(size=2)) for i in range(240)]
     return points, spark.createDataFrame([(c, i, x.tolist()) for i, c, x in points], "__class int, __id long, __x array<double>")
 
 
 def test_tree_of_several_levels(spark):
     points, df = clustered(spark)
     tree = metric_tree.build(df, 12, fan=3)
-    assert len(tree.levels) >= 4
+    assert len(tree.levels) >= 4  # three splits
     at = {r["__id"]: np.array(r["__x"]) for r in df.collect()}
     leaves = {r["__cell"]: r for r in tree.leaves.collect()}
     placed = tree.rows.collect()
@@ -65,7 +65,7 @@ def test_tree_of_several_levels(spark):
 
 def test_far_cells_are_not_searched(spark):
     points, df = clustered(spark)
-    tree = metric_tree.build(df, 12, fan=3)
+    tree = metric_tree.build(df, 20, fan=4)
     leaves = {r["__cell"]: r for r in tree.leaves.collect()}
     gap = lambda a, b: np.linalg.norm(np.array(leaves[a]["__p"]) - np.array(leaves[b]["__p"])) - leaves[a].radius - leaves[b].radius
     at = {}
@@ -74,7 +74,7 @@ def test_far_cells_are_not_searched(spark):
     nearest = lambda a, b: np.sqrt(((np.array(at[a])[:, None] - np.array(at[b])[None]) ** 2).sum(axis=2)).min()
     near = {(a, b) for a in leaves for b in leaves if a != b and nearest(a, b) <= 0.5}
     far = {(a, b) for a in leaves for b in leaves if a != b and gap(a, b) > 100}
-    assert near and len(far) > 500
+    assert near and len(far) > 100
     reach = tree.leaves.select("__class", "__cell", F.lit(0.5).alias("reach"))
     pairs = [(r.q, r.c) for r in metric_tree.leaf_pairs(tree, reach, 5).collect()]
     assert len(pairs) == len(set(pairs)) and near <= set(pairs) and not far & set(pairs)

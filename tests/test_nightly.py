@@ -15,7 +15,7 @@ def day(n):
     return D + dt.timedelta(days=n)
 
 
-def panel_rows(seed, keys=6, days=25):
+def panel_rows(seed, keys=5, days=16):
     rnd = random.Random(seed)
     return [(k, day(d), rnd.choice([None, 1.0, 2.5, 7.0]), rnd.randint(0, 9)) for k in range(keys) for d in range(days) if rnd.random() < 0.7]
 
@@ -25,11 +25,11 @@ def frame(spark, items):
 
 
 def steps_of(items, seed):
-    """Days in four steps, one row in eight one or two steps late."""
+    """Days in three steps, one row in eight one or two steps late."""
     rnd = random.Random(seed)
-    out = [[], [], [], []]
+    out = [[], [], []]
     for r in items:
-        step = min(3, (r[1] - D).days // 8 + (rnd.choice([1, 2]) if rnd.random() < 0.12 else 0))
+        step = min(2, (r[1] - D).days // 6 + (rnd.choice([1, 2]) if rnd.random() < 0.12 else 0))
         out[step].append(r)
     return out
 
@@ -121,7 +121,7 @@ def test_states_of_groups_and_of_nothing(spark, tmp_path):
 
 
 def test_carried_fill_equals_one_run(spark, tmp_path):
-    items = panel_rows(6, keys=8, days=30)
+    items = panel_rows(6, keys=6, days=18)
     base, filled = (DayTable(str(tmp_path / n), ("k",)) for n in ("base", "filled"))
     state = carry.CarriedState(str(tmp_path / "state"), ("k",), ("x",))
     cols = ["k", "day", "x", "n"]
