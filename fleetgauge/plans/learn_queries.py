@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
 from ..operators import learn, neighbours, sampling
-from ..session import hand_off, work_folder
+from ..session import hand_off, scratch_folder, work_folder
 from ..sources import union_all
 from .registry import query, table
 
@@ -158,6 +158,27 @@ def score_day(spark, sf_dir):
     return union_all([scored(name) for name in tuned.models])
 
 
+@query(
+    f"""
+    WITH d AS ({DAY_PURCHASES})
+    SELECT user_id, day, CASE WHEN purchases >= 1 THEN 1 ELSE 0 END AS predicted_risk, CAST(4 AS BIGINT) AS models, CAST(1 AS BIGINT) AS version FROM d WHERE day > DATE '2024-01-28'
+    """
+)
+def scores_of_stored_models(spark, sf_dir):
+    """All models stored as a version and loaded again; the days are scored by the boosted ones, whatever the leaderboard says.
+
+    Features are the columns that a list of others leaves.
+    """
+    panel = labelled_panel(spark, sf_dir)
+    folder = scratch_folder(spark, "models")
+    version = learn.save_version(_tuned(panel), folder)
+    stored = learn.load_version(spark, folder)
+    features = learn.feature_columns(panel, ["user_id", "day", "ident", "not_there"])
+    days = panel.where(F.col("day") > F.lit(date(2024, 1, 28)))
+    rows = learn.score(days, learn.choose(stored, "boosting_b"), ["user_id", "day"], features=features)
+    return rows.select("user_id", "day", "predicted_risk", F.lit(len(stored.models)).cast("long").alias("models"), F.lit(version).cast("long").alias("version"))
+
+
 NOISY = f"""d AS (SELECT user_id || '|' || strftime(day, '%Y-%m-%d') AS ident, CASE WHEN purchases >= 1 THEN 1 ELSE 0 END AS truth, day FROM ({DAY_PURCHASES})),
     z AS (SELECT *, row_number() OVER (PARTITION BY truth ORDER BY md5('42|' || ident), ident) AS r, count(*) OVER (PARTITION BY truth) AS c FROM d),
     y AS (SELECT ident, truth, day, CASE WHEN truth = 0 AND r <= floor(c * CAST(0.1 AS DOUBLE)) THEN 1 ELSE truth END AS target FROM z),
