@@ -134,6 +134,12 @@ def _fit(spec: Spec, params: Mapping, rows: DataFrame):
     return spec.estimator.fit(rows, dict(params))
 
 
+def _accuracy(scored: DataFrame) -> float:
+    # An evaluator of its own: tasks carry it along, and it is written to when it is used.
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    return float(evaluator.evaluate(scored))
+
+
 # Rows of one task of a fit: small sets are fitted by few tasks, as a fit is a long chain of short jobs.
 FIT_TASK_ROWS = 50_000
 
@@ -165,9 +171,6 @@ def grid_search(
     and is started again with the same rows, features, folds and estimators runs only the fits that are missing; one over a larger
     grid only the new ones.
     """
-    accuracy = MulticlassClassificationEvaluator(
-        labelCol="label", predictionCol="prediction", metricName="accuracy"
-    )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     weights = {w for s in specs for w in s.grid.get("positiveWeight", ())}
 
@@ -208,7 +211,7 @@ def grid_search(
                 others = [rows for k, rows in enumerate(by_fold) if k != fold]
                 params = _param_map(spec, point, n if fold == LAST_FIT else n * (folds - 1) / folds)
                 model = _fit(spec, params, reduce(DataFrame.unionByName, others).coalesce(tasks))
-                score = float(accuracy.evaluate(model.transform(testing if fold == LAST_FIT else by_fold[fold])))
+                score = _accuracy(model.transform(testing if fold == LAST_FIT else by_fold[fold]))
                 if fold == LAST_FIT:
                     model = PipelineModel([*stages, assembler, model])
                     if book:
