@@ -131,7 +131,15 @@ def _signature(estimator: Estimator) -> str:
 
 
 def _fit(spec: Spec, params: Mapping, rows: DataFrame):
-    return spec.estimator.fit(rows, dict(params))
+    """The fitted model without its training summary.
+
+    The summary holds the session, which goes to tasks with the model; in this version of Spark that fails once any result
+    of the session was observed, as ``publish`` does.
+    """
+    model = spec.estimator.fit(rows, dict(params))
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def _accuracy(scored: DataFrame) -> float:

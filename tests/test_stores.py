@@ -125,3 +125,17 @@ def test_a_failed_batch_leaves_the_table(spark):
         io.jdbc_append_once(bad, url, "T", "x", options=DERBY)
     assert io.jdbc_append_once(spark.range(40).withColumnRenamed("id", "ID"), url, "T", "x", options=DERBY)
     assert io.jdbc_read(spark, url, "T", options=DERBY).count() == 40
+
+
+def test_models_are_fitted_in_a_session_that_observed(spark, tmp_path):
+    """Spark cannot send a model's training summary to tasks any more; the search leaves it out."""
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+
+    from fleetgauge.operators import learn
+    from fleetgauge.session import hand_off
+
+    io.publish(spark.range(3), str(tmp_path / "t"))
+    df = hand_off(spark.range(90).selectExpr("id", "sin(id) AS a", "int(sin(id) > 0.2) AS target"), "rows")
+    specs = [learn.Spec("forest", RandomForestClassifier(seed=1, numTrees=2), {}), learn.Spec("logistic", LogisticRegression(maxIter=3), {})]
+    tuned = learn.grid_search(df.where("id > 20"), df.where("id <= 20"), specs, features=["a"], ident="id")
+    assert all(learn.score(df, tuned.models[name], ["id"], features=["a"]).count() == 90 for name in ("forest", "logistic"))
