@@ -21,7 +21,9 @@ def _carry(part: Sequence[str], order: Sequence[str], col: str, backward: bool)
     w = W.partitionBy(*part).orderBy(*_ordering(order))
     found = [F.last(col, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))]
     if backward:
-        found.append(F.first(col, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)))
+        # Asked only of rows without a value before them, for which the next value is the first of all. A frame
+        # that begins at the row itself is read to its end again for every row.
+        found.append(F.first(col, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     return found
 
 
@@ -54,12 +56,12 @@ def _fill_by_chunks(df, keys, order, cols, backward, chunks=None):
         edges = edges.withColumn("__chunks", F.count(F.lit(1)).over(W.partitionBy(*keys)))
         edges = edges.where("__chunks > 1")
     w = W.partitionBy(*keys).orderBy(chunk)
-    before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)
+    before, whole = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     carried = edges.select(
         F.col(chunk).alias("__at"),
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__in_{c}") for c in cols],
-        *[F.first(f"__first_{c}", ignorenulls=True).over(after).alias(f"__out_{c}") for c in cols],
+        *[F.first(f"__first_{c}", ignorenulls=True).over(whole).alias(f"__out_{c}") for c in cols],
     )
     same = reduce(
         and_,

@@ -126,3 +126,16 @@ def test_chunked_fill_equals_the_plain_window_on_hot_keys(spark):
     plain = fill.fill_forward_backward(df, ["k"], ["d"], "x", valid=F.col("x").isNotNull())
     assert chunked.count() == n
     assert chunked.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("min_rows", [10**6, 0])
+def test_a_backward_fill_reads_the_rows_of_a_key_once(spark, min_rows):
+    items = [("a", day(n), x) for n, x in enumerate([None, None, 5.0, None, 7.0], 1)] + [("b", day(1), None), ("b", day(2), 3.0)]
+    out = fill.fill_forward_backward(days_frame(spark, *items), ["k"], ["d"], "x", min_rows=min_rows, chunks=3)
+    assert rows(out) == [
+        ("a", day(1), 5), ("a", day(2), 5), ("a", day(3), 5), ("a", day(4), 5), ("a", day(5), 7), ("b", day(1), 3), ("b", day(2), 3),
+    ]
+    # A frame from a row to the end is made anew for every row.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    ends = [part[-40:] for part in plan.split("unboundedfollowing$()")[:-1]]
+    assert ends and all("unboundedpreceding$()" in end for end in ends)
