@@ -47,7 +47,7 @@ def _splitter(fan: int):
     def split(rows: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         columns = ["__class", "__id", "__x", "__cell", "__away"]
         if not len(rows):
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame({c: [] for c in columns}, dtype=object)  # empty numbers do not pass for arrays or text
         points = points.sort_values("__rank")
         p = np.stack(points["__p"].to_numpy()).astype("float64")
         chosen = apart(p)  # the same in every part of the cell
@@ -118,6 +118,31 @@ def build(rows: DataFrame, cell_rows: int, *, fan: int = FAN, seed: int = 42) ->
     return Tree(reduce(DataFrame.unionByName, settled), levels)
 
 
+def coarser(tree: Tree, cell_rows: int) -> Tree:
+    """The top of the tree, down to the first nodes of at most ``cell_rows`` rows, which become its leaves.
+
+    Its rows keep the leaf they had as ``__leaf``.
+    """
+    small = F.col("leaf") | (F.col("n") <= cell_rows)
+    levels = [hand_off(tree.levels[0].withColumn("leaf", small), "cells")]
+    for level in tree.levels[1:]:
+        above = levels[-1].where("NOT leaf").select("__class", F.col("__cell").alias("__up"))
+        if above.isEmpty():
+            break
+        below = level.withColumn("__up", F.regexp_replace("__cell", "/[0-9]+$", "")).join(_listed(above), ["__class", "__up"], "left_semi")
+        levels.append(hand_off(below.drop("__up").withColumn("leaf", small), "cells"))
+    rows = tree.rows.withColumn("__leaf", F.col("__cell"))
+    if len(levels) == 1:
+        return Tree(rows.withColumns({"__cell": F.lit(""), "__away": F.lit(0.0)}), levels)
+    top = reduce(DataFrame.unionByName, [x.where("leaf").select(*CELL, "__p") for x in levels])
+    steps = F.split("__cell", "/")
+    upward = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    leaves = tree.leaves.select("__class", F.col("__cell").alias("__leaf"), F.explode(upward).alias("__cell"))
+    named = hand_off(leaves.join(_listed(top), CELL), "cells-of-leaves")
+    moved = rows.drop("__cell", "__away").join(_listed(named), ["__class", "__leaf"])
+    return Tree(moved.withColumn("__away", F.coalesce(distance("__x", "__p"), F.lit(0.0))).drop("__p"), levels)
+
+
 def distance(a: Column | str, b: Column | str) -> Column:
     """Euclidean distance of two arrays; null if one is."""
     squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import hand_off
-from .metric_tree import CELL, FAN, build, leaf_pairs
+from .metric_tree import CELL, FAN, build, coarser, leaf_pairs
 from .sampling import exact_cuts
 from .skew import skew_join
 
@@ -15,65 +15,97 @@ from .skew import skew_join
 # five blocks (both sides as they arrive and as matrices, and one copy) and three tiles: some 250 MB.
 BLOCK_BYTES = 32 << 20
 TILE_BYTES = 16 << 20
+# Rows of a block at most, however narrow: a task measures their square if nothing can be ruled out.
+BLOCK_ROWS = 16_384
+# Rows of a leaf of the tree; a task rules out leaves of its block for queries taken so many together.
+LEAF_ROWS = 256
+QUERY_ROWS = 128
 # Values a label may have.
 MOST_CLASSES = 1_000
 
 
 def _kernel(k: int):
     # Everything a task needs is defined inside, so workers need no copy of this package.
-    def nearest(queries, ids, limits, block, block_ids):
+    def balls(x, starts):
+        """Middle, radius and number of the rows that begin at each of ``starts``."""
+        sizes = np.diff([*starts, len(x)])
+        middle = np.add.reduceat(x, starts, axis=0) / sizes[:, None]
+        away = np.sqrt(((x - np.repeat(middle, sizes, axis=0)) ** 2).sum(axis=1))
+        return middle, np.maximum.reduceat(away, starts), sizes
+
+    def measured(tile, block, q, c):
+        step = max(1, TILE_BYTES // (8 * max(1, tile.shape[1])))
+        parts = [np.sqrt(((block[c[s : s + step]] - tile[q[s : s + step]]) ** 2).sum(axis=1)) for s in range(0, len(q), step)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def nearest(queries, ids, block, block_ids):
         """The k nearest block rows of every query, itself left out; ties go to the smaller id.
 
-        Queries that already have k rows nearer than the block can offer, by its radius about its mean, are left out. A
-        product of matrices finds who may be among the k nearest, with room for its rounding; only those are
+        A product of matrices finds who may be among the k nearest, with room for its rounding; only those are
         measured exactly.
         """
-        middle = block.mean(axis=0)
-        radius = np.sqrt(((block - middle) ** 2).sum(axis=1).max())
-        gaps = np.sqrt(((queries - middle) ** 2).sum(axis=1))
-        near = gaps - radius <= limits + 1e-9 * (1.0 + gaps + radius)
-        queries, ids = queries[near], ids[near]
         norms = np.einsum("ij,ij->i", block, block)
         rows = max(1, TILE_BYTES // (8 * len(block)))
         for start in range(0, len(queries), rows):
-            tile = queries[start : start + rows]
+            tile, mine = queries[start : start + rows], ids[start : start + rows]
             own = np.einsum("ij,ij->i", tile, tile)
             rough = own[:, None] + norms[None, :] - 2.0 * (tile @ block.T)
             room = 1e-9 * (1.0 + own[:, None] + norms.max())
-            rough[ids[start : start + rows, None] == block_ids[None, :]] = np.inf
+            rough[mine[:, None] == block_ids[None, :]] = np.inf
             kept = min(k, rough.shape[1])
             limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1 : kept] + room
-            for i in range(len(tile)):
-                close = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
-                apart = np.sqrt(((block[close] - tile[i]) ** 2).sum(axis=1))
-                first = np.lexsort((block_ids[close], apart))[:k]
-                yield ids[start + i], block_ids[close[first]], apart[first]
+            q, c = np.nonzero((rough <= limit) & np.isfinite(rough))
+            apart = measured(tile, block, q, c)
+            order = np.lexsort((block_ids[c], apart, q))
+            q, c, apart = q[order], c[order], apart[order]
+            first = np.arange(len(q)) - np.searchsorted(q, q) < k
+            yield mine[q[first]], block_ids[c[first]], apart[first]
+
+    def candidates(queries, limits, cells, needed):
+        """Numbers of the cells in which a row may be among the k nearest of one of the queries.
+
+        No further than ``limits`` say, nor than the cells reach that hold ``needed`` rows: k besides the query.
+        """
+        middle, radius, sizes = cells
+        own = queries.mean(axis=0)
+        spread = np.sqrt(((queries - own) ** 2).sum(axis=1)).max()
+        gaps = np.sqrt(((middle - own) ** 2).sum(axis=1))
+        ends = gaps + radius
+        order = np.argsort(ends)
+        enough = np.searchsorted(np.cumsum(sizes[order]), needed)
+        within = ends[order[enough]] + spread if enough < len(order) else np.inf
+        reach = min(limits.max(), within)
+        return np.flatnonzero(gaps - radius - spread <= reach + 1e-9 * (1.0 + ends + spread))
 
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(block):
+            queries, block = queries.sort_values("__leaf"), block.sort_values("__of__leaf")
             q = np.stack(queries["__x"].to_numpy()).astype("float64")
             b = np.stack(block["__of__x"].to_numpy()).astype("float64")
             q_ids, b_ids = queries["__id"].to_numpy(), block["__of__id"].to_numpy()
-            found = list(nearest(q, q_ids, queries["__limit"].to_numpy(dtype="float64"), b, b_ids))
+            limits, leaf = queries["__limit"].to_numpy(dtype="float64"), block["__of__leaf"].to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
+            cells = balls(b, starts)
+            needed = k + block["__of__id"].value_counts(dropna=False).max()
+            for s in range(0, len(q), QUERY_ROWS):
+                some = slice(s, s + QUERY_ROWS)
+                kept = candidates(q[some], limits[some], cells, needed)
+                if len(kept):
+                    rows = np.concatenate([np.arange(starts[i], starts[i] + cells[2][i]) for i in kept]) if len(kept) < len(starts) else slice(None)
+                    found += nearest(q[some], q_ids[some], b[rows], b_ids[rows])
         if not found:
-            return pd.DataFrame({"__id": [], "__nn": [], "distance": []})
-        return pd.DataFrame(
-            {
-                "__id": np.repeat([me for me, _, _ in found], [len(o) for _, o, _ in found]),
-                "__nn": np.concatenate([others for _, others, _ in found]),
-                "distance": np.concatenate([apart for _, _, apart in found]),
-            }
-        )
+            return pd.DataFrame({"__id": [], "__nn": [], "distance": []}, dtype=object)  # empty numbers do not pass for text
+        return pd.DataFrame({name: np.concatenate(part) for name, part in zip(("__id", "__nn", "distance"), zip(*found, strict=True), strict=True)})
 
     return search
 
 
 def _search(queries: DataFrame, candidates: DataFrame, pairs: DataFrame, k: int, seed: int) -> DataFrame:
-    """__id, __nn, distance: the ``k`` best rows of each block of leaf ``c`` for each query of leaf ``q``.
+    """__id, __nn, distance: the ``k`` best rows of each block of cell ``c`` for each query of cell ``q``.
 
     ``pairs``: __class, q, c, q_blocks, c_blocks, least. Cells are cut into blocks by a hash of the identifier, so copies and
-    crowded cells are cut as well; one task compares one block with one block.
+    crowded cells are cut as well; one task compares one block with one block, leaf by leaf.
     """
     id_kind = queries.schema["__id"].dataType.simpleString()
     part = F.xxhash64(F.lit(seed), F.col("__id"))
@@ -83,14 +115,14 @@ def _search(queries: DataFrame, candidates: DataFrame, pairs: DataFrame, k: int,
         queries.withColumnRenamed("__cell", "q").join(pairs, ["__class", "q"])
         .withColumn("q_block", F.pmod(part, F.col("q_blocks")).cast("int"))
         .withColumn("c_block", every("c_blocks"))
-        .select(*unit, "__id", "__x", "__limit")
+        .select(*unit, "__id", "__x", "__leaf", "__limit")
     )
     blocks = (
         candidates.withColumnRenamed("__cell", "c").join(pairs, ["__class", "c"])
         .where(F.col("__away") >= F.col("least"))
         .withColumn("c_block", F.pmod(part, F.col("c_blocks")).cast("int"))
         .withColumn("q_block", every("q_blocks"))
-        .select(*[F.col(c).alias(f"__of{c}") for c in (*unit, "__id", "__x")])
+        .select(*[F.col(c).alias(f"__of{c}") for c in (*unit, "__id", "__x", "__leaf")])
     )
     grouped = asked.groupBy(*unit).cogroup(blocks.groupBy(*[f"__of{c}" for c in unit]))
     return grouped.applyInPandas(_kernel(k), f"__id {id_kind}, __nn {id_kind}, distance double")
@@ -114,9 +146,10 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``k`` nearest rows of the same class: ``ident, label, rank, neighbour, distance``.
 
-    Exact. Each class becomes a tree of cells of at most ``block_rows`` rows, by default as many as ``BLOCK_BYTES`` hold. The
-    search begins in the own cell; how far its k-th row is then bounds which other cells can hold a nearer one, and
-    only those are searched. A task passes on only ``k`` rows per query; the k best of those are the result. Rows without a
+    Exact. Each class becomes a tree of cells of at most ``block_rows`` rows, by default ``LEAF_ROWS``. Tasks work on its
+    largest cells of no more than ``BLOCK_ROWS`` rows and ``BLOCK_BYTES``, so their number does not grow with that of the leaves; within
+    a task leaves are ruled out. The search begins in the own cell; how far its k-th row is then bounds which other cells can hold a nearer
+    one, and only those are searched. A task passes on only ``k`` rows per query; the k best of those are the result. Rows without a
     class or without features take no part; identifiers must be distinct.
     """
     rows = df.select(
@@ -125,25 +158,25 @@ def nearest_neighbours(
         F.col(features).cast("array<double>").alias("__x"),
     ).where(F.col("__class").isNotNull() & F.col("__x").isNotNull())
     rows = hand_off(rows, "points")
-    if block_rows is None:
-        width = rows.agg(F.max(F.size("__x"))).first()[0] or 1
-        block_rows = max(1, BLOCK_BYTES // (8 * width))
-    tree = build(rows, block_rows, fan=fan, seed=seed)
-    placed = hand_off(tree.rows, "placed") if len(tree.levels) > 1 else tree.rows
-    blocks = F.ceil(F.col("n") / F.lit(block_rows)).cast("int")
-    leaves = hand_off(tree.leaves.select(*CELL, blocks.alias("blocks")), "leaves")
-    own = leaves.select(
+    width = rows.agg(F.max(F.size("__x"))).first()[0] or 1
+    task_rows = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
+    tree = build(rows, min(LEAF_ROWS, task_rows) if block_rows is None else block_rows, fan=fan, seed=seed)
+    units = coarser(tree, task_rows)
+    placed = hand_off(units.rows, "placed") if len(tree.levels) > 1 else units.rows
+    blocks = F.ceil(F.col("n") / F.lit(task_rows)).cast("int")
+    cells = hand_off(units.leaves.select(*CELL, blocks.alias("blocks")), "leaves")
+    own = cells.select(
         "__class", F.col("__cell").alias("q"), F.col("__cell").alias("c"), F.col("blocks").alias("q_blocks"), F.col("blocks").alias("c_blocks"), F.lit(0.0).alias("least")
     )
     found = _search(placed.withColumn("__limit", F.lit(float("inf"))), placed, own, k, seed)
-    if len(tree.levels) > 1:
+    if len(units.levels) > 1:
         found = hand_off(_best(found, k).drop("rank"), "own-cell")
         known = found.groupBy("__id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("__limit"))
         asked = hand_off(placed.join(known, "__id", "left").fillna(float("inf"), ["__limit"]), "limits")
         reach = asked.groupBy(*CELL).agg(F.max("__limit").alias("reach"))
-        pairs = leaf_pairs(tree, reach, k)
+        pairs = leaf_pairs(units, reach, k)
         for side in ("q", "c"):
-            pairs = pairs.join(leaves.select("__class", F.col("__cell").alias(side), F.col("blocks").alias(f"{side}_blocks")), ["__class", side])
+            pairs = pairs.join(cells.select("__class", F.col("__cell").alias(side), F.col("blocks").alias(f"{side}_blocks")), ["__class", side])
         found = found.unionByName(_search(asked, placed, hand_off(pairs, "leaf-pairs"), k, seed))
     return _best(found, k).select(F.col("__id").alias(ident), "rank", F.col("__nn").alias("neighbour"), "distance")
 

@@ -37,6 +37,35 @@ def test_neighbours_equal_brute_force(spark, block_rows):
         assert found[key][0] == j and found[key][1] == pytest.approx(dist, abs=1e-12)
 
 
+def test_small_groups_of_a_cell_may_be_empty(spark):
+    rng = np.random.default_rng(5)
+    points = [(f"n{i:02d}", 1, rng.normal(size=8)) for i in range(60)]
+    df = spark.createDataFrame([(i, c, x.tolist()) for i, c, x in points], "id string, c int, x array<double>")
+    # thirty groups of about two rows each: some have none
+    found = {(r.id, r["rank"]): r.neighbour for r in neighbours.nearest_neighbours(df, "id", "x", "c", k=3, block_rows=2, fan=3).collect()}
+    assert found == {key: j for key, (j, _) in brute_force(points, 3).items()}
+
+
+@pytest.mark.parametrize("width", [1, 3])
+def test_blocks_of_narrow_rows_are_bounded(spark, width, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 9)
+    asked = []
+    search = neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda q, c, pairs, k, seed: asked.append((c, pairs)) or search(q, c, pairs, k, seed))
+    rng = np.random.default_rng(11)
+    points = [(f"{i}", i % 2, np.round(rng.normal(size=width) * 30, 1)) for i in range(500)] + [(f"{i}", 0, np.zeros(width)) for i in range(500, 600)]
+    df = spark.createDataFrame([(i, c, x.tolist()) for i, c, x in points], "id string, c int, x array<double>")
+    found = {(r.id, r["rank"]): (r.neighbour, r.distance) for r in neighbours.nearest_neighbours(df, "id", "x", "c").collect()}
+    want = brute_force(points, 5)
+    assert found.keys() == want.keys()
+    for key, (j, dist) in want.items():
+        assert found[key][0] == j and found[key][1] == pytest.approx(dist, abs=1e-12)
+    for rows_of, pairs in asked:
+        sizes = {(r["__class"], r["__cell"]): r["count"] for r in rows_of.groupBy("__class", "__cell").count().collect()}
+        assert len(sizes) > 8 and all(sizes[r["__class"], r.c] <= 60 * r.c_blocks for r in pairs.collect())
+
+
 def clustered(spark, seed=3):
     rng = np.random.default_rng(seed)
     centres = np.array([[x, y] for x in (0, 1000) for y in (0, 1000)], dtype=float)
