@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import hand_off
-from .metric_tree import CELL, FAN, build, coarser, leaf_pairs
+from .metric_tree import CELL, FAN, SLACK, build, coarser, distance, leaf_pairs
 from .sampling import exact_cuts
 from .skew import skew_join
 
@@ -101,10 +101,18 @@ def _kernel(k: int):
     return search
 
 
+def _asking(queries: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Each query with those pairs of its cell ``q`` whose cell ``c`` comes within its ``__limit``."""
+    met = queries.withColumnRenamed("__cell", "q").join(pairs, ["__class", "q"])
+    gap = distance("__x", "c_p") - F.col("c_radius")
+    # Nothing is ruled out where the distance is not known, or not a number.
+    return met.where(gap.isNull() | F.isnan(gap) | (gap <= F.col("__limit") * (1 + SLACK) + SLACK))
+
+
 def _search(queries: DataFrame, candidates: DataFrame, pairs: DataFrame, k: int, seed: int) -> DataFrame:
     """__id, __nn, distance: the ``k`` best rows of each block of cell ``c`` for each query of cell ``q``.
 
-    ``pairs``: __class, q, c, q_blocks, c_blocks, least. Cells are cut into blocks by a hash of the identifier, so copies and
+    ``pairs``: __class, q, c, q_blocks, c_blocks, c_p and c_radius (vantage point of ``c`` and radius about it), least. Cells are cut into blocks by a hash of the identifier, so copies and
     crowded cells are cut as well; one task compares one block with one block, leaf by leaf.
     """
     id_kind = queries.schema["__id"].dataType.simpleString()
@@ -112,7 +120,7 @@ def _search(queries: DataFrame, candidates: DataFrame, pairs: DataFrame, k: int,
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     unit = ["__class", "q", "q_block", "c", "c_block"]
     asked = (
-        queries.withColumnRenamed("__cell", "q").join(pairs, ["__class", "q"])
+        _asking(queries, pairs)
         .withColumn("q_block", F.pmod(part, F.col("q_blocks")).cast("int"))
         .withColumn("c_block", every("c_blocks"))
         .select(*unit, "__id", "__x", "__leaf", "__limit")
@@ -149,7 +157,7 @@ def nearest_neighbours(
     Exact. Each class becomes a tree of cells of at most ``block_rows`` rows, by default ``LEAF_ROWS``. Tasks work on its
     largest cells of no more than ``BLOCK_ROWS`` rows and ``BLOCK_BYTES``, so their number does not grow with that of the leaves; within
     a task leaves are ruled out. The search begins in the own cell; how far its k-th row is then bounds which other cells can hold a nearer
-    one, and only those are searched. A task passes on only ``k`` rows per query; the k best of those are the result. Rows without a
+    one; only those are searched, each for the rows it may be near enough to. A task passes on only ``k`` rows per query; the k best of those are the result. Rows without a
     class or without features take no part; identifiers must be distinct.
     """
     rows = df.select(
@@ -164,10 +172,11 @@ def nearest_neighbours(
     units = coarser(tree, task_rows)
     placed = hand_off(units.rows, "placed") if len(tree.levels) > 1 else units.rows
     blocks = F.ceil(F.col("n") / F.lit(task_rows)).cast("int")
-    cells = hand_off(units.leaves.select(*CELL, blocks.alias("blocks")), "leaves")
+    cells = hand_off(units.leaves.select(*CELL, "__p", "radius", blocks.alias("blocks")), "leaves")
     own = cells.select(
-        "__class", F.col("__cell").alias("q"), F.col("__cell").alias("c"), F.col("blocks").alias("q_blocks"), F.col("blocks").alias("c_blocks"), F.lit(0.0).alias("least")
-    )
+        "__class", F.col("__cell").alias("q"), F.col("__cell").alias("c"), F.col("blocks").alias("q_blocks"), F.col("blocks").alias("c_blocks"),
+        F.col("__p").alias("c_p"), F.col("radius").alias("c_radius"), F.lit(0.0).alias("least"),
+    )
     found = _search(placed.withColumn("__limit", F.lit(float("inf"))), placed, own, k, seed)
     if len(units.levels) > 1:
         found = hand_off(_best(found, k).drop("rank"), "own-cell")
@@ -175,8 +184,8 @@ def nearest_neighbours(
         asked = hand_off(placed.join(known, "__id", "left").fillna(float("inf"), ["__limit"]), "limits")
         reach = asked.groupBy(*CELL).agg(F.max("__limit").alias("reach"))
         pairs = leaf_pairs(units, reach, k)
-        for side in ("q", "c"):
-            pairs = pairs.join(cells.select("__class", F.col("__cell").alias(side), F.col("blocks").alias(f"{side}_blocks")), ["__class", side])
+        for side, more in (("q", []), ("c", [F.col("__p").alias("c_p"), F.col("radius").alias("c_radius")])):
+            pairs = pairs.join(cells.select("__class", F.col("__cell").alias(side), F.col("blocks").alias(f"{side}_blocks"), *more), ["__class", side])
         found = found.unionByName(_search(asked, placed, hand_off(pairs, "leaf-pairs"), k, seed))
     return _best(found, k).select(F.col("__id").alias(ident), "rank", F.col("__nn").alias("neighbour"), "distance")
 

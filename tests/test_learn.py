@@ -66,6 +66,16 @@ def test_blocks_of_narrow_rows_are_bounded(spark, width, monkeypatch):
         assert len(sizes) > 8 and all(sizes[r["__class"], r.c] <= 60 * r.c_blocks for r in pairs.collect())
 
 
+def test_queries_out_of_reach_of_a_cell_are_not_sent(spark):
+    """Of a cell that may look into another, only the rows whose own k-th neighbour is as far away as that."""
+    at = [(0, 0.0, 1.0), (1, 9.0, 1.0), (2, 8.5, 1.0), (3, 0.0, 8.5), (4, 0.0, float("inf")), (5, float("nan"), 1.0)]
+    queries = spark.createDataFrame([(1, i, [x], "/1", limit) for i, x, limit in at], "__class int, __id long, __x array<double>, __cell string, __limit double")
+    known = spark.createDataFrame([(1, "/1", "/2", [10.0], 1.5)], "__class int, q string, c string, c_p array<double>, c_radius double")
+    assert {r["__id"] for r in neighbours._asking(queries, known).collect()} == {1, 2, 3, 4, 5}
+    whole = known.withColumn("c_p", F.lit(None).cast("array<double>"))  # a class that is one cell
+    assert neighbours._asking(queries, whole).count() == len(at)
+
+
 def clustered(spark, seed=3):
     rng = np.random.default_rng(seed)
     centres = np.array([[x, y] for x in (0, 1000) for y in (0, 1000)], dtype=float)
