@@ -22,6 +22,8 @@ from .skew import MOST_LISTED
 # Vantage points of a cell that is split, and how many of its rows they are chosen among.
 FAN = 16
 CHOICE = 4
+# Rows that a task compares with the vantage points of a cell at a time, where leaves are smaller.
+PART_ROWS = 4_096
 # Splits of splits; cells that are still too large then, such as copies of one row, are cut by hash.
 MOST_LEVELS = 12
 # Room for rounding in distances that bounds are made of.
@@ -77,12 +79,13 @@ class Tree:
         return reduce(DataFrame.unionByName, [level.where("leaf") for level in self.levels])
 
 
-def build(rows: DataFrame, cell_rows: int, *, fan: int = FAN, seed: int = 42) -> Tree:
+def build(rows: DataFrame, cell_rows: int, *, part_rows: int | None = None, fan: int = FAN, seed: int = 42) -> Tree:
     """The tree of stored ``rows`` (__class, __id, __x), with at most ``cell_rows`` rows in a leaf.
 
-    A level is one shuffle of the rows that are still in large cells, in groups of about ``cell_rows`` of a cell. Leaves keep more
-    rows only where vantage points cannot part them, or after ``MOST_LEVELS``.
+    A level is one shuffle of the rows that are still in large cells, in groups of about ``part_rows`` of a cell, by default
+    ``cell_rows``. Leaves keep more rows only where vantage points cannot part them, or after ``MOST_LEVELS``.
     """
+    part_rows = cell_rows if part_rows is None else part_rows
     kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("__class", "__id"))
     schema = f"__class {kind}, __id {id_kind}, __x array<double>, __cell string, __away double"
     whole = rows.withColumns({"__cell": F.lit(""), "__away": F.lit(0.0)})
@@ -98,7 +101,7 @@ def build(rows: DataFrame, cell_rows: int, *, fan: int = FAN, seed: int = 42) ->
         large = last.where("NOT leaf")
         if large.isEmpty():
             break
-        salts = F.ceil(F.col("n") / F.lit(cell_rows)).cast("int").alias("__salts")
+        salts = F.ceil(F.col("n") / F.lit(part_rows)).cast("int").alias("__salts")
         large = _listed(hand_off(large.select(*CELL, salts, F.col("n").alias("__of")), "large-cells"))
         moving = moving.join(large, CELL)
         first = W.partitionBy(*CELL).orderBy(hash_order("__id", seed + len(levels)), "__id")

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import hand_off
-from .metric_tree import CELL, FAN, SLACK, build, coarser, distance, leaf_pairs
+from .metric_tree import CELL, FAN, PART_ROWS, SLACK, build, coarser, distance, leaf_pairs
 from .sampling import exact_cuts
 from .skew import skew_join
 
@@ -168,7 +168,8 @@ def nearest_neighbours(
     rows = hand_off(rows, "points")
     width = rows.agg(F.max(F.size("__x"))).first()[0] or 1
     task_rows = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
-    tree = build(rows, min(LEAF_ROWS, task_rows) if block_rows is None else block_rows, fan=fan, seed=seed)
+    leaf_rows = min(LEAF_ROWS, task_rows) if block_rows is None else block_rows
+    tree = build(rows, leaf_rows, part_rows=max(leaf_rows, min(PART_ROWS, task_rows)), fan=fan, seed=seed)
     units = coarser(tree, task_rows)
     placed = hand_off(units.rows, "placed") if len(tree.levels) > 1 else units.rows
     blocks = F.ceil(F.col("n") / F.lit(task_rows)).cast("int")

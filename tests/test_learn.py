@@ -37,6 +37,26 @@ def test_neighbours_equal_brute_force(spark, block_rows):
         assert found[key][0] == j and found[key][1] == pytest.approx(dist, abs=1e-12)
 
 
+def test_parts_of_a_split_are_larger_than_its_leaves(spark, monkeypatch):
+    parts, store = [], metric_tree.hand_off
+
+    def kept(df, label):
+        out = store(df, label)
+        if label == "large-cells":
+            parts.append(out.agg(F.sum("__salts")).first()[0])
+        return out
+
+    monkeypatch.setattr(metric_tree, "hand_off", kept)
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, 1, x.tolist()) for i, x in enumerate(rng.normal(size=(400, 3)))], "__id long, __class int, __x array<double>")
+    df = hand_off(df, "points")
+    cells = lambda tree: rows(tree.rows, "__id", "__cell", "__away")
+    small = cells(metric_tree.build(df, 20, fan=4))
+    few = len(parts)
+    assert cells(metric_tree.build(df, 20, part_rows=1_000, fan=4)) == small
+    assert parts[0] == 20 and parts[few] == 1  # groups of the first level
+
+
 def test_small_groups_of_a_cell_may_be_empty(spark):
     rng = np.random.default_rng(5)
     points = [(f"n{i:02d}", 1, rng.normal(size=8)) for i in range(60)]
