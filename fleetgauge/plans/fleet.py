@@ -34,7 +34,7 @@ from ..functions.codes import (
 )
 from ..operators import clean, dims, fill, join, learn, panel, rollup
 from ..operators.layout import Layout
-from ..session import hand_off, interim
+from ..session import compile_wide_rows, hand_off, interim
 from ..sources import Gate, publish, scan_days
 from ..sources.published import Facts
 
@@ -248,6 +248,7 @@ def wide_panel(
     """
     excluded = dict(excluded or {})
     drivers = clean_drivers(feeds.drivers, excluded=excluded.get("driver", ()))
+    compile_wide_rows(feeds.trips.sparkSession)
     # Read by the checks of the join and by the join itself.
     spine = hand_off(run_totals(feeds.trips, day_tz), "spine") if spine is None else spine
     day_keys = ["day", "driver", "plate"]
@@ -368,6 +369,7 @@ def prepare_features(
     the way, each time before a step that reads its input twice. ``fit_days``
     limits the rows the scaler is fitted on; by default all rows.
     """
+    compile_wide_rows(wide.sparkSession)
     rows = wide if run_date is None else scan_days(wide, "day", run_date, lookback_days)
     order = ["day", "DriverName", "driver"]
     mileage = fill.fill_forward_backward(rows, ["plate"], order, "totalmileage")

@@ -1,5 +1,6 @@
 import os
 
+from fleetgauge import session
 from fleetgauge.session import drop_hand_offs, hand_off, interim, work_folder
 
 
@@ -18,3 +19,17 @@ def test_scope_drops_only_its_own_tables(spark):
     with interim(spark):
         n = hand_off(spark.range(5), "inner").count()
     assert n == 5 and kept.count() == 3 and set(os.listdir(work_folder(spark))) == before
+
+
+def test_wide_steps_stay_small_enough_to_be_compiled(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        session.compile_wide_rows(spark)
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "5000")
+        session.compile_wide_rows(spark)
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.set(name, before)
