@@ -38,44 +38,61 @@ def _kernel(k: int):
         parts = [np.sqrt(((block[c[s : s + step]] - tile[q[s : s + step]]) ** 2).sum(axis=1)) for s in range(0, len(q), step)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
-    def nearest(queries, ids, block, block_ids):
-        """The k nearest block rows of every query, itself left out; ties go to the smaller id.
+    def rough(a, b):
+        """Squared distances by a product of matrices, and how far off their rounding may be."""
+        own, norms = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        return own[:, None] + norms[None, :] - 2.0 * (a @ b.T), 1e-9 * (1.0 + own[:, None] + norms.max())
+
+    def numbered(ids, block_ids):
+        """Both as whole numbers in the order of the ids, which compare faster than text; a number that is missing equals none."""
+        codes, names = pd.factorize(np.concatenate([ids, block_ids]), sort=True)
+        mine, theirs = codes[: len(ids)], codes[len(ids) :]
+        return np.where(mine < 0, len(names) if ids.dtype == object else -1, mine), np.where(theirs < 0, len(names), theirs)
+
+    def nearest(queries, mine, block, theirs):
+        """The k nearest block rows of every query, itself left out: places of both, distance; ties go to the smaller id.
 
         A product of matrices finds who may be among the k nearest, with room for its rounding; only those are
         measured exactly.
         """
-        norms = np.einsum("ij,ij->i", block, block)
         rows = max(1, TILE_BYTES // (8 * len(block)))
         for start in range(0, len(queries), rows):
-            tile, mine = queries[start : start + rows], ids[start : start + rows]
-            own = np.einsum("ij,ij->i", tile, tile)
-            rough = own[:, None] + norms[None, :] - 2.0 * (tile @ block.T)
-            room = 1e-9 * (1.0 + own[:, None] + norms.max())
-            rough[mine[:, None] == block_ids[None, :]] = np.inf
-            kept = min(k, rough.shape[1])
-            limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1 : kept] + room
-            q, c = np.nonzero((rough <= limit) & np.isfinite(rough))
+            tile = queries[start : start + rows]
+            gaps, room = rough(tile, block)
+            gaps[mine[start : start + rows, None] == theirs[None, :]] = np.inf
+            kept = min(k, gaps.shape[1])
+            limit = np.partition(gaps, kept - 1, axis=1)[:, kept - 1 : kept] + room
+            q, c = np.nonzero((gaps <= limit) & np.isfinite(gaps))
             apart = measured(tile, block, q, c)
-            order = np.lexsort((block_ids[c], apart, q))
+            order = np.lexsort((theirs[c], apart, q))
             q, c, apart = q[order], c[order], apart[order]
             first = np.arange(len(q)) - np.searchsorted(q, q) < k
-            yield mine[q[first]], block_ids[c[first]], apart[first]
+            yield start + q[first], c[first], apart[first]
 
-    def candidates(queries, limits, cells, needed):
+    def candidates(queries, mine, limits, block, theirs, cells, rows_of, needed):
         """Numbers of the cells in which a row may be among the k nearest of one of the queries.
 
-        No further than ``limits`` say, nor than the cells reach that hold ``needed`` rows: k besides the query.
+        For each query no further than ``limits`` say, nor than the cells reach that hold ``needed`` rows: k besides the query; nor
+        than the k-th row of the cells around the queries, if those are few.
         """
         middle, radius, sizes = cells
-        own = queries.mean(axis=0)
-        spread = np.sqrt(((queries - own) ** 2).sum(axis=1)).max()
-        gaps = np.sqrt(((middle - own) ** 2).sum(axis=1))
-        ends = gaps + radius
-        order = np.argsort(ends)
-        enough = np.searchsorted(np.cumsum(sizes[order]), needed)
-        within = ends[order[enough]] + spread if enough < len(order) else np.inf
-        reach = min(limits.max(), within)
-        return np.flatnonzero(gaps - radius - spread <= reach + 1e-9 * (1.0 + ends + spread))
+        gaps, room = rough(queries, middle)
+        nearer, further = np.sqrt(np.maximum(gaps - room, 0.0)) - radius, np.sqrt(np.maximum(gaps + room, 0.0)) + radius
+        order = np.argsort(further, axis=1)
+        enough = np.cumsum(sizes[order], axis=1) >= needed
+        within = np.take_along_axis(np.take_along_axis(further, order, axis=1), enough.argmax(axis=1)[:, None], axis=1)[:, 0]
+        reach = np.minimum(limits, np.where(enough[:, -1], within, np.inf))
+        slack = 1e-9 * (1.0 + further)
+        # Nothing is ruled out where a distance is not a number.
+        near = lambda: np.flatnonzero(~(nearer > reach[:, None] + slack).all(axis=0))
+        kept, around = near(), rows_of(np.unique(gaps.argmin(axis=1)))
+        if k <= len(around) <= sizes[kept].sum() // 2:
+            gaps, room = rough(queries, block[around])
+            gaps[mine[:, None] == theirs[None, around]] = np.inf
+            within = np.sqrt(np.maximum(np.partition(gaps, k - 1, axis=1)[:, k - 1 : k] + room, 0.0))[:, 0]
+            reach = np.minimum(reach, within)
+            kept = near()
+        return kept
 
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -88,12 +105,14 @@ def _kernel(k: int):
             starts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
             cells = balls(b, starts)
             needed = k + block["__of__id"].value_counts(dropna=False).max()
+            rows_of = lambda some: np.concatenate([np.arange(starts[i], starts[i] + cells[2][i]) for i in some])
+            mine, theirs = numbered(q_ids, b_ids)
             for s in range(0, len(q), QUERY_ROWS):
                 some = slice(s, s + QUERY_ROWS)
-                kept = candidates(q[some], limits[some], cells, needed)
+                kept = candidates(q[some], mine[some], limits[some], b, theirs, cells, rows_of, needed)
                 if len(kept):
-                    rows = np.concatenate([np.arange(starts[i], starts[i] + cells[2][i]) for i in kept]) if len(kept) < len(starts) else slice(None)
-                    found += nearest(q[some], q_ids[some], b[rows], b_ids[rows])
+                    rows = rows_of(kept)
+                    found += [(q_ids[some][i], b_ids[rows[c]], apart) for i, c, apart in nearest(q[some], mine[some], b[rows], theirs[rows])]
         if not found:
             return pd.DataFrame({"__id": [], "__nn": [], "distance": []}, dtype=object)  # empty numbers do not pass for text
         return pd.DataFrame({name: np.concatenate(part) for name, part in zip(("__id", "__nn", "distance"), zip(*found, strict=True), strict=True)})

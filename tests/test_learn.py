@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -57,6 +58,45 @@ def test_parts_of_a_split_are_larger_than_its_leaves(spark, monkeypatch):
     assert parts[0] == 20 and parts[few] == 1  # groups of the first level
 
 
+class Named(str):
+    compared = 0
+    __hash__ = str.__hash__
+
+    def __eq__(self, other):
+        Named.compared += 1
+        return str.__eq__(self, other)
+
+
+@pytest.mark.parametrize("ident", [lambda i: i, lambda i: Named(f"n{i % 1000}|{i}")])
+def test_a_task_does_not_compare_names_of_all_pairs(ident, monkeypatch):
+    rng = np.random.default_rng(11)
+    long = np.round(np.sort(rng.uniform(0, 60, 2_400)), 2)  # many equal values, so that neighbours tie
+    x = np.stack([rng.integers(1, 4, len(long)), long, rng.integers(1, 3, len(long))], axis=1).astype("float64")
+    ids = [ident(i) for i in range(len(x))]
+    leaf = [f"/{i // 100:02d}" for i in range(len(x))]
+    order = rng.permutation(len(x))
+    queries = pd.DataFrame({"__id": ids, "__x": list(x), "__leaf": leaf, "__limit": np.inf}).iloc[order]
+    block = queries.drop(columns="__limit").rename(columns={c: f"__of{c}" for c in ("__id", "__x", "__leaf")})
+
+    monkeypatch.setattr(Named, "compared", 0)
+    found = neighbours._kernel(5)(queries, block)
+    assert Named.compared <= 20 * len(x)
+
+    got = {}
+    for i, j, away in sorted(zip(found["__id"], found["distance"], found["__nn"], strict=True)):
+        got.setdefault(i, []).append((j, away))
+    for i in range(len(x)):
+        apart = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        assert got[ids[i]] == sorted((apart[j], ids[j]) for j in range(len(x)) if j != i)[:5]
+
+
+def test_a_number_that_is_missing_is_no_row_of_its_own():
+    frame = pd.DataFrame({"__id": [1.0, np.nan, 3.0], "__x": [[0.0], [1.0], [5.0]], "__leaf": "", "__limit": np.inf})
+    block = frame.drop(columns="__limit").rename(columns={c: f"__of{c}" for c in ("__id", "__x", "__leaf")})
+    found = neighbours._kernel(1)(frame, block).fillna(-1)
+    assert sorted(found.itertuples(index=False, name=None)) == [(-1, -1, 0.0), (1, -1, 1.0), (3, -1, 4.0)]
+
+
 def test_small_groups_of_a_cell_may_be_empty(spark):
     rng = np.random.default_rng(5)
     points = [(f"n{i:02d}", 1, rng.normal(size=8)) for i in range(60)]
