@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,3 +65,39 @@ def test_rows_of_one_id_are_rows_of_their_own(spark):
 def test_scores_beyond_the_range_are_refused(spark):
     with pytest.raises(ValueError):
         search(spark, [(0, [1e8, 1e8]), (1, [1e8, 2.0])])
+
+
+@pytest.mark.parametrize("scale", [1, 40, 40_000])  # products in single precision, in double, and beyond
+def test_several_blocks_of_queries_and_strips(spark, monkeypatch, scale):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(topk, "STRIP", (8, 32))
+    monkeypatch.setattr(topk, "DENSE", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i * (50 if i % 3 else 1), [float(x) * scale for x in rng.integers(-9, 10, 4) / 8]) for i in range(0, 240)]
+    assert topk._block_counts(240, 160, 240 * 12, 160 * 12) == [12, 8]
+    assert search(spark, rows) == brute(rows, 5)
+
+
+def test_blocks_are_bounded_by_their_values():
+    assert topk._block_counts(0, 0, 0, 0) == [1, 1]
+    n, q, dim = 10_000_000, 200_000, 1000
+    assert topk._block_counts(n, q, n * dim, q * dim) == [-(-n * dim // topk.BLOCK_VALUES), -(-q * dim // topk.BLOCK_VALUES)]
+
+
+def test_no_vectors_are_broadcast(spark, monkeypatch, capsys):
+    """Copies of the query blocks, one for each block of rows, would grow with the square of the table."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    plans, store = [], topk.hand_off
+
+    def noted(df, label):
+        plans.append(df)
+        return store(df, label)
+
+    monkeypatch.setattr(topk, "hand_off", noted)
+    df = spark.createDataFrame([(i, [i % 7 / 8, i % 5 / 8], 0, "x", "y", 3) for i in range(400)], SCHEMA)
+    plans.append(topk.top_k(topk.quantise(df, "vec_id", "embedding"), F.col("id") % 50 == 0))
+    assert len(plans) > 2
+    for plan in plans:
+        plan.explain("formatted")
+    sent = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert not {re.sub(r"#.*", "", x) for cols in sent for x in cols.split(", ")} - {"row", "query", "bin", "more", "above"}
